@@ -79,4 +79,6 @@ def decode_base64(c: str | Column) -> Column:
 
 
 def encode_base64(c: str | Column) -> Column:
-    return F.base64(_col(c))
+    """Binary -> RFC 4648 base64 text on one line (Spark may chunk ``base64`` output into
+    76-character MIME lines; message payloads must not contain line breaks)."""
+    return F.regexp_replace(F.base64(_col(c)), "[\r\n]", "")

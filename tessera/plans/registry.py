@@ -31,11 +31,11 @@ def register(key: str, sql: str | None = None):
 def rnd(expr: str, k: int = 2) -> str:
     """DuckDB text of Spark's ``round(double, k)``.
 
-    Spark rounds HALF_UP on the double's shortest decimal text (1.005 -> 1.01); DuckDB's own
-    ``round`` on a double scales in binary (1.005 -> 1.0).  Going through the text form and an
-    exact DECIMAL gives Spark's answer.
+    Spark rounds HALF_UP on the decimal text of the double (1.005 -> 1.01); DuckDB's own
+    ``round`` on a double scales in binary (1.005 -> 1.0).  Going through DuckDB's text form and
+    a DECIMAL wide enough for all 17 significant digits gives Spark's answer.
     """
-    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {k}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,22)), {k}) AS DOUBLE)"
 
 
 def dec(col: str) -> str:
