@@ -1 +1,218 @@
-"""placeholder"""
+"""Driver-table queries for the frame stream.
+
+Frame messages are derived from ``events`` (camera = event_type, frame index = event_id, time =
+ts as ISO-8601 'Z' text, image = base64 of the props JSON; frames of type 'error' carry an
+undecodable image so the dead-letter path is exercised) and written as JSON files to a fresh
+folder under the shared checkpoint folder.  Each query runs a Structured Streaming query with
+``availableNow`` over those files into parquet under the same folder and returns the batch read of
+what was stored.  Keys without SQL are checked rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.detections import encode_base64
+from tessera.plans import testbed as tb
+from tessera.plans.q_relational import FRAMES_CTE
+from tessera.plans.registry import register, rnd
+from tessera.session import scratch_dir
+from tessera.streaming import frames as S
+from tessera.streaming.detector import stub_detector_factory
+from tessera.streaming.state import mark_first_per_bucket
+from tessera.streaming.store import (read_latest, read_table, run_to_end, store_results,
+                                     write_complete)
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+BAD_IMAGE = "!!not-base64!!"
+MODEL = "stub-detector-v1"
+FILES = 4
+
+
+def _messages(spark, sf):
+    ev = tb.table(spark, sf, "events")
+    frame_id = F.concat_ws("_", F.col("event_type"), F.lpad(F.lower(F.hex("event_id")), 12, "0"))
+    image = F.when(F.col("event_type") == "error", F.lit(BAD_IMAGE)) \
+        .otherwise(encode_base64(F.encode("props", "UTF-8")))
+    return ev.select(F.col("event_type").alias("camera_id"), frame_id.alias("frame_id"),
+                     F.col("event_id").alias("frame_index"),
+                     F.date_format("ts", ISO).alias("timestamp"), image.alias("image"),
+                     F.col("ts"))
+
+
+def write_messages(spark, sf, path, *, copies: int = 1, where=None) -> str:
+    """Write frame messages as JSON files (``FILES`` per copy, range-split on frame index)."""
+    msgs = _messages(spark, sf)
+    if where is not None:
+        msgs = msgs.where(where)
+    msgs = msgs.drop("ts").repartitionByRange(FILES, "frame_index")
+    for _ in range(copies):
+        msgs.write.mode("append").json(path)
+    return path
+
+
+def _stream(spark, path, files_per_trigger: int = 1):
+    return S.read_json_stream(spark, "json", S.MESSAGE_SCHEMA, path=path,
+                              options={"maxFilesPerTrigger": str(files_per_trigger)})
+
+
+def _scored(spark, path, processed=None):
+    good, dead = S.split_errors(S.decode_frames(_stream(spark, path)))
+    scored = S.score_frames(good, stub_detector_factory)
+    return S.enrich_results(scored, MODEL, processed_ts=processed), dead
+
+
+def _ok_columns(df):
+    return df.select("frame_id", "camera_id", "frame_index", "person_count", "model",
+                     F.array_max(F.transform("boxes", lambda b: b["confidence"])).alias("max_confidence"))
+
+
+_ENRICH_SQL = f"""
+WITH {FRAMES_CTE},
+kept AS (SELECT frame_id, count(*) AS n, max(confidence) AS mc FROM bx
+         WHERE cls = 0 AND confidence >= 0.35 GROUP BY frame_id)
+SELECT camera_id || '_' || lpad(lower(hex(fr.frame_id)), 12, '0') AS frame_id, camera_id,
+       fr.frame_id AS frame_index, coalesce(kept.n, 0) AS person_count, '{MODEL}' AS model,
+       {rnd('kept.mc', 4)} AS max_confidence
+FROM fr LEFT JOIN kept ON fr.frame_id = kept.frame_id WHERE camera_id <> 'error'"""
+
+
+@register("stream_read")
+def stream_read(spark, sf):
+    """Messages -> parsed typed rows, stored by an availableNow stream (rows-only)."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    parsed = S.decode_frames(_stream(spark, src), fallback_ts=F.lit(None).cast("timestamp")) \
+        .drop("image", "image_bytes")
+    table = scratch_dir(spark, "stream-read")
+    run_to_end(store_results(parsed, table_path=table, docs_path=None,
+                             checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
+    return read_table(spark, table)
+
+
+@register("score_frames")
+def score_frames(spark, sf):
+    """Decoded frames scored by the plug-in detector through mapInPandas (rows-only)."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    good, _ = S.split_errors(S.decode_frames(_stream(spark, src)))
+    scored = S.score_frames(good, stub_detector_factory).drop("processing_time_ms")
+    table = scratch_dir(spark, "scored")
+    run_to_end(store_results(scored, table_path=table, docs_path=None,
+                             checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
+    return read_table(spark, table).select("frame_id", "camera_id", F.size("boxes").alias("n_boxes"))
+
+
+@register("stream_enrich", _ENRICH_SQL)
+def stream_enrich(spark, sf):
+    """Enriched detection results of every decodable frame."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    ok, _ = _scored(spark, src)
+    table = scratch_dir(spark, "enriched")
+    run_to_end(store_results(ok, table_path=table, docs_path=None,
+                             checkpoint=scratch_dir(spark, "ckpt")))
+    return _ok_columns(read_table(spark, table))
+
+
+@register("dead_letter", """
+SELECT event_type || '_' || lpad(lower(hex(event_id)), 12, '0') AS frame_id, event_type AS camera_id,
+       'undecodable_image' AS error
+FROM events WHERE event_type = 'error'""")
+def dead_letter(spark, sf):
+    """Frames that cannot be processed, with the reason (routed, not dropped)."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    _, dead = S.split_errors(S.decode_frames(_stream(spark, src)))
+    table = scratch_dir(spark, "dead")
+    run_to_end(store_results(dead.select("frame_id", "camera_id", "error"), table_path=table,
+                             docs_path=None, checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
+    return read_table(spark, table)
+
+
+@register("upsert_by_key", f"""
+WITH e AS ({_ENRICH_SQL}) SELECT frame_id, camera_id, frame_index, person_count FROM e""")
+def upsert_by_key(spark, sf):
+    """Every message delivered twice; the keyed document store keeps one current row per frame."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2)
+    ok, _ = _scored(spark, src)
+    table, docs = scratch_dir(spark, "table"), scratch_dir(spark, "docs")
+    run_to_end(store_results(ok, table_path=table, docs_path=docs,
+                             checkpoint=scratch_dir(spark, "ckpt")))
+    return read_latest(spark, docs, ["frame_id"], ["processed_ts"]).select(
+        "frame_id", "camera_id", "frame_index", "person_count")
+
+
+@register("stream_append")
+def stream_append(spark, sf):
+    """Append-only result table: a replayed delivery keeps both copies (rows-only)."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2)
+    ok, _ = _scored(spark, src)
+    table = scratch_dir(spark, "table")
+    run_to_end(store_results(ok, table_path=table, docs_path=None,
+                             checkpoint=scratch_dir(spark, "ckpt")))
+    return read_table(spark, table).select("frame_id", "camera_id", "person_count")
+
+
+@register("stream_exactly_once")
+def stream_exactly_once(spark, sf):
+    """Two arrival waves, the query restarted from its checkpoint in between: every frame is
+    stored exactly once (rows-only)."""
+    src = scratch_dir(spark, "msgs")
+    ckpt, table = scratch_dir(spark, "ckpt"), scratch_dir(spark, "table")
+    first_wave = F.dayofmonth("ts") <= 15
+    for wave in (first_wave, ~first_wave):
+        write_messages(spark, sf, src, where=wave)
+        ok, _ = _scored(spark, src)
+        run_to_end(store_results(ok, table_path=table, docs_path=None, checkpoint=ckpt))
+    return read_table(spark, table).select("frame_id", "camera_id", "person_count")
+
+
+@register("frame_pipeline")
+def frame_pipeline(spark, sf):
+    """frames -> decode -> detect -> enrich -> first frame per camera-second keeps its image ->
+    table + keyed documents; returns the stored table (rows-only)."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    ok, _ = _scored(spark, src)
+    marked = mark_first_per_bucket(ok, camera="camera_id", ts="source_ts", tie="frame_id",
+                                   unit="second", delay="1 hour")
+    with_path = marked.withColumn("image_path", F.when(
+        F.col("is_first"), F.concat(F.lit("images/"), F.col("camera_id"), F.lit("_"),
+                                    F.date_format(F.date_trunc("second", "source_ts"), "yyyyMMdd_HHmmss"),
+                                    F.lit(".jpg")))).drop("is_first")
+    table, docs = scratch_dir(spark, "table"), scratch_dir(spark, "docs")
+    run_to_end(store_results(with_path, table_path=table, docs_path=docs,
+                             checkpoint=scratch_dir(spark, "ckpt")))
+    return read_table(spark, table).select("frame_id", "camera_id", "person_count", "image_path",
+                                           "model")
+
+
+_RESULT_DOC_CTE = f"""{FRAMES_CTE},
+r AS (SELECT camera_id || '_' || lpad(lower(hex(frame_id)), 12, '0') AS fid, processed_ts, value,
+             person_count FROM fr)"""
+
+
+@register("running_stats", f"""
+WITH {_RESULT_DOC_CTE}
+SELECT (SELECT count(*) FROM r) AS processed_total,
+       (SELECT value FROM r ORDER BY processed_ts DESC, fid DESC LIMIT 1) AS last_processing_ms,
+       (SELECT person_count FROM r ORDER BY processed_ts DESC, fid DESC LIMIT 1) AS last_person_count""")
+def running_stats(spark, sf):
+    """Processed total / last processing time / last count over the result-document stream,
+    kept in complete mode and rewritten per batch."""
+    from tessera.plans.q_relational import frames as frame_rows
+    docs_path = scratch_dir(spark, "result-docs")
+    fr = frame_rows(spark, sf)
+    fid = F.concat_ws("_", F.col("camera_id"), F.lpad(F.lower(F.hex("frame_id")), 12, "0"))
+    fr.select(fid.alias("frame_id"), "camera_id", F.date_format("processed_ts", ISO).alias("processed_timestamp"),
+              F.col("processing_ms").alias("processing_time_ms"), "person_count") \
+        .repartitionByRange(FILES, "processed_timestamp").write.json(docs_path)
+    schema = "frame_id string, camera_id string, processed_timestamp string, " \
+             "processing_time_ms double, person_count long"
+    stream = S.read_json_stream(spark, "json", _schema(spark, schema), path=docs_path,
+                                options={"maxFilesPerTrigger": "1"}) \
+        .withColumn("processed_ts", F.col("processed_timestamp").try_cast("timestamp"))
+    out = scratch_dir(spark, "running-stats")
+    run_to_end(write_complete(S.running_stats(stream), out, scratch_dir(spark, "ckpt")))
+    return spark.read.parquet(out)
+
+
+def _schema(spark, ddl):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(ddl)

@@ -1,0 +1,73 @@
+"""Stateful stream operator: the first frame of each (camera, time bucket) keeps its image.
+
+Two forms:
+
+* ``first_per_bucket_winners`` — only the winners, with ``dropDuplicatesWithinWatermark``
+  (built-in, state bounded by the watermark).
+* ``mark_first_per_bucket`` — every row, with a boolean flag, via ``applyInPandasWithState``
+  keyed by (camera, bucket).  Inside one micro-batch rows are ordered by (event time, id), so a
+  replay of the same files gives the same winners; across batches the earlier batch wins (arrival
+  order, like the reference).  State per key is one id and is dropped by an event-time timeout
+  once the watermark passes the bucket end plus ``ttl``; keys are per bucket, so a hot camera
+  spreads over many groups.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+_UNIT_MS = {"second": 1000, "minute": 60_000, "hour": 3_600_000}
+
+
+def first_per_bucket_winners(df: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
+                             unit: str = "second", delay: str = "1 minute") -> DataFrame:
+    """One row per (camera, bucket): the first seen, state bounded by the watermark."""
+    return df.withWatermark(ts, delay).withColumn("__bucket", F.date_trunc(unit, F.col(ts))) \
+        .dropDuplicatesWithinWatermark([camera, "__bucket"]).drop("__bucket")
+
+
+def mark_first_per_bucket(df: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
+                          tie: str = "frame_id", unit: str = "second", delay: str = "1 minute",
+                          ttl: str = "0 seconds", flag: str = "is_first") -> DataFrame:
+    """Every row with ``flag`` true for the first frame of its (camera, bucket)."""
+    unit_ms = _UNIT_MS[unit]
+    ttl_ms = _interval_ms(ttl)
+    src = df.withWatermark(ts, delay).withColumn("__bucket", F.date_trunc(unit, F.col(ts)))
+    out_schema = T.StructType(list(src.schema.fields) + [T.StructField(flag, T.BooleanType())])
+    state_schema = T.StructType([T.StructField("winner", T.StringType())])
+    names = [f.name for f in out_schema.fields]
+
+    def mark(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(pdfs), ignore_index=True)
+        if rows.empty:
+            return
+        rows = rows.sort_values([ts, tie], kind="mergesort").reset_index(drop=True)
+        flags = [False] * len(rows)
+        if not state.exists:
+            flags[0] = True
+            state.update((str(rows[tie].iloc[0]),))
+            bucket_ms = int(pd.Timestamp(rows["__bucket"].iloc[0]).value // 1_000_000)
+            state.setTimeoutTimestamp(max(bucket_ms + unit_ms + ttl_ms,
+                                          state.getCurrentWatermarkMs() + 1))
+        rows[flag] = flags
+        yield rows[names]
+
+    marked = src.groupBy(camera, "__bucket").applyInPandasWithState(
+        mark, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    return marked.drop("__bucket")
+
+
+def _interval_ms(text: str) -> int:
+    n, unit = text.split()
+    unit = unit.rstrip("s")
+    return int(float(n) * {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
+                           "day": 86_400_000}[unit])
