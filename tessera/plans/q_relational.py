@@ -35,28 +35,30 @@ CLASS_NAMES = ("person", "car", "dog")
 
 def frames(spark, sf):
     """Stored-result stand-in built from ``events`` (one row per event)."""
-    ev = tb.table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    ev = tb.table(spark, sf, "events").select(
+        "event_type", "event_id", "user_id", "ts", "value", "props",
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    k, value = F.col("k"), F.col("value")
     n = (k % 5).cast("long")
     processed = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))
-                                   + F.round(F.col("value") * 1e6).cast("long"))
+                                   + F.round(value * 1e6).cast("long"))
+    names = F.array(*[F.lit(c) for c in CLASS_NAMES])
 
     def box(i):
         cls = (k + i) % 3
-        x1 = F.col("value") + i * F.lit(1.2345)
-        y1 = F.col("value") / 2 + i
+        x1 = value + i * F.lit(1.2345)
+        y1 = value / 2 + i
         return F.struct(x1.alias("x1"), y1.alias("y1"), (x1 + F.lit(10.5555)).alias("x2"),
                         (y1 + F.lit(20.4444)).alias("y2"),
                         (((k + i * 7) % 100) / F.lit(100.0) + F.lit(0.00375)).alias("confidence"),
                         cls.cast("long").alias("class_id"),
-                        F.element_at(F.array(*[F.lit(c) for c in CLASS_NAMES]), (cls + 1).cast("int"))
-                        .alias("class_name"))
+                        F.element_at(names, (cls + 1).cast("int")).alias("class_name"))
     boxes = F.when(n > 0, F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), box)) \
         .otherwise(F.array().cast(D.BOXES_TYPE))
     return ev.select(F.col("event_type").alias("camera_id"), F.col("event_id").alias("frame_id"),
                      F.col("user_id"), F.col("ts").cast("timestamp").alias("source_ts"),
                      processed.alias("processed_ts"), n.alias("person_count"),
-                     F.col("value").alias("processing_ms"), boxes.alias("boxes"), "props")
+                     value.alias("processing_ms"), boxes.alias("boxes"), "props")
 
 
 FRAMES_CTE = """fr AS (
@@ -200,13 +202,24 @@ def camera_stats(spark, sf):
     return FR.camera_stats(frames(spark, sf))
 
 
+def _pct(p: float) -> str:
+    """Spark's exact ``percentile``: linear interpolation at position (n - 1) * p."""
+    pos = f"((n - 1)::DOUBLE * {p}::DOUBLE)"
+    lo = f"s[CAST(floor({pos}) AS BIGINT) + 1]::DOUBLE"
+    hi = f"s[CAST(ceil({pos}) AS BIGINT) + 1]::DOUBLE"
+    return (f"CASE WHEN ceil({pos}) = floor({pos}) THEN {lo} "
+            f"ELSE (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} END")
+
+
 @register("stream_lag", f"""
 WITH {FRAMES_CTE},
-l AS (SELECT camera_id, epoch_us(processed_ts) - epoch_us(source_ts) AS lag_us FROM fr)
-SELECT camera_id, count(lag_us) AS n, avg(lag_us) / 1e6 AS mean_lag_s, min(lag_us) / 1e6 AS min_lag_s,
-       max(lag_us) / 1e6 AS max_lag_s, quantile_cont(lag_us, 0.5) / 1e6 AS p50_lag_s,
-       quantile_cont(lag_us, 0.95) / 1e6 AS p95_lag_s, quantile_cont(lag_us, 0.99) / 1e6 AS p99_lag_s
-FROM l GROUP BY camera_id""")
+l AS (SELECT camera_id, epoch_us(processed_ts) - epoch_us(source_ts) AS lag_us FROM fr),
+g AS (SELECT camera_id, count(lag_us) AS n, avg(lag_us) AS mean_us, min(lag_us) AS mn, max(lag_us) AS mx,
+             list_sort(list(lag_us)) AS s FROM l GROUP BY camera_id)
+SELECT camera_id, n, mean_us / 1e6 AS mean_lag_s, mn / 1e6 AS min_lag_s, mx / 1e6 AS max_lag_s,
+       ({_pct(0.5)}) / 1e6 AS p50_lag_s, ({_pct(0.95)}) / 1e6 AS p95_lag_s,
+       ({_pct(0.99)}) / 1e6 AS p99_lag_s
+FROM g""")
 def stream_lag(spark, sf):
     return FR.lag_stats(frames(spark, sf), "source_ts", "processed_ts", keys=["camera_id"])
 
