@@ -56,8 +56,8 @@ def _stream(spark, path, files_per_trigger: int = 1):
                               options={"maxFilesPerTrigger": str(files_per_trigger)})
 
 
-def _scored(spark, path, processed=None):
-    good, dead = S.split_errors(S.decode_frames(_stream(spark, path)))
+def _scored(spark, path, processed=None, files_per_trigger: int = 1):
+    good, dead = S.split_errors(S.decode_frames(_stream(spark, path, files_per_trigger)))
     scored = S.score_frames(good, stub_detector_factory)
     return S.enrich_results(scored, MODEL, processed_ts=processed), dead
 
@@ -171,7 +171,7 @@ def frame_pipeline(spark, sf):
     src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
     ok, _ = _scored(spark, src)
     marked = mark_first_per_bucket(ok, camera="camera_id", ts="source_ts", tie="frame_id",
-                                   unit="second", delay="1 hour")
+                                   unit="second", ttl="10 minutes")
     with_path = marked.withColumn("image_path", F.when(
         F.col("is_first"), F.concat(F.lit("images/"), F.col("camera_id"), F.lit("_"),
                                     F.date_format(F.date_trunc("second", "source_ts"), "yyyyMMdd_HHmmss"),

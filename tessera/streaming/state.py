@@ -7,9 +7,12 @@ Two forms:
 * ``mark_first_per_bucket`` — every row, with a boolean flag, via ``applyInPandasWithState``
   keyed by (camera, bucket).  Inside one micro-batch rows are ordered by (event time, id), so a
   replay of the same files gives the same winners; across batches the earlier batch wins (arrival
-  order, like the reference).  State per key is one id and is dropped by an event-time timeout
-  once the watermark passes the bucket end plus ``ttl``; keys are per bucket, so a hot camera
-  spreads over many groups.
+  order, like the reference).  The watermark is on the *arrival* time (the micro-batch
+  timestamp), never on the event time, so no frame is dropped as late: every frame is emitted and
+  only its flag depends on state.  State per key is one id and expires (event-time timeout on the
+  arrival watermark) ``ttl`` after the bucket was first seen, so it stays bounded by arrival rate x
+  ttl, and ``availableNow`` queries still terminate (a processing-time timeout would keep
+  scheduling batches).  Keys are per bucket, so a hot camera spreads over many groups.
 """
 
 from __future__ import annotations
@@ -22,9 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-_UNIT_MS = {"second": 1000, "minute": 60_000, "hour": 3_600_000}
-
-
 def first_per_bucket_winners(df: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
                              unit: str = "second", delay: str = "1 minute") -> DataFrame:
     """One row per (camera, bucket): the first seen, state bounded by the watermark."""
@@ -33,12 +33,13 @@ def first_per_bucket_winners(df: DataFrame, *, camera: str = "camera_id", ts: st
 
 
 def mark_first_per_bucket(df: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
-                          tie: str = "frame_id", unit: str = "second", delay: str = "1 minute",
-                          ttl: str = "0 seconds", flag: str = "is_first") -> DataFrame:
+                          tie: str = "frame_id", unit: str = "second", ttl: str = "10 minutes",
+                          flag: str = "is_first") -> DataFrame:
     """Every row with ``flag`` true for the first frame of its (camera, bucket)."""
-    unit_ms = _UNIT_MS[unit]
     ttl_ms = _interval_ms(ttl)
-    src = df.withWatermark(ts, delay).withColumn("__bucket", F.date_trunc(unit, F.col(ts)))
+    src = df.withColumn("__bucket", F.date_trunc(unit, F.col(ts))) \
+        .withColumn("__arrival", F.current_timestamp()) \
+        .withWatermark("__arrival", "0 seconds")
     out_schema = T.StructType(list(src.schema.fields) + [T.StructField(flag, T.BooleanType())])
     state_schema = T.StructType([T.StructField("winner", T.StringType())])
     names = [f.name for f in out_schema.fields]
@@ -55,15 +56,14 @@ def mark_first_per_bucket(df: DataFrame, *, camera: str = "camera_id", ts: str =
         if not state.exists:
             flags[0] = True
             state.update((str(rows[tie].iloc[0]),))
-            bucket_ms = int(pd.Timestamp(rows["__bucket"].iloc[0]).value // 1_000_000)
-            state.setTimeoutTimestamp(max(bucket_ms + unit_ms + ttl_ms,
-                                          state.getCurrentWatermarkMs() + 1))
+            arrival_ms = int(pd.Timestamp(rows["__arrival"].max()).value // 1_000_000)
+            state.setTimeoutTimestamp(max(arrival_ms, state.getCurrentWatermarkMs()) + ttl_ms)
         rows[flag] = flags
         yield rows[names]
 
     marked = src.groupBy(camera, "__bucket").applyInPandasWithState(
         mark, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
-    return marked.drop("__bucket")
+    return marked.drop("__bucket", "__arrival")
 
 
 def _interval_ms(text: str) -> int:

@@ -77,7 +77,7 @@ def write_complete(stream: DataFrame, path: str, checkpoint: str,
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 1800.0) -> None:
+def run_to_end(query: StreamingQuery, timeout_s: float = 900.0) -> None:
     """Wait for an ``availableNow`` query; re-raise its failure."""
     query.awaitTermination(timeout_s)
     if query.isActive:
