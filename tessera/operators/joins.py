@@ -1,10 +1,10 @@
 """Join operators (J1-J7).
 
-Broadcast policy: a side is broadcast only behind a size check.  ``bounded_broadcast`` counts at
-most ``max_rows + 1`` rows of the candidate (a ``LIMIT`` job that stops early) and hints
-``broadcast`` only when it is within the bound; otherwise the plain join is returned and
-Catalyst/AQE choose a shuffle join (and may still broadcast at runtime from real sizes).
-Small literal lists (stop-words, fixed lookup pairs) are bounded by construction.
+Broadcast policy: a side is broadcast only behind a size check.  ``fits_broadcast`` counts at
+most ``max_rows + 1`` rows of the *raw* candidate (a ``LIMIT`` job that stops reading once the
+bound is passed, before any shuffle) and ``broadcast`` is hinted only within the bound; beyond it
+the plain join is returned and Catalyst/AQE choose a shuffle join (AQE may still broadcast at
+runtime from measured sizes).  Small literal lists (stop-words) are bounded by construction.
 """
 
 from __future__ import annotations
@@ -60,9 +60,9 @@ def lookup(df: DataFrame, dim: DataFrame, key: str | tuple[str, str], value: str
     ``key`` is a column name present on both sides, or ``(left_key, dim_key)``.
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
+    small = fits_broadcast(dim.select(dim_key), max_rows)
     d = dim.select(F.col(dim_key).alias("__lk"), F.col(value).alias("__lv")).dropDuplicates(["__lk"])
-    d = bounded_broadcast(d, max_rows)
-    joined = df.join(d, df[left_key] == d["__lk"], "left")
+    joined = df.join(F.broadcast(d) if small else d, df[left_key] == d["__lk"], "left")
     return joined.withColumn(out or value, F.coalesce(F.col("__lv"), F.lit(default))) \
         .drop("__lk", "__lv")
 
@@ -71,13 +71,15 @@ def exclude_values(df: DataFrame, col: str, values: DataFrame | Sequence[str],
                    value_col: str | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Anti-join: rows of ``df`` whose ``col`` is not among ``values``.
 
-    ``values`` may be a Python list (broadcast, bounded by construction) or a DataFrame (made
-    DISTINCT first, so no fan-out; broadcast only behind the size check).
+    ``values`` may be a Python list (broadcast, bounded by construction) or a DataFrame.  An anti
+    join never multiplies rows, so a large right side is shuffle-joined as is; a small one (size
+    checked on the raw input) is made DISTINCT and broadcast.
     """
     if isinstance(values, DataFrame):
         vc = value_col or values.columns[0]
-        right = values.select(F.col(vc).alias("__ex")).distinct()
-        right = bounded_broadcast(right, max_rows)
+        right = values.select(F.col(vc).alias("__ex"))
+        if fits_broadcast(right, max_rows):
+            right = F.broadcast(right.distinct())
     else:
         spark = df.sparkSession
         right = F.broadcast(spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "__ex string"))

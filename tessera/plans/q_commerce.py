@@ -11,6 +11,7 @@ from tessera.functions.time import whole_day_span
 from tessera.operators.aggregate import measures, metric_table, two_level
 from tessera.operators.filters import clean_score as clean_score_op
 from tessera.plans import commerce as C
+from tessera.operators.joins import bounded_broadcast
 from tessera.plans import testbed as tb
 from tessera.plans.registry import SCORE_CTE, dec, gross_sql, register, rnd
 
@@ -283,7 +284,7 @@ def orders_by_country(spark, sf):
     nat = tb.table(spark, sf, "nation").join(
         tb.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = tb.table(spark, sf, "customer").join(
-        F.broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        bounded_broadcast(nat, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country"),
         F.col("r_name").alias("country_code"))
     return C.orders_by_country(tb.orders(spark, sf), cust)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tessera.functions.logic import round_half_up
 from tessera.operators.aggregate import mean_count
 from tessera.plans import frames as FR
+from tessera.operators.joins import bounded_broadcast
 from tessera.plans import testbed as tb
 from tessera.plans.q_relational import frames as frame_rows
 from tessera.plans.registry import register, rnd
@@ -112,7 +113,8 @@ def sink_single_csv(spark, sf):
     path = scratch_dir(spark, "orders-by-nation-csv")
     od = tb.table(spark, sf, "orders").join(tb.table(spark, sf, "customer"),
                                             F.col("o_custkey") == F.col("c_custkey"))
-    agg = od.join(F.broadcast(tb.table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")) \
+    nation = bounded_broadcast(tb.table(spark, sf, "nation"), 10_000)
+    agg = od.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
         .groupBy(F.col("n_name").alias("nation")).agg(
             F.count(F.lit(1)).alias("n_orders"),
             F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double").alias("total_price"))

@@ -56,9 +56,16 @@ def store_results(stream: DataFrame, *, table_path: str, docs_path: str | None,
     """Start a query that appends every batch to the table and upserts the keyed documents."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn(stamp, F.current_timestamp()) if stamp else batch
-        append_batch(out, batch_id, table_path)
-        if docs_path:
+        if not docs_path:
+            append_batch(out, batch_id, table_path)
+            return
+        # Two sinks read the same micro-batch: keep it once instead of re-running the detector.
+        out = out.persist()
+        try:
+            append_batch(out, batch_id, table_path)
             upsert_latest(out, batch_id, keys, order, docs_path)
+        finally:
+            out.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
