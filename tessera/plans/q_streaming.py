@@ -19,7 +19,7 @@ from tessera.plans.registry import register, rnd
 from tessera.session import scratch_dir
 from tessera.streaming import frames as S
 from tessera.streaming.detector import stub_detector_factory
-from tessera.streaming.state import mark_first_per_bucket
+from tessera.streaming.state import first_per_bucket_claims
 from tessera.streaming.store import (read_latest, read_table, run_to_end, store_results,
                                      write_complete)
 
@@ -170,15 +170,19 @@ def frame_pipeline(spark, sf):
     table + keyed documents; returns the stored table (rows-only)."""
     src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
     ok, _ = _scored(spark, src)
-    marked = mark_first_per_bucket(ok, camera="camera_id", ts="source_ts", tie="frame_id",
-                                   unit="second", ttl="10 minutes")
-    with_path = marked.withColumn("image_path", F.when(
-        F.col("is_first"), F.concat(F.lit("images/"), F.col("camera_id"), F.lit("_"),
-                                    F.date_format(F.date_trunc("second", "source_ts"), "yyyyMMdd_HHmmss"),
-                                    F.lit(".jpg")))).drop("is_first")
+    claims = first_per_bucket_claims(scratch_dir(spark, "claims"), camera="camera_id",
+                                     ts="source_ts", tie="frame_id", unit="second")
+
+    def prepare(batch, batch_id):
+        marked = claims(batch, batch_id)
+        path = F.concat(F.lit("images/"), F.col("camera_id"), F.lit("_"),
+                        F.date_format(F.date_trunc("second", "source_ts"), "yyyyMMdd_HHmmss"),
+                        F.lit(".jpg"))
+        return marked.withColumn("image_path", F.when(F.col("is_first"), path)).drop("is_first")
+
     table, docs = scratch_dir(spark, "table"), scratch_dir(spark, "docs")
-    run_to_end(store_results(with_path, table_path=table, docs_path=docs,
-                             checkpoint=scratch_dir(spark, "ckpt")))
+    run_to_end(store_results(ok, table_path=table, docs_path=docs,
+                             checkpoint=scratch_dir(spark, "ckpt"), prepare=prepare))
     return read_table(spark, table).select("frame_id", "camera_id", "person_count", "image_path",
                                            "model")
 

@@ -1,6 +1,6 @@
 """Stateful stream operator: the first frame of each (camera, time bucket) keeps its image.
 
-Two forms:
+Three forms:
 
 * ``first_per_bucket_winners`` — only the winners, with ``dropDuplicatesWithinWatermark``
   (built-in, state bounded by the watermark).
@@ -13,6 +13,11 @@ Two forms:
   arrival watermark) ``ttl`` after the bucket was first seen, so it stays bounded by arrival rate x
   ttl, and ``availableNow`` queries still terminate (a processing-time timeout would keep
   scheduling batches).  Keys are per bucket, so a hot camera spreads over many groups.
+* ``first_per_bucket_claims`` — the same flag without Python: a ``foreachBatch`` step.  Winners
+  inside the micro-batch come from the partial ``groupBy`` + join of ``first_per_bucket``; buckets
+  won by earlier batches are kept in a claims table (``<path>/batch_id=<n>``, only the last
+  ``keep_batches`` folders are read, pruned by partition).  A replayed batch ignores its own
+  earlier claims, so the result is the same after a failure.
 """
 
 from __future__ import annotations
@@ -22,6 +27,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+
+from tessera.operators.rank import first_per_bucket
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -71,3 +79,33 @@ def _interval_ms(text: str) -> int:
     unit = unit.rstrip("s")
     return int(float(n) * {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
                            "day": 86_400_000}[unit])
+
+
+def first_per_bucket_claims(claims_path: str, *, camera: str = "camera_id", ts: str = "source_ts",
+                            tie: str = "frame_id", unit: str = "second", flag: str = "is_first",
+                            keep_batches: int = 10_000):
+    """A ``prepare(batch, batch_id)`` hook for ``store_results`` that adds ``flag``.
+
+    The first row (by ``ts``, ``tie``) of each (camera, bucket) in the batch wins unless an
+    earlier batch already claimed that bucket; new claims are written to
+    ``claims_path/batch_id=<batch_id>`` (overwrite, so a replay rewrites the same claims).
+    """
+    root = claims_path.rstrip("/")
+
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        b = batch.withColumn("__bucket", F.date_trunc(unit, F.col(ts)))
+        marked = first_per_bucket(b, [camera, "__bucket"], [ts, tie], flag="__win")
+        try:
+            seen = (spark.read.parquet(root)
+                    .where((F.col("batch_id") < batch_id) & (F.col("batch_id") >= batch_id - keep_batches))
+                    .select(camera, "__bucket").distinct().withColumn("__seen", F.lit(True)))
+            marked = marked.join(seen, [camera, "__bucket"], "left") \
+                .withColumn(flag, F.col("__win") & F.col("__seen").isNull()).drop("__seen")
+        except AnalysisException:  # no claims yet
+            marked = marked.withColumn(flag, F.col("__win"))
+        marked.where(F.col(flag)).select(camera, "__bucket").write.mode("overwrite") \
+            .parquet(f"{root}/batch_id={int(batch_id)}")
+        return marked.drop("__win", "__bucket")
+
+    return prepare

@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,20 +52,27 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame:
 def store_results(stream: DataFrame, *, table_path: str, docs_path: str | None, checkpoint: str,
                   keys: Sequence[str] = ("frame_id",), order: Sequence[str] = ("processed_ts",),
                   stamp: str | None = "stored_ts", trigger: dict | None = None,
-                  query_name: str | None = None) -> StreamingQuery:
-    """Start a query that appends every batch to the table and upserts the keyed documents."""
+                  query_name: str | None = None,
+                  prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamingQuery:
+    """Start a query that appends every batch to the table and upserts the keyed documents.
+
+    ``prepare(batch, batch_id)`` may rewrite each micro-batch first (e.g. the first-per-bucket
+    flag kept in a claims table); the batch is persisted while several actions read it, so the
+    upstream stages (the detector) run once per batch.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.withColumn(stamp, F.current_timestamp()) if stamp else batch
-        if not docs_path:
-            append_batch(out, batch_id, table_path)
-            return
-        # Two sinks read the same micro-batch: keep it once instead of re-running the detector.
-        out = out.persist()
+        shared = prepare is not None or docs_path is not None
+        src = batch.persist() if shared else batch
         try:
+            out = prepare(src, batch_id) if prepare is not None else src
+            if stamp:
+                out = out.withColumn(stamp, F.current_timestamp())
             append_batch(out, batch_id, table_path)
-            upsert_latest(out, batch_id, keys, order, docs_path)
+            if docs_path:
+                upsert_latest(out, batch_id, keys, order, docs_path)
         finally:
-            out.unpersist()
+            if shared:
+                src.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:

@@ -12,7 +12,7 @@ from tessera.session import scratch_dir
 from tessera.sources.text import read_json_documents
 from tessera.streaming import frames as S
 from tessera.streaming.detector import stub_detector_factory
-from tessera.streaming.state import mark_first_per_bucket
+from tessera.streaming.state import first_per_bucket_claims, mark_first_per_bucket
 from tessera.streaming.store import read_latest, read_table, run_to_end, store_results
 
 from .conftest import SF_SMALL
@@ -100,3 +100,28 @@ def test_pretty_printed_document_per_file(spark, tmp_dir):
     rows = read_json_documents(spark, tmp_dir, schema).orderBy("frame_id").collect()
     assert [(r.frame_id, r.person_count, len(r.boxes)) for r in rows] == [
         ("cam_01_0000000000aa", 1, 1), ("cam_01_0000000000ab", 0, 0)]
+
+
+def test_claims_marking_matches_batch_and_spans_batches(spark):
+    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
+    # Several micro-batches (one file each): a bucket split over two files is won once.
+    ok, _ = Q._scored(spark, src)
+    prepare = first_per_bucket_claims(scratch_dir(spark, "claims"), unit="day")
+    table = scratch_dir(spark, "t")
+    run_to_end(store_results(ok, table_path=table, docs_path=None, checkpoint=scratch_dir(spark, "c"),
+                             prepare=prepare))
+    stored = read_table(spark, table)
+    n_buckets = stored.select("camera_id", F.date_trunc("day", "source_ts")).distinct().count()
+    assert stored.where("is_first").count() == n_buckets
+    assert stored.count() == stored.select("frame_id").distinct().count()
+    # With everything in one micro-batch the winners equal the batch operator's.
+    ok1, _ = Q._scored(spark, src, files_per_trigger=Q.FILES)
+    table1 = scratch_dir(spark, "t1")
+    run_to_end(store_results(ok1, table_path=table1, docs_path=None, checkpoint=scratch_dir(spark, "c1"),
+                             prepare=first_per_bucket_claims(scratch_dir(spark, "claims1"), unit="day")))
+    streamed = {r.frame_id: r.is_first for r in read_table(spark, table1).collect()}
+    batch_ok, _ = _batch_results(spark, src)
+    b = batch_ok.withColumn("bucket", F.date_trunc("day", "source_ts"))
+    batched = {r.frame_id: r.is_first
+               for r in first_per_bucket(b, ["camera_id", "bucket"], ["source_ts", "frame_id"]).collect()}
+    assert streamed == batched
