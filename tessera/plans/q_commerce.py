@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.logic import first_match, money, safe_ratio
+from tessera.functions.logic import money, safe_ratio
 from tessera.functions.time import gap_days as gap_days_expr
 from tessera.functions.time import parse_ts as parse_ts_expr
 from tessera.functions.time import whole_day_span
 from tessera.operators.aggregate import measures, metric_table, two_level
 from tessera.operators.filters import clean_score as clean_score_op
-from tessera.plans import commerce as C
 from tessera.operators.joins import bounded_broadcast
+from tessera.plans import commerce as C
 from tessera.plans import testbed as tb
 from tessera.plans.registry import SCORE_CTE, dec, gross_sql, register, rnd
 
@@ -374,6 +374,3 @@ def global_agg(spark, sf):
     return agg_op(li, {"n_lines": F.count(F.lit(1)), "total_qty": F.sum("l_quantity"),
                        "avg_qty": F.round(F.avg("l_quantity"), 2),
                        "total_price": F.round(F.sum(money("l_extendedprice")), 2).cast("double")})
-
-
-__all__ = ["first_match"]

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tessera.functions.logic import round_half_up
 from tessera.operators.aggregate import mean_count
-from tessera.plans import frames as FR
 from tessera.operators.joins import bounded_broadcast
 from tessera.plans import testbed as tb
 from tessera.plans.q_relational import frames as frame_rows
@@ -173,6 +172,3 @@ def schema_catalog(spark, sf):
             for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, "
                                        "data_type string, nullable boolean")
-
-
-__all__ = ["FR"]

@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from tessera.functions.logic import bucketize, coalesce_default, safe_ratio
 from tessera.functions.text import clean_text
-from tessera.functions.time import gap_days, iso_parse
+from tessera.functions.time import iso_parse
 from tessera.operators.aggregate import count_by, explode_labels, metric_table, pivot_mean
 from tessera.operators.filters import clean_score, filter_year, split_malformed
-from tessera.operators.joins import exclude_values, join_full_outer, lookup
+from tessera.operators.joins import exclude_values, lookup
 from tessera.operators.rank import first_per_bucket, global_rank, top_n_per_group
 from tessera.plans import commerce as C
 from tessera.plans import ratings as R
