@@ -125,3 +125,15 @@ def test_claims_marking_matches_batch_and_spans_batches(spark):
     batched = {r.frame_id: r.is_first
                for r in first_per_bucket(b, ["camera_id", "bucket"], ["source_ts", "frame_id"]).collect()}
     assert streamed == batched
+
+
+def test_camera_stats_stream_equals_batch(spark):
+    from tessera.plans.frames import camera_stats
+    from tessera.streaming.store import write_complete
+    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
+    ok, _ = Q._scored(spark, src)
+    out = scratch_dir(spark, "stats")
+    run_to_end(write_complete(camera_stats(ok), out, scratch_dir(spark, "c")))
+    streamed = {tuple(r) for r in spark.read.parquet(out).collect()}
+    batch_ok, _ = _batch_results(spark, src)
+    assert streamed == {tuple(r) for r in camera_stats(batch_ok).collect()}
