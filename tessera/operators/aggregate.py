@@ -68,7 +68,7 @@ def metric_table(metrics: Mapping[str, tuple[DataFrame, str]], count_null: bool
     for metric, (df, col) in metrics.items():
         n = F.count_distinct(col)
         if count_null:
-            n = n + F.max(F.col(col).isNull().cast("long"))
+            n = n + F.coalesce(F.max(F.col(col).isNull().cast("long")), F.lit(0))
         parts.append(df.agg(F.lit(metric).alias(name_col), n.cast("long").alias(value_col)))
     out = parts[0]
     for p in parts[1:]:
