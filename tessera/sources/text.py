@@ -22,7 +22,7 @@ def _as_strings(schema: T.StructType) -> T.StructType:
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, *,
                    sep: str = ",", trim: bool = True, min_fields: int | None = None,
-                   quote: str | None = "") -> DataFrame:
+                   quote: str | None = "", flag_surplus: str | None = None) -> DataFrame:
     """Positional delimited text without header.
 
     * ``quote=""`` turns quoting off: quote characters are data (``quote=None`` keeps Spark's
@@ -31,8 +31,14 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
       skipped.
     * ``trim`` strips each field; values are cast to the schema types with ``try_cast``.
     * ``min_fields=n`` keeps only rows whose first ``n`` fields are present.
+    * ``flag_surplus="name"`` adds a boolean column that is true when the line had more fields than
+      the schema (e.g. an unquoted comma inside a title shifted the positions), so such rows can be
+      reported as rejects while the positional reading is kept.
     """
-    reader = spark.read.schema(_as_strings(schema)).option("sep", sep).option("header", False) \
+    read_schema = _as_strings(schema)
+    if flag_surplus:
+        read_schema = read_schema.add(T.StructField("__surplus", T.StringType(), True))
+    reader = spark.read.schema(read_schema).option("sep", sep).option("header", False) \
         .option("mode", "PERMISSIVE")
     if quote is not None:
         reader = reader.option("quote", quote)
@@ -41,6 +47,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     for f in schema.fields:
         c = F.trim(F.col(f.name)) if trim else F.col(f.name)
         cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
+    if flag_surplus:
+        cols.append(F.col("__surplus").isNotNull().alias(flag_surplus))
     out = raw.select(*cols)
     if min_fields:
         names = [f.name for f in schema.fields[:min_fields]]

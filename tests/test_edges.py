@@ -46,6 +46,13 @@ def test_read_delimited_trims_and_skips_short_rows(spark, tmp_dir):
         ("1043", "Toy Story (1995)", "Animation|Children|Comedy")]
 
 
+def test_read_delimited_flags_shifted_rows(spark, tmp_dir):
+    p = _write(tmp_dir, "movies.txt", "1,Heat,Crime\n2,Crouching Tiger, Hidden Dragon (2000),Action\n")
+    rows = read_delimited(spark, p, MOVIE_SCHEMA, flag_surplus="shifted").orderBy("movie").collect()
+    assert [(r.movie, r.title, r.genres, r.shifted) for r in rows] == [
+        ("1", "Heat", "Crime", False), ("2", "Crouching Tiger", "Hidden Dragon (2000)", True)]
+
+
 def test_read_delimited_bad_number_is_null(spark, tmp_dir):
     p = _write(tmp_dir, "ratings.txt", "1, 10, abc, 964982703\n2, 10, 4.5, 964982703\n")
     rows = read_delimited(spark, p, RATING_SCHEMA).orderBy("user").collect()
