@@ -81,6 +81,28 @@ def store_results(stream: DataFrame, *, table_path: str, docs_path: str | None,
     return w.start()
 
 
+def write_json_stream(stream: DataFrame, *, fmt: str = "kafka", checkpoint: str,
+                      path: str | None = None, options: dict | None = None,
+                      key: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """JSON message sink: each row becomes ``value = to_json(struct(*))`` (and ``key``).
+
+    ``fmt='kafka'`` writes to the topic given in ``options`` (e.g. ``{"kafka.bootstrap.servers":
+    ..., "topic": ...}``); ``fmt='json'`` / ``'text'`` writes the messages as files under ``path``
+    (append mode; the file sink is exactly-once with the checkpoint).
+    """
+    if fmt != "kafka" and key:
+        raise ValueError("file sinks carry only the value; drop key= or use kafka")
+    cols = [F.to_json(F.struct(*[F.col(c) for c in stream.columns])).alias("value")]
+    if key:
+        cols.insert(0, F.col(key).cast("string").alias("key"))
+    msgs = stream.select(*cols)
+    w = msgs.writeStream.format("text" if fmt == "json" else fmt).outputMode("append") \
+        .option("checkpointLocation", checkpoint).options(**(options or {}))
+    if path:
+        w = w.option("path", path)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def write_complete(stream: DataFrame, path: str, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
     """Complete-mode aggregate -> the current full result rewritten at ``path`` each batch."""

@@ -137,3 +137,17 @@ def test_camera_stats_stream_equals_batch(spark):
     streamed = {tuple(r) for r in spark.read.parquet(out).collect()}
     batch_ok, _ = _batch_results(spark, src)
     assert streamed == {tuple(r) for r in camera_stats(batch_ok).collect()}
+
+
+def test_json_message_sink_round_trip(spark):
+    from tessera.streaming.store import write_json_stream
+    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
+    ok, _ = Q._scored(spark, src)
+    out = scratch_dir(spark, "topic")
+    results = ok.select("camera_id", "frame_id", "person_count", "boxes")
+    run_to_end(write_json_stream(results, fmt="json", path=out, checkpoint=scratch_dir(spark, "c")))
+    schema = results.schema
+    back = spark.read.text(out).select(F.from_json("value", schema).alias("m")).select("m.*")
+    batch_ok, _ = _batch_results(spark, src)
+    want = {(r.frame_id, r.person_count, len(r.boxes)) for r in batch_ok.collect()}
+    assert {(r.frame_id, r.person_count, len(r.boxes)) for r in back.collect()} == want
