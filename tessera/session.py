@@ -63,14 +63,25 @@ def ship_package(spark: SparkSession) -> None:
 
     Stages that run Python in tasks (the detector in ``mapInPandas``, the stateful marker) refer to
     functions of this package; workers import them by name.  The package is zipped once per
-    application and added with ``addPyFile``, which Spark serves to every executor.
+    application and added with ``addPyFile``, which Spark serves to every executor.  The zip is
+    staged under the shared checkpoint folder when that is a file-system path (else next to the
+    driver, from where Spark serves it).  Set ``tessera.shipPackage=false`` when the package is
+    installed on the executors already.
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or spark.conf.get("tessera.shipPackage", "true").lower() == "false":
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    zip_path = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    shared = spark.conf.get("tessera.shared.dir", None) or ""
+    if shared.startswith("file:"):
+        shared = shared[len("file:"):]
+    if shared and "://" not in shared and os.path.isdir(shared):
+        stage = os.path.join(shared, "pyfiles", f"{app}-{uuid.uuid4().hex[:8]}")
+        os.makedirs(stage, exist_ok=True)
+    else:
+        stage = tempfile.mkdtemp(prefix="tessera-pkg-")
+    zip_path = os.path.join(stage, "tessera.zip")
     with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(pkg_dir):
             if "__pycache__" in root:
