@@ -34,16 +34,68 @@ def upsert_latest(batch: DataFrame, batch_id: int, keys: Sequence[str], order: S
     latest.write.mode("overwrite").parquet(f"{docs_path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
+def _snapshot_root(docs_path: str) -> str:
+    return f"{docs_path.rstrip('/')}/_snapshot"
+
+
+def _latest_snapshot(spark: SparkSession, docs_path: str) -> tuple[int, DataFrame] | None:
+    """(upto, rows) of the newest complete snapshot, or None."""
+    from pyspark.errors import AnalysisException
+    try:
+        marks = spark.read.json(f"{_snapshot_root(docs_path)}/_committed")
+    except AnalysisException:
+        return None
+    row = marks.agg(F.max("upto").alias("upto")).first()
+    if row is None or row.upto is None:
+        return None
+    upto = int(row.upto)
+    return upto, spark.read.parquet(f"{_snapshot_root(docs_path)}/upto={upto}")
+
+
 def read_latest(spark: SparkSession, docs_path: str, keys: Sequence[str],
                 order: Sequence[str] = ()) -> DataFrame:
-    """Current document per key: highest ``batch_id``, then highest ``order``."""
+    """Current document per key: highest ``batch_id``, then highest ``order``.
+
+    When a snapshot exists (``compact_latest``), only the snapshot and the batches written after
+    it are read, so a read does not grow with the age of the stream.
+    """
     docs = spark.read.parquet(docs_path)
+    snap = _latest_snapshot(spark, docs_path)
+    if snap is not None:
+        upto, rows = snap
+        docs = docs.where(F.col("batch_id") > upto).unionByName(rows, allowMissingColumns=True)
     data_cols = [c for c in docs.columns if c != "batch_id"]
     ordering = F.struct(F.col("batch_id"), *[F.col(c) for c in order])
     return docs.groupBy(*keys).agg(F.max_by(F.struct(*data_cols), ordering).alias("__r")) \
         .select("__r.*")
 
 
+def compact_latest(spark: SparkSession, docs_path: str, keys: Sequence[str],
+                   order: Sequence[str] = ()) -> int:
+    """Write the current document per key as a snapshot covering every batch written so far.
+
+    The snapshot goes to ``<docs>/_snapshot/upto=<n>`` (keeping each row's ``batch_id``); a
+    commit marker is written only after the data, so readers never see a partial snapshot.  Old
+    batch folders and snapshots are left for the caller's retention policy.  Returns ``n``.
+    """
+    upto = spark.read.parquet(docs_path).agg(F.max("batch_id").alias("m")).first().m
+    if upto is None:
+        return -1
+    docs = spark.read.parquet(docs_path)
+    snap = _latest_snapshot(spark, docs_path)
+    if snap is not None:
+        prev, rows = snap
+        docs = docs.where(F.col("batch_id") > prev).unionByName(rows, allowMissingColumns=True)
+    docs = docs.where(F.col("batch_id") <= upto)
+    cols = docs.columns
+    ordering = F.struct(F.col("batch_id"), *[F.col(c) for c in order])
+    latest = docs.groupBy(*keys).agg(F.max_by(F.struct(*cols), ordering).alias("__r")).select("__r.*")
+    latest.write.mode("overwrite").parquet(f"{_snapshot_root(docs_path)}/upto={int(upto)}")
+    spark.createDataFrame([(int(upto),)], "upto long").coalesce(1).write.mode("append") \
+        .json(f"{_snapshot_root(docs_path)}/_committed")
+    return int(upto)
+
+
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """The append-only table (all batches), without the batch folder column."""
     return spark.read.parquet(table_path).drop("batch_id")
