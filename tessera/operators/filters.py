@@ -42,11 +42,16 @@ def clean_score(df: DataFrame, col: str, lo: int = 1, hi: int = 5, as_type: str
                 out: str | None = None) -> DataFrame:
     """Keep rows whose ``col`` casts to ``as_type`` and lies in ``[lo, hi]`` (NULL rejected).
 
-    Text such as ``"4.0"`` is read through double first so it counts as 4, like a numeric source.
+    Text such as ``"4.0"`` is read through double first so it counts as 4, like a numeric source;
+    a fractional value such as ``"4.7"`` is not a valid score.
     """
     raw = F.col(col)
-    num = F.coalesce(raw.try_cast(as_type), raw.try_cast("double").try_cast(as_type)) \
-        if as_type in ("int", "bigint", "long") else raw.try_cast(as_type)
+    if as_type in ("int", "bigint", "long"):
+        dbl = raw.try_cast("double")
+        num = F.coalesce(raw.try_cast(as_type),
+                         F.when(dbl == F.floor(dbl), dbl.try_cast(as_type)))
+    else:
+        num = raw.try_cast(as_type)
     target = out or col
     return df.withColumn(target, num).where(F.col(target).between(lo, hi))
 

@@ -108,6 +108,9 @@ def first_per_bucket(df: DataFrame, keys: Sequence[str | Column], order: Sequenc
                                                       F.col("__ord")).alias("__w"))
         return best.select("__w.*")
     best = keyed.groupBy(*key_names).agg(F.min("__ord").alias("__best"))
-    out = keyed.join(best, key_names, "left")
-    return out.withColumn(flag, F.col("__ord") == F.col("__best")) \
-        .drop("__ord", "__best", *key_names)
+    best = best.select(*[F.col(k).alias(f"{k}_b") for k in key_names], "__best")
+    # NULL is a group of its own (as in groupBy), so the join back is null-safe.
+    cond = [keyed[k].eqNullSafe(best[f"{k}_b"]) for k in key_names]
+    out = keyed.join(best, cond, "left")
+    return out.withColumn(flag, F.coalesce(F.col("__ord") == F.col("__best"), F.lit(False))) \
+        .drop("__ord", "__best", *key_names, *[f"{k}_b" for k in key_names])

@@ -106,7 +106,7 @@ def test_safe_ratio_and_defaults(spark):
 # --- scores, counts, distinct metrics -----------------------------------------------------------
 
 def test_clean_score_accepts_only_1_to_5(spark):
-    df = spark.createDataFrame([(1, None), (2, "0"), (3, "6"), (4, "abc"), (5, "4.0"), (6, "5")],
+    df = spark.createDataFrame([(1, None), (2, "0"), (3, "6"), (4, "abc"), (5, "4.0"), (6, "5"), (7, "4.7")],
                                "id int, s string")
     got = sorted((r.id, r.s) for r in clean_score(df, "s").collect())
     assert got == [(5, 4), (6, 5)]
@@ -281,14 +281,14 @@ def test_global_rank_equals_row_number_for_any_partitioning(spark):
 def test_first_per_bucket_all_rows_and_winners(spark):
     t = dt.datetime(2024, 1, 1, 9, 0, 0)
     rows = [("cam", "f2", t + dt.timedelta(milliseconds=500)), ("cam", "f1", t + dt.timedelta(milliseconds=100)),
-            ("cam", "f3", t + dt.timedelta(seconds=1)), ("cam2", "f4", t)]
+            ("cam", "f3", t + dt.timedelta(seconds=1)), ("cam2", "f4", t), (None, "f5", t), (None, "f6", t)]
     df = spark.createDataFrame(rows, "camera string, frame string, ts timestamp") \
         .withColumn("sec", F.date_trunc("second", "ts"))
     flags = {r.frame: r.is_first for r in first_per_bucket(df, ["camera", "sec"], ["ts", "frame"]).collect()}
-    assert flags == {"f1": True, "f2": False, "f3": True, "f4": True}
+    assert flags == {"f1": True, "f2": False, "f3": True, "f4": True, "f5": True, "f6": False}
     winners = sorted(r.frame for r in first_per_bucket(df, ["camera", "sec"], ["ts", "frame"],
                                                        winners_only=True).collect())
-    assert winners == ["f1", "f3", "f4"]
+    assert winners == ["f1", "f3", "f4", "f5"]
 
 
 def test_top_n_per_group_bounded(spark):
