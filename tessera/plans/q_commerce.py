@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.logic import money, safe_ratio
+from tessera.functions.logic import cents, from_cents, safe_ratio
 from tessera.functions.time import gap_days as gap_days_expr
 from tessera.functions.time import parse_ts as parse_ts_expr
 from tessera.functions.time import whole_day_span
@@ -51,7 +51,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS item_ordinal, CAST({gross_sql()}
 FROM lineitem""")
 def revenue(spark, sf):
     return tb.order_lines(spark, sf).select("order_id", "item_ordinal",
-                                            _gross().cast("double").alias("revenue"))
+                                            from_cents(_gross()).alias("revenue"))
 
 
 @register("sum_of_ordinal", """
@@ -205,13 +205,13 @@ SELECT n_orders, count(*) AS n_customers, CAST(sum(value) AS DOUBLE) AS total_va
 FROM per_cust GROUP BY n_orders""")
 def two_level_agg(spark, sf):
     ov = tb.order_lines(spark, sf).groupBy("order_id").agg(
-        F.round(F.sum(_gross()), 2).alias("order_value"))
+        F.sum(_gross()).alias("order_value"))  # cents
     joined = tb.orders(spark, sf).select("order_id", "customer_id").join(ov, "order_id")
     return two_level(joined, ["customer_id"],
                      {"n_orders": F.count(F.lit(1)), "value": F.sum("order_value")},
                      ["n_orders"],
                      {"n_customers": F.count(F.lit(1)),
-                      "total_value": F.sum("value").cast("double")})
+                      "total_value": C.exact_total(F.col("value"))})
 
 
 @register("purchase_span_days", """
@@ -373,4 +373,4 @@ def global_agg(spark, sf):
     li = tb.table(spark, sf, "lineitem")
     return agg_op(li, {"n_lines": F.count(F.lit(1)), "total_qty": F.sum("l_quantity"),
                        "avg_qty": F.round(F.avg("l_quantity"), 2),
-                       "total_price": F.round(F.sum(money("l_extendedprice")), 2).cast("double")})
+                       "total_price": C.exact_total(cents("l_extendedprice"))})

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.logic import round_half_up
+from tessera.functions.logic import cents, from_cents, round_half_up
 from tessera.operators.aggregate import mean_count
 from tessera.operators.joins import bounded_broadcast
 from tessera.plans import testbed as tb
@@ -116,7 +116,7 @@ def sink_single_csv(spark, sf):
     agg = od.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
         .groupBy(F.col("n_name").alias("nation")).agg(
             F.count(F.lit(1)).alias("n_orders"),
-            F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double").alias("total_price"))
+            from_cents(F.sum(cents("o_totalprice"))).alias("total_price"))
     write_single_csv(agg, path)
     schema = T.StructType([T.StructField("nation", T.StringType()), T.StructField("n_orders", T.LongType()),
                            T.StructField("total_price", T.DoubleType())])
