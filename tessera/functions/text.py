@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # other character with a space, then squeeze whitespace runs to one space and trim.
 NON_WORD_PATTERN = r"[^\p{L}\p{N}\s]"
 SPACE_RUN_PATTERN = r"\s+"
+# The same two steps in one pass: every whitespace character is neither a letter nor a number, so
+# a run of punctuation and/or whitespace becomes exactly one space either way.
+NON_WORD_RUN_PATTERN = r"[^\p{L}\p{N}]+"
 
 
 def _col(c: str | Column) -> Column:
@@ -20,11 +23,12 @@ def _col(c: str | Column) -> Column:
 
 
 def clean_text(text: str | Column) -> Column:
-    """lower -> non-letter/digit/space to ' ' -> whitespace runs to ' ' -> trim."""
-    lowered = F.lower(_col(text))
-    no_punct = F.regexp_replace(lowered, NON_WORD_PATTERN, " ")
-    squeezed = F.regexp_replace(no_punct, SPACE_RUN_PATTERN, " ")
-    return F.trim(squeezed)
+    """lower -> non-letter/digit/space to ' ' -> whitespace runs to ' ' -> trim.
+
+    Evaluated as one regex pass (``NON_WORD_RUN_PATTERN``), which gives the same text as the two
+    replacements and halves the regex work over whole documents.
+    """
+    return F.trim(F.regexp_replace(F.lower(_col(text)), NON_WORD_RUN_PATTERN, " "))
 
 
 def token_array(cleaned: str | Column) -> Column:
