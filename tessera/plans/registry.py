@@ -39,7 +39,8 @@ def rnd(expr: str, k: int = 2) -> str:
 
 
 def dec(col: str) -> str:
-    """DuckDB text of the exact money cast used by the Spark side."""
+    """DuckDB exact money: DECIMAL(18,2).  The Spark side sums integer cents; both are exact, so
+    totals and means agree to the last bit."""
     return f"CAST({col} AS DECIMAL(18,2))"
 
 
