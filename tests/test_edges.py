@@ -296,3 +296,27 @@ def test_top_n_per_group_bounded(spark):
     out = top_n_per_group(df, "g", [F.col("id").desc()], 4).collect()
     assert len(out) == 12
     assert {r.id for r in out if r.g == 0} == {99, 96, 93, 90}
+
+
+# --- sinks --------------------------------------------------------------------------------------
+
+def test_write_lines_refuses_existing_target(spark, tmp_dir):
+    import pytest
+    from tessera.sinks.files import write_lines
+    df = spark.createDataFrame([("Heat", 4.125, 2)], "t string, m double, n long")
+    path = os.path.join(tmp_dir, "out")
+    write_lines(df, "%-6s %.2f %d", ["t", F.round("m", 2), "n"], path)
+    assert [r.value for r in spark.read.text(path).collect()] == ["Heat   4.13 2"]
+    with pytest.raises(Exception):
+        write_lines(df, "%s", ["t"], path)
+
+
+def test_single_csv_refuses_large_input(spark, tmp_dir):
+    import pytest
+    from tessera.sinks.files import write_single_csv
+    small = spark.range(5)
+    write_single_csv(small, os.path.join(tmp_dir, "small"), max_rows=10)
+    parts = [f for f in os.listdir(os.path.join(tmp_dir, "small")) if f.startswith("part-")]
+    assert len(parts) == 1
+    with pytest.raises(ValueError):
+        write_single_csv(spark.range(50), os.path.join(tmp_dir, "big"), max_rows=10)
