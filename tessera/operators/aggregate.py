@@ -113,13 +113,13 @@ def pivot_mean(df: DataFrame, row: str | Sequence[str], col: str, values: Mappin
     return wide
 
 
-def explode_labels(df: DataFrame, labels_col: str, sep: str = "|", out: str = "label",
-                   min_fields: int | None = None) -> DataFrame:
-    """One row per non-empty label of a delimited multi-value column (``Drama||War`` -> 2 rows)."""
+def explode_labels(df: DataFrame, labels_col: str, sep: str = "|", out: str = "label") -> DataFrame:
+    """One row per non-empty label of a delimited multi-value column (``Drama||War`` -> 2 rows).
+
+    A NULL label column (a line without that field) yields no rows, like an empty list.
+    """
     import re
     arr = F.split(F.col(labels_col), re.escape(sep))
-    if min_fields is not None:
-        arr = F.when(F.size(arr) >= min_fields, arr).otherwise(F.array().cast("array<string>"))
     exploded = df.withColumn(out, F.explode(arr))
     return exploded.where(nonempty(F.trim(F.col(out)))).withColumn(out, F.trim(F.col(out)))
 

@@ -172,7 +172,7 @@ def test_pivot_ignores_unlisted_values_and_fills_default(spark):
 
 
 def test_explode_labels_drops_empty_labels(spark):
-    df = spark.createDataFrame([("Drama||War",), ("Comedy|",)], "g string")
+    df = spark.createDataFrame([("Drama||War",), ("Comedy|",), (None,)], "g string")
     assert sorted(r.label for r in explode_labels(df, "g").collect()) == ["Comedy", "Drama", "War"]
 
 
