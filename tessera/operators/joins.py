@@ -57,11 +57,12 @@ def lookup(df: DataFrame, dim: DataFrame, key: str | tuple[str, str], value: str
            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Dictionary lookup with a default for misses; the dictionary is broadcast when bounded.
 
-    ``key`` is a column name present on both sides, or ``(left_key, dim_key)``.
+    ``key`` is a column name present on both sides, or ``(left_key, dim_key)``.  A key listed twice
+    in the dictionary resolves to its largest value, so the result does not depend on row order.
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
     small = fits_broadcast(dim.select(dim_key), max_rows)
-    d = dim.select(F.col(dim_key).alias("__lk"), F.col(value).alias("__lv")).dropDuplicates(["__lk"])
+    d = dim.groupBy(F.col(dim_key).alias("__lk")).agg(F.max(value).alias("__lv"))
     joined = df.join(F.broadcast(d) if small else d, df[left_key] == d["__lk"], "left")
     return joined.withColumn(out or value, F.coalesce(F.col("__lv"), F.lit(default))) \
         .drop("__lk", "__lv")

@@ -83,12 +83,14 @@ def _interval_ms(text: str) -> int:
 
 def first_per_bucket_claims(claims_path: str, *, camera: str = "camera_id", ts: str = "source_ts",
                             tie: str = "frame_id", unit: str = "second", flag: str = "is_first",
-                            keep_batches: int = 10_000):
+                            keep_batches: int = 1_000):
     """A ``prepare(batch, batch_id)`` hook for ``store_results`` that adds ``flag``.
 
     The first row (by ``ts``, ``tie``) of each (camera, bucket) in the batch wins unless an
     earlier batch already claimed that bucket; new claims are written to
-    ``claims_path/batch_id=<batch_id>`` (overwrite, so a replay rewrites the same claims).
+    ``claims_path/batch_id=<batch_id>`` (overwrite, so a replay rewrites the same claims).  Only the
+    last ``keep_batches`` folders are read (the arrival-time TTL of a claim); older folders can be
+    removed by the caller's retention job.
     """
     root = claims_path.rstrip("/")
 

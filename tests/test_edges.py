@@ -139,7 +139,7 @@ def test_full_outer_keeps_both_orphans(spark):
 
 def test_lookup_default_unknown(spark):
     users = spark.createDataFrame([("u1", "1"), ("u2", "99")], "user string, occ string")
-    occ = spark.createDataFrame([("1", "Programmer")], "id string, name string")
+    occ = spark.createDataFrame([("1", "Programmer"), ("1", "Artist")], "id string, name string")
     got = {r.user: r.name for r in lookup(users, occ, ("occ", "id"), "name").collect()}
     assert got == {"u1": "Programmer", "u2": "Unknown"}
 
