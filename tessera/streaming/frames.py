@@ -6,7 +6,7 @@
   naming why a message cannot be processed (missing id, undecodable image).
 * ``split_errors`` — (good, dead-letter) views of one stream; nothing is dropped silently.
 * ``score_frames`` — ``mapInPandas`` around a user-supplied detector; the detector is built
-  once per task (a model load), then called per Arrow batch.
+  once per Python worker process (a model load), then called per Arrow batch.
 * ``enrich_results`` — JVM expressions: keep person boxes >= threshold, round them, count them,
   stamp model name and processing time.
 """
@@ -82,13 +82,31 @@ def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFr
     return df.where(F.col(error).isNull()).drop(error), df.where(F.col(error).isNotNull())
 
 
+_DETECTORS: dict[object, Detector] = {}
+
+
+def cached_detector(factory: DetectorFactory) -> Detector:
+    """The detector built by ``factory``, created once per Python worker process.
+
+    Workers are reused across tasks and micro-batches, and this module is imported (not pickled)
+    on them, so the cache lives as long as the worker: a model is loaded once per process.
+    """
+    key = (getattr(factory, "__module__", None), getattr(factory, "__qualname__", None)) \
+        if getattr(factory, "__qualname__", "<lambda>") != "<lambda>" else id(factory)
+    det = _DETECTORS.get(key)
+    if det is None:
+        det = _DETECTORS[key] = factory()
+    return det
+
+
 def score_frames(df: DataFrame, detector_factory: DetectorFactory, *, image: str = "image_bytes",
                  keep: Sequence[str] = ("camera_id", "frame_id", "frame_index", "timestamp",
                                         "source_ts")) -> DataFrame:
     """Run the detector over every frame; adds ``boxes`` and ``processing_time_ms``.
 
-    The detector is created once per task (not per row or batch); each Arrow batch is passed
-    as one pandas Series.  Works on batch and streaming DataFrames.
+    The detector is created once per Python worker process (``cached_detector``) and reused by
+    every task and micro-batch that worker runs; each Arrow batch is passed as one pandas Series.
+    Works on batch and streaming DataFrames.
     """
     src = df.select(*keep, image)
     out_schema = T.StructType([src.schema[c] for c in keep] + [
@@ -96,7 +114,7 @@ def score_frames(df: DataFrame, detector_factory: DetectorFactory, *, image: str
     keep = list(keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        detect = detector_factory()
+        detect = cached_detector(detector_factory)
         for pdf in batches:
             if pdf.empty:
                 continue
