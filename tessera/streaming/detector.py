@@ -10,6 +10,7 @@ box index, so results can be checked against SQL.
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 import pandas as pd
 
@@ -21,9 +22,11 @@ HEIGHT = 20.4444
 CONF_OFFSET = 0.00375
 
 
-def _boxes_for(k: int | None) -> list[dict]:
+@lru_cache(maxsize=4096)
+def _boxes_for(k: int | None) -> tuple[dict, ...]:
+    """Boxes for one ``k`` (memoised: they depend on ``k`` only; callers copy the dicts)."""
     if k is None:
-        return []
+        return ()
     base = float(k)
     out = []
     for i in range(k % 5):
@@ -33,7 +36,7 @@ def _boxes_for(k: int | None) -> list[dict]:
         out.append({"x1": x1, "y1": y1, "x2": x1 + WIDTH, "y2": y1 + HEIGHT,
                     "confidence": ((k + i * 7) % 100) / 100.0 + CONF_OFFSET,
                     "class_id": cls, "class_name": CLASS_NAMES[cls]})
-    return out
+    return tuple(out)
 
 
 def _k_of(data) -> int | None:
