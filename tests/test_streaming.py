@@ -168,3 +168,17 @@ def test_compacted_documents_read_the_same(spark):
     assert compact_latest(spark, docs, ["frame_id"], ["processed_ts"]) == upto  # idempotent
     again = {tuple(r) for r in read_latest(spark, docs, ["frame_id"], ["processed_ts"]).select(*cols).collect()}
     assert again == before
+
+
+def test_parquet_message_source(spark):
+    msgs = Q._messages(spark, SF_SMALL).drop("ts")
+    src = scratch_dir(spark, "msgs-parquet")
+    msgs.repartitionByRange(3, "frame_index").write.parquet(src)
+    stream = S.read_json_stream(spark, "parquet", S.MESSAGE_SCHEMA, path=src,
+                                options={"maxFilesPerTrigger": "1"})
+    good, dead = S.split_errors(S.decode_frames(stream))
+    table = scratch_dir(spark, "t")
+    run_to_end(store_results(good.drop("image", "image_bytes"), table_path=table, docs_path=None,
+                             checkpoint=scratch_dir(spark, "c"), stamp=None))
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert read_table(spark, table).count() == events.where("event_type <> 'error'").count()
