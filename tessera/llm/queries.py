@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mix
+from tessera.llm import mix, tokens
+from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_token_ids")
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Write the block file of ``docs`` to the shared folder and digest what is read back."""
+    spark = docs.sparkSession
+    out = scratch_dir(spark, "tokens")
+    tokens.write_tokens(docs, out, tokens.default_tokenizer())
+    return tokens.read_digests(spark, out)
+
+
 @query("op7_mix_sources", mix.SQL)
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
