@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mix, tokens
+from tessera.llm import mix, rules, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,27 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return tokens.read_digests(spark, out)
 
 
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"),
+         ("org/fr/", "allow")]
+
+
+@query("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return urls.judge_urls(pages, RULES).drop("url", "html")
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return judged.select("doc_id", "quality.*")
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that a label marks as good: the trusted target of the quality rules."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
 @query("op7_mix_sources", mix.SQL)
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
