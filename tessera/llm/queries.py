@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mix, rules, tokens, urls
+from tessera.llm import jaccard, mix, rules, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,10 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix.report(mix.mix_sources(docs))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class, its copies' least id, and its number of links."""
+    found = jaccard.similar_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links")

@@ -92,7 +92,7 @@ def shingles(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     """
     n, count = len(words), np.diff(first)
     sh = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         sh[:n - k] = mix(sh[:n - k] * U(0x9FB21C651E98DF25) + words[k:] + U(k + 1)) \
             if k else mix(words + U(1))
     per = np.where(count >= width, count - width + 1, (count > 0).astype(np.int64))
@@ -110,3 +110,38 @@ def shingles(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
 def ragged(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """An Arrow binary column, one value per array."""
     return pa.array([v.tobytes() for v in values], type=kind)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows sorted by ``keys``, as tables that split no group of equal keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1] for k in keys]
+        same = np.ones(batch.num_rows, dtype=bool)
+        for k, v in zip(keys, last):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == v.as_py()
+        cut = batch.num_rows - int(same[::-1].argmin()) if not same.all() else 0
+        if not cut:
+            if held and any(held[-1].column(k)[held[-1].num_rows - 1].as_py() != v.as_py()
+                            for k, v in zip(keys, last)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch)
+            continue
+        yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where each run of equal keys begins, and the number of rows."""
+    n = table.num_rows
+    new = np.zeros(n, dtype=bool)
+    new[:1] = True
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.append(np.flatnonzero(new), n)
