@@ -19,6 +19,7 @@ Strings of special tokens inside a text are ordinary text.  Extra columns are ig
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ from tessera.session import scratch_dir
 _ODD = ("[ ][\\t-\\r \\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
         "\\x{202f}\\x{205f}\\x{3000}]")
 #: Pieces of text whose ids a Python worker remembers before it starts anew (memory only).
-REMEMBER = 300_000
+REMEMBER = 400_000
 #: Ids in a block at least, unless its part ends.
 BLOCK = 1 << 16
 _TOKENIZERS: dict[str, Pieces] = {}
@@ -54,32 +55,73 @@ class Pieces:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self._clear()
-
-    def _clear(self) -> None:
+        vocab = self.tok.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space byte
         self.at: dict[str, int] = {}
-        self.flat, self.start, self.size = (np.zeros(0, np.uint32), np.zeros(0, np.int64),
-                                            np.zeros(0, np.int64))
+        self.flat, self.start, self.size, self.used = (
+            np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64),
+            np.zeros(0, np.int64))
+
+    def _forget(self) -> None:
+        """Keep only pieces that came up again."""
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) > REMEMBER // 2:
+            keep = keep[np.argsort(-self.used[keep], kind="stable")[:REMEMBER // 2]]
+        names = list(self.at)
+        self.at = {names[i]: k for k, i in enumerate(keep.tolist())}
+        size = self.size[keep]
+        begin = np.cumsum(size) - size
+        self.flat = self.flat[np.repeat(self.start[keep] - begin, size) + np.arange(size.sum())]
+        self.start, self.size, self.used = begin, size, self.used[keep]
+
+    def _in_a_row(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and sizes of pieces that begin with a space: many are encoded as one text, which is
+        cut at the ids that begin with a space."""
+        flat, size = [], []
+        groups = [pieces[i:i + 2048] for i in range(0, len(pieces), 2048)]
+        for group, e in zip(groups, self.tok.encode_batch_fast(
+                ["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.asarray(e.ids, dtype=np.uint32)
+            cut = np.flatnonzero(self.spaced[ids])
+            if len(cut) == len(group) and cut[0] == 0:
+                flat.append(ids)
+                size.append(np.diff(np.append(cut, len(ids))))
+            else:
+                f, n = self._each(group)
+                flat += f
+                size += n
+        return flat, size
+
+    def _each(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        got = [np.asarray(e.ids, dtype=np.uint32)
+               for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        return got, [np.array([len(g) for g in got], dtype=np.int64)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.at]
-        if not new:
+    def _learn(self, inner: list[str], heads: list[str]) -> None:
+        inner = [p for p in inner if p not in self.at]
+        heads = [p for p in heads if p not in self.at]
+        if not inner and not heads:
             return
-        got = [np.asarray(e.ids, dtype=np.uint32)
-               for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-        size = np.array([len(g) for g in got], dtype=np.int64)
-        begin = np.cumsum(size) - size + len(self.flat)
-        self.flat = np.concatenate([self.flat, *got])
-        self.start, self.size = np.concatenate([self.start, begin]), np.concatenate(
-            [self.size, size])
+        flat, size = self._in_a_row(inner)
+        more = self._each(heads)
+        size = np.concatenate([*size, *more[1]])
+        flat = np.concatenate([self.flat, *flat, *more[0]])
+        self.at.update(zip(inner + heads, range(len(self.at), len(self.at) + len(size))))
+        self.start = np.concatenate([self.start, np.cumsum(size) - size + len(self.flat)])
+        self.size = np.concatenate([self.size, size])
+        self.flat, self.used = flat, np.concatenate([self.used, np.zeros(len(size), np.int64)])
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and where each begins (one entry more than texts)."""
         if len(self.at) > REMEMBER:
-            self._clear()
+            self._forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
@@ -90,17 +132,15 @@ class Pieces:
         values = coded.dictionary.to_pylist()
         head = np.zeros(len(code), dtype=bool)
         head[offs[:-1]] = True
-        spaced = [" " + v for v in values]
         firsts = np.unique(code[head])
-        inner = np.zeros(len(values), dtype=bool)
-        inner[code[~head]] = True
-        self._learn([spaced[i] for i in np.flatnonzero(inner)] + [values[i] for i in firsts])
+        inner = np.unique(code[~head])
+        heads = [values[i] for i in firsts.tolist()]
+        spaced = [" " + values[i] for i in inner.tolist()]
+        self._learn(spaced, heads)
         of_inner = np.zeros(len(values), dtype=np.int64)
         of_head = np.zeros(len(values), dtype=np.int64)
-        for i in np.flatnonzero(inner):
-            of_inner[i] = self.at[spaced[i]]
-        for i in firsts:
-            of_head[i] = self.at[values[i]]
+        of_inner[inner], of_head[firsts] = self._places(spaced), self._places(heads)
+        self.used[of_inner[inner]] += 1
         piece = np.where(head, of_head[code], of_inner[code])
         size = self.size[piece]
         ends = np.cumsum(size)
@@ -130,7 +170,7 @@ def _tokenise(path: str, end_id: int, kind: str):
         start = 0
         for batch in batches:
             _, off = utf8(batch.column("text"))
-            for i, j in chunks(off, 4 << 20):
+            for i, j in chunks(off, 6 << 20):
                 part = batch.slice(i, j - i)
                 ids, bounds = encode_texts(path, part.column("text"))
                 if max(end_id, int(ids.max(initial=0))) > np.iinfo(kind).max:
