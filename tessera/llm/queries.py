@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import jaccard, mix, rules, tokens, urls
+from tessera.llm import decontam, jaccard, mix, rules, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its class, its copies' least id, and its number of links."""
     found = jaccard.similar_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each occurrence of a benchmark item in a document."""
+    return decontam.find_items(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
