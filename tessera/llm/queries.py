@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, jaccard, mix, rules, tokens, urls
+from tessera.llm import decontam, jaccard, mix, rules, spans, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each occurrence of a benchmark item in a document."""
     return decontam.find_items(table(spark, sf_dir, "documents"),
                                table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_sentence_spans")
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stretch of a document that non-first repeats of sentence runs cover."""
+    return spans.repeated_regions(table(spark, sf_dir, "documents"))
