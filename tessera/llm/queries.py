@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import decontam, jaccard, mix, rules, spans, tokens, urls
+from tessera.llm import crf, decontam, jaccard, mix, rules, spans, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +86,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stretch of a document that non-first repeats of sentence runs cover."""
     return spans.repeated_regions(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_crf")
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out documents are never read."""
+    docs = table(spark, sf_dir, "documents")
+    model = crf.fit(docs, table(spark, sf_dir, "labels").where(~crf.held_out()))
+    return crf.score(docs, model).select(
+        "doc_id", crf.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
