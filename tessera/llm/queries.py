@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import crf, decontam, jaccard, mix, rules, spans, tokens, urls
+from tessera.llm import chat, crf, decontam, jaccard, mix, rules, spans, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_chat_format")
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as raw transcripts, and parsed back; the model learns from the roles
+    of four fifths of them."""
+    blocks = chat.as_transcript(table(spark, sf_dir, "conversations"))
+    return chat.format_transcripts(blocks, chat.not_held_out())
+
+
 @query("op2_token_ids")
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
