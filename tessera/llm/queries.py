@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, crf, decontam, jaccard, mix, rules, spans, tokens, urls
+from tessera.llm import chat, crf, decontam, jaccard, licenses, mix, rules, spans, tokens, urls
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,10 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.score(docs, model).select(
         "doc_id", crf.held_out().alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line of a document that a licence family is predicted for."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
