@@ -2,14 +2,16 @@
 
 All readers take an explicit schema (no inference pass over the data).  Delimited text is read
 as strings first and then trimmed and cast with ``try_cast``, so a malformed value becomes NULL
-instead of failing the job under ANSI mode; ``min_fields`` drops rows that are too short.
+instead of failing the job under ANSI mode; ``min_fields`` leaves out lines of too few fields, which
+:func:`short_lines` returns.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     * Surplus fields are dropped, missing fields are NULL (PERMISSIVE mode); blank lines are
       skipped.
     * ``trim`` strips each field; values are cast to the schema types with ``try_cast``.
-    * ``min_fields=n`` keeps only rows whose first ``n`` fields are present.
+    * ``min_fields=n`` keeps lines of at least ``n`` fields, whatever is in them: an empty field or a
+      value that does not parse is NULL and the row stays.  The others are ``short_lines``.
     * ``flag_surplus="name"`` adds a boolean column that is true when the line had more fields than
       the schema (e.g. an unquoted comma inside a title shifted the positions), so such rows can be
       reported as rejects while the positional reading is kept.
@@ -38,10 +41,14 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     read_schema = _as_strings(schema)
     if flag_surplus:
         read_schema = read_schema.add(T.StructField("__surplus", T.StringType(), True))
+    if min_fields:  # a line whose number of fields differs from the schema's is kept here as it is
+        read_schema = read_schema.add(T.StructField("__line", T.StringType(), True))
     reader = spark.read.schema(read_schema).option("sep", sep).option("header", False) \
         .option("mode", "PERMISSIVE")
     if quote is not None:
         reader = reader.option("quote", quote)
+    if min_fields:
+        reader = reader.option("columnNameOfCorruptRecord", "__line")
     raw = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     cols = []
     for f in schema.fields:
@@ -49,11 +56,30 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.St
         cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
     if flag_surplus:
         cols.append(F.col("__surplus").isNotNull().alias(flag_surplus))
-    out = raw.select(*cols)
     if min_fields:
-        names = [f.name for f in schema.fields[:min_fields]]
-        out = out.where(F.expr(" AND ".join(f"`{n}` IS NOT NULL" for n in names)))
-    return out
+        raw = raw.where(F.col("__line").isNull()
+                        | (field_count(F.col("__line"), sep, quote) >= min_fields))
+    return raw.select(*cols)
+
+
+def field_count(line: Column, sep: str, quote: str | None = "") -> Column:
+    """Number of fields of a line; separators inside quotes do not count (``quote=""``: no quoting)."""
+    mark = '"' if quote is None else quote
+    pattern = re.escape(sep)
+    if mark:
+        q = re.escape(mark)
+        pattern += f"(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)"
+    return F.size(F.split(line, pattern))
+
+
+def short_lines(spark: SparkSession, paths: str | Sequence[str], min_fields: int, *, sep: str = ",",
+                quote: str | None = "") -> DataFrame:
+    """``line, n_fields`` of the lines that ``read_delimited(min_fields=...)`` leaves out (blank lines
+    aside)."""
+    lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths)
+    counted = lines.select(F.col("value").alias("line"),
+                           field_count(F.col("value"), sep, quote).alias("n_fields"))
+    return counted.where((F.trim("line") != "") & (F.col("n_fields") < min_fields))
 
 
 def read_word_list(spark: SparkSession, paths: str | Sequence[str], col: str = "word") -> DataFrame:
@@ -64,8 +90,10 @@ def read_word_list(spark: SparkSession, paths: str | Sequence[str], col: str = "
 
 
 def read_csv_table(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
-                   *, sep: str = ";", multi_line: bool = True, infer: bool = False) -> DataFrame:
-    """Header CSV with quoted multi-line fields and ``""`` as the escaped quote.
+                   *, sep: str = ";", multi_line: bool = False, infer: bool = False) -> DataFrame:
+    """Header CSV with quoted fields and ``""`` as the escaped quote.
+
+    ``multi_line=True`` allows line breaks inside quotes; a file is then read by one task.
 
     Pass ``schema`` (recommended at scale: inference is a full extra scan); ``infer=True`` opts
     in to inference when no schema is known.
