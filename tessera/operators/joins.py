@@ -1,10 +1,8 @@
 """Join operators (J1-J7).
 
-Broadcast policy: a side is broadcast only behind a size check.  ``fits_broadcast`` counts at
-most ``max_rows + 1`` rows of the *raw* candidate (a ``LIMIT`` job that stops reading once the
-bound is passed, before any shuffle) and ``broadcast`` is hinted only within the bound; beyond it
-the plain join is returned and Catalyst/AQE choose a shuffle join (AQE may still broadcast at
-runtime from measured sizes).  Small literal lists (stop-words) are bounded by construction.
+A side is hinted for broadcast only where its size is bounded by construction (a list that the caller
+holds).  For tables no hint is given and nothing is probed: Catalyst and AQE choose from statistics
+and from the bytes that a stage measured, and split skewed keys of a shuffle join.
 """
 
 from __future__ import annotations
@@ -14,20 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a broadcast side: rows, not bytes, so it holds for narrow dimensions.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its size is proven within ``max_rows``; else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def join_full_outer(dim: DataFrame, facts: DataFrame, on: str | Sequence[str],
                     defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Every key of either side (co-group semantics), with defaults for the missing side.
@@ -53,34 +37,29 @@ def attach_attributes(fact: DataFrame, dim1: DataFrame, on1: str | Sequence[str]
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str | tuple[str, str], value: str,
-           default: str = "Unknown", out: str | None = None,
-           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Dictionary lookup with a default for misses; the dictionary is broadcast when bounded.
+           default: str = "Unknown", out: str | None = None) -> DataFrame:
+    """Dictionary lookup with a default for misses.
 
     ``key`` is a column name present on both sides, or ``(left_key, dim_key)``.  A key listed twice
     in the dictionary resolves to its largest value, so the result does not depend on row order.
     """
     left_key, dim_key = (key, key) if isinstance(key, str) else key
-    small = fits_broadcast(dim.select(dim_key), max_rows)
     d = dim.groupBy(F.col(dim_key).alias("__lk")).agg(F.max(value).alias("__lv"))
-    joined = df.join(F.broadcast(d) if small else d, df[left_key] == d["__lk"], "left")
+    joined = df.join(d, df[left_key] == d["__lk"], "left")
     return joined.withColumn(out or value, F.coalesce(F.col("__lv"), F.lit(default))) \
         .drop("__lk", "__lv")
 
 
 def exclude_values(df: DataFrame, col: str, values: DataFrame | Sequence[str],
-                   value_col: str | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   value_col: str | None = None) -> DataFrame:
     """Anti-join: rows of ``df`` whose ``col`` is not among ``values``.
 
     ``values`` may be a Python list (broadcast, bounded by construction) or a DataFrame.  An anti
-    join never multiplies rows, so a large right side is shuffle-joined as is; a small one (size
-    checked on the raw input) is made DISTINCT and broadcast.
+    join never multiplies rows, so the right side needs no DISTINCT.
     """
     if isinstance(values, DataFrame):
         vc = value_col or values.columns[0]
         right = values.select(F.col(vc).alias("__ex"))
-        if fits_broadcast(right, max_rows):
-            right = F.broadcast(right.distinct())
     else:
         spark = df.sparkSession
         right = F.broadcast(spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "__ex string"))

@@ -1,8 +1,7 @@
 """File sinks: formatted text lines, TSV, single-file CSV, JSON lines.
 
 Writers never collect: every one is a distributed ``DataFrameWriter`` job.  ``write_single_csv``
-funnels its input into one task, so it refuses inputs larger than ``max_rows`` (checked with a
-bounded ``LIMIT`` count) and is meant for final aggregates only.
+writes one file and so through one task; it is meant for final aggregates.
 """
 
 from __future__ import annotations
@@ -39,13 +38,10 @@ def write_csv(df: DataFrame, path: str, *, sep: str = ";", header: bool = True,
         .option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, *, max_rows: int = 1_000_000, sep: str = ",",
-                     header: bool = True) -> None:
-    """One CSV file with header (overwrite).  Only for small results: more than ``max_rows`` rows
-    raises instead of pulling a large dataset through one task."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"write_single_csv: more than {max_rows} rows; write partitioned output")
-    df.coalesce(1).write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+def write_single_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True) -> None:
+    """One CSV file with header (overwrite).  The result is shuffled to one writer task, so the steps
+    before it keep their parallelism; nothing is counted or refused."""
+    df.repartition(1).write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
