@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,3 +114,46 @@ def first_per_bucket(df: DataFrame, keys: Sequence[str | Column], order: Sequenc
     out = keyed.join(best, cond, "left")
     return out.withColumn(flag, F.coalesce(F.col("__ord") == F.col("__best"), F.lit(False))) \
         .drop("__ord", "__best", *key_names, *[f"{k}_b" for k in key_names])
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
+                      percentiles: Mapping[str, float]) -> DataFrame:
+    """Exact percentiles of a numeric column per key (linear between neighbours, NULLs left out):
+    ``{name: p}``.
+
+    Rows are range-partitioned by key and value, so a key of any size spreads over partitions.  A row's
+    place within its key follows from its place in the partition and the counts of the partitions
+    before; only the rows at the wanted places reach the final aggregation.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    ranged = (df.where(F.col(value).isNotNull())
+              .select(*[F.col(k).alias(a) for k, a in zip(keys, names)], F.col(value).alias("__v"))
+              .repartitionByRange(n, *names, "__v").sortWithinPartitions(*names, "__v")
+              .withColumn("__pid", F.spark_partition_id())
+              .withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    runs = ranged.groupBy("__pid", *names).agg(F.count(F.lit(1)).alias("__n"),
+                                               F.min("__mid").alias("__start"))
+    by_key = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    before = by_key.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per key and partition that holds it.
+    placed = runs.select("__pid", "__start", *names, F.sum("__n").over(by_key).alias("__size"),
+                         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    right = placed.select(F.col("__pid").alias("__p"), "__start", "__size", "__off",
+                          *[F.col(a).alias(f"{a}_r") for a in names])
+    same = ranged["__pid"] == right["__p"]
+    for a in names:
+        same = same & ranged[a].eqNullSafe(right[f"{a}_r"])
+    at = F.col("__off") + F.col("__mid") - F.col("__start")
+    wanted = {m: F.lit(float(p)) * (F.col("__size") - 1) for m, p in percentiles.items()}
+    rows = ranged.join(right, same).withColumn("__at", at).where(F.greatest(*[
+        ((F.col("__at") == F.floor(w)) | (F.col("__at") == F.ceil(w))) for w in wanted.values()],
+        F.lit(False)))
+    low = {m: F.max(F.when(F.col("__at") == F.floor(w), F.col("__v"))) for m, w in wanted.items()}
+    high = {m: F.max(F.when(F.col("__at") == F.ceil(w), F.col("__v"))) for m, w in wanted.items()}
+    part = {m: F.max(w - F.floor(w)) for m, w in wanted.items()}
+    return rows.groupBy(*names).agg(*[
+        (low[m] * (1 - part[m]) + high[m] * part[m]).alias(m) for m in wanted]).select(
+        *[F.col(a).alias(k) for a, k in zip(names, keys)], *wanted)

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.rank import first_per_bucket, latest_n, latest_n_by_key
+from tessera.operators.rank import (exact_percentiles, first_per_bucket, latest_n,
+                                    latest_n_by_key)
 
 
 def camera_stats(results: DataFrame, *, camera: str = "camera_id", count: str = "person_count",
@@ -62,14 +63,20 @@ def lag_stats(results: DataFrame, from_ts: str, to_ts: str, *, keys: Sequence[st
               percentiles: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
     """End-to-end lag (``to_ts - from_ts``) in seconds: mean, min, max and exact percentiles.
 
-    The lag is taken in whole microseconds (a long) so sums are exact.
+    The lag is taken in whole microseconds (a long) so sums are exact; percentiles come from the places
+    of range-partitioned rows, so a camera of any size is spread over tasks.
     """
     lag_us = F.unix_micros(F.col(to_ts).cast("timestamp")) - F.unix_micros(F.col(from_ts).cast("timestamp"))
-    src = results.withColumn("__lag_us", lag_us)
-    aggs = [F.count("__lag_us").alias("n"),
-            (F.avg("__lag_us") / F.lit(1e6)).alias("mean_lag_s"),
-            (F.min("__lag_us") / F.lit(1e6)).alias("min_lag_s"),
-            (F.max("__lag_us") / F.lit(1e6)).alias("max_lag_s")]
-    for p in percentiles:
-        aggs.append((F.percentile("__lag_us", p) / F.lit(1e6)).alias(f"p{int(round(p * 100))}_lag_s"))
-    return src.groupBy(*keys).agg(*aggs)
+    src = results.select(*keys, lag_us.alias("__lag_us"))
+    basic = src.groupBy(*keys).agg(
+        F.count("__lag_us").alias("n"), (F.avg("__lag_us") / F.lit(1e6)).alias("mean_lag_s"),
+        (F.min("__lag_us") / F.lit(1e6)).alias("min_lag_s"),
+        (F.max("__lag_us") / F.lit(1e6)).alias("max_lag_s"))
+    names = {f"p{int(round(p * 100))}_lag_s": p for p in percentiles}
+    tails = exact_percentiles(src, list(keys), "__lag_us", names)
+    tails = tails.select(*[F.col(k).alias(f"__{k}") for k in keys],
+                         *[(F.col(n) / F.lit(1e6)).alias(n) for n in names])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return basic.join(tails, same, "left").drop(*[f"__{k}" for k in keys])
