@@ -124,10 +124,27 @@ def explode_labels(df: DataFrame, labels_col: str, sep: str = "|", out: str = "l
     return exploded.where(nonempty(F.trim(F.col(out)))).withColumn(out, F.trim(F.col(out)))
 
 
+def sum_count(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
+    """``__sum, __n`` of a value per key: the partial form of a mean, to be merged by ``merged_mean``."""
+    return df.groupBy(*_keys(keys)).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+
+
+def merged_mean(parts: DataFrame, keys: str | Sequence[str], mean_name: str = "mean",
+                count_name: str = "count") -> DataFrame:
+    """Mean and count per key from rows of partial ``__sum, __n``."""
+    total, n = F.sum("__sum"), F.sum("__n")
+    return parts.groupBy(*_keys(keys)).agg(
+        F.when(n > 0, total / n).alias(mean_name), n.alias(count_name))
+
+
 def multilabel_mean(df: DataFrame, labels_col: str, value: str, sep: str = "|",
                     label: str = "label", mean_name: str = "mean", count_name: str = "count") -> DataFrame:
-    """Mean per label where each row counts once for every label it carries."""
-    return mean_count(explode_labels(df, labels_col, sep, label), label, value, mean_name, count_name)
+    """Mean per label where each row counts once for every label it carries.
+
+    Rows are reduced per distinct label list before the lists are exploded.
+    """
+    parts = sum_count(df, labels_col, value)
+    return merged_mean(explode_labels(parts, labels_col, sep, label), label, mean_name, count_name)
 
 
 def two_level(df: DataFrame, inner_keys: Sequence[str], inner: Mapping[str, Column],

@@ -66,9 +66,8 @@ FROM part FULL OUTER JOIN stats ON p_partkey = stats.movie"""
 
 
 def _movie_stats(spark, sf):
-    r = tb.ratings(spark, sf)
-    parts = [r.where(F.col("status") == "O"), r.where(F.col("status") == "F")]
-    return R.movie_mean_count(parts, _movies(spark, sf).select("movie", "title"))
+    return R.movie_mean_count([tb.ratings(spark, sf, ("O", "F"))],
+                              _movies(spark, sf).select("movie", "title"))
 
 
 @register("movie_mean_count", _MOVIE_MEAN_SQL)

@@ -2,8 +2,9 @@
 
 Inputs are DataFrames with caller-named columns (defaults: ratings(user, movie, rating, ts),
 movies(movie, title, genres), users(user, gender, age, occupation), occupations(id, name)).
-Ratings are always aggregated *before* they meet a dimension, so joins are one-row-per-key on the
-aggregated side and hot users/movies are pre-reduced map-side.
+Where the result needs only the dimension's key (movie, genre, occupation), ratings are reduced to a
+sum and a count per key before the join; where it needs two keys at once (movie with gender or age),
+each rating joins its user or movie first.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.logic import bucketize
 from tessera.functions.time import epoch_year
-from tessera.operators.aggregate import mean_count, multilabel_mean, pivot_mean
+from tessera.operators.aggregate import (explode_labels, mean_count, merged_mean, pivot_mean,
+                                         sum_count)
 from tessera.operators.joins import join_full_outer, lookup
 from tessera.operators.rank import argmax
 from tessera.sources.tables import union_sources
@@ -50,9 +52,9 @@ def genre_mean(ratings: DataFrame, movies: DataFrame, *, movie: str = "movie",
                genres: str = "genres", rating: str = "rating", sep: str = "|",
                label: str = "genre") -> DataFrame:
     """Mean and count per genre; a rating counts once for each genre of its movie."""
-    tagged = ratings.select(movie, rating).join(movies.select(movie, genres), movie, "inner")
-    return multilabel_mean(tagged, genres, rating, sep, label, "mean_rating", "n_ratings") \
-        .orderBy(label)
+    per_movie = sum_count(ratings, movie, rating).join(movies.select(movie, genres), movie)
+    return merged_mean(explode_labels(per_movie, genres, sep, label), label, "mean_rating",
+                       "n_ratings").orderBy(label)
 
 
 def with_user_attrs(ratings: DataFrame, users: DataFrame, attrs: Sequence[str], *,
@@ -115,9 +117,11 @@ def occupation_mean(ratings: DataFrame, users: DataFrame, occupations: DataFrame
                     occ_name: str = "name", rating: str = "rating",
                     default: str = UNKNOWN) -> DataFrame:
     """Mean and count per occupation name; ids missing from the dictionary -> ``default``."""
-    rated = with_user_attrs(ratings.select(user, rating), users, [occupation], user=user)
-    named = lookup(rated, occupations, (occupation, occ_id), occ_name, default, out="occupation_name")
-    return mean_count(named, "occupation_name", rating, "mean_rating", "n_ratings") \
+    per_user = sum_count(ratings, user, rating).join(users.select(user, occupation), user)
+    per_id = per_user.groupBy(occupation).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+    named = lookup(per_id, occupations, (occupation, occ_id), occ_name, default,
+                   out="occupation_name")
+    return merged_mean(named, "occupation_name", "mean_rating", "n_ratings") \
         .orderBy("occupation_name")
 
 

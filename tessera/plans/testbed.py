@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import clean_text, token_array
 from tessera.functions.time import epoch_seconds
 from tessera.operators.joins import exclude_values
+from tessera.sources.tables import union_sources
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -39,11 +40,17 @@ def stop_words() -> list[str]:
     return [w for w in dict.fromkeys(s.replace("\r", "") for s in STOP_WORDS) if w]
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user, movie, rating, ts, status) — one row per lineitem with its order's customer/date."""
+def ratings(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] = ()) -> DataFrame:
+    """(user, movie, rating, ts, status) — one row per lineitem with its order's customer/date.
+
+    ``statuses`` unions the rating "files" of those line statuses (each a pushed-down slice) before
+    the one join with orders.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("movie"),
         F.col("l_quantity").alias("rating"), F.col("l_linestatus").alias("status"))
+    if statuses:
+        li = union_sources(*[li.where(F.col("status") == s) for s in statuses])
     od = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user"),
         epoch_seconds("o_orderdate").alias("ts"))
