@@ -60,21 +60,15 @@ def round_half_up(c: str | Column, scale: int = 2) -> Column:
     return F.round(_col(c), scale)
 
 
-def money(c: str | Column, precision: int = 18, scale: int = 2) -> Column:
-    """Exact decimal form of a money value, so sums do not depend on summation order."""
-    return _col(c).cast(f"decimal({precision},{scale})")
+def settled_sum(c: str | Column, scale: int = 6) -> Column:
+    """Sum of unrounded doubles without the noise of the order of addition.
 
-
-def cents(c: str | Column) -> Column:
-    """A 2-decimal amount as exact integer cents (``long``).
-
-    Sums of cents are exact and order-independent like decimal sums, but stay primitive ``long``
-    arithmetic in generated code (a sum of ``decimal(18,2)`` widens past 18 digits and runs on
-    ``BigDecimal``, about 5x slower).  ``rint`` absorbs the binary error of ``x * 100``.
+    Nothing is rounded before the sum; the total is rounded once to ``scale`` decimals, so it does not
+    depend on how rows are spread over tasks.  NaN stays NaN.
     """
-    return F.rint(_col(c) * F.lit(100)).cast("long")
+    return F.round(F.sum(_col(c)), scale)
 
 
-def from_cents(c: str | Column) -> Column:
-    """Integer cents -> amount as double (the double nearest the exact 2-decimal value)."""
-    return _col(c) / F.lit(100.0)
+def settled_mean(c: str | Column, scale: int = 2) -> Column:
+    """Mean as :func:`settled_sum` over the count of non-NULL values, rounded to ``scale``."""
+    return F.round(settled_sum(c) / F.count(_col(c)), scale)

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.logic import cents, from_cents, safe_ratio
+from tessera.functions.logic import safe_ratio
 from tessera.functions.time import gap_days as gap_days_expr
 from tessera.functions.time import parse_ts as parse_ts_expr
 from tessera.functions.time import whole_day_span
 from tessera.operators.aggregate import measures, metric_table, two_level
 from tessera.operators.filters import clean_score as clean_score_op
-from tessera.operators.joins import bounded_broadcast
 from tessera.plans import commerce as C
 from tessera.plans import testbed as tb
-from tessera.plans.registry import SCORE_CTE, dec, gross_sql, register, rnd
+from tessera.plans.registry import GROSS, SCORE_CTE, register, rnd, settled, settled_avg
 
 YEAR = 1997
 # Segment thresholds scaled to the driver tables (1..25 orders per customer, order values ~1e5).
@@ -30,7 +29,7 @@ def _gross() -> F.Column:
 
 _CATEGORY_REVENUE_SQL = f"""
 SELECT p_type AS category,
-       CAST(round(sum({gross_sql()}), 2) AS DOUBLE) AS revenue,
+       {rnd(settled(GROSS))} AS revenue,
        count(DISTINCT l_orderkey) AS n_orders,
        CAST(sum(l_linenumber) AS BIGINT) AS ordinal_sum,
        count(l_linenumber) AS n_lines
@@ -47,11 +46,11 @@ def category_revenue_year(spark, sf):
 
 
 @register("revenue", f"""
-SELECT l_orderkey AS order_id, l_linenumber AS item_ordinal, CAST({gross_sql()} AS DOUBLE) AS revenue
+SELECT l_orderkey AS order_id, l_linenumber AS item_ordinal, {GROSS} AS revenue
 FROM lineitem""")
 def revenue(spark, sf):
     return tb.order_lines(spark, sf).select("order_id", "item_ordinal",
-                                            from_cents(_gross()).alias("revenue"))
+                                            _gross().alias("revenue"))
 
 
 @register("sum_of_ordinal", """
@@ -70,7 +69,7 @@ def sum_of_ordinal(spark, sf):
 WITH {SCORE_CTE},
 sold AS (SELECT l_partkey AS product_id, count(l_linenumber) AS units,
                 count(DISTINCT l_orderkey) AS n_orders,
-                CAST(round(sum({gross_sql()}), 2) AS DOUBLE) AS revenue
+                {rnd(settled(GROSS))} AS revenue
          FROM lineitem GROUP BY l_partkey),
 pairs AS (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem),
 byp AS (SELECT product_id, {rnd('avg(score)')} AS avg_score, count(score) AS n_reviews
@@ -134,7 +133,7 @@ def delivery_gap_detail(spark, sf):
 @register("delivery_gap_summary", f"""
 WITH {_DETAIL_CTE}
 SELECT status, count(order_id) AS n_lines,
-       {rnd(f'CAST(sum({dec("gap_days")}) AS DOUBLE) / count(gap_days)')} AS avg_gap,
+       {settled_avg("gap_days")} AS avg_gap,
        round(min(gap_days), 2) AS min_gap, round(max(gap_days), 2) AS max_gap
 FROM detail GROUP BY status""")
 def delivery_gap_summary(spark, sf):
@@ -144,13 +143,13 @@ def delivery_gap_summary(spark, sf):
 # --- customer segments (two-level aggregation) --------------------------------------------------
 
 _SEG_CTE = f"""ov AS (
-  SELECT l_orderkey AS order_id, round(sum({gross_sql()}), 2) AS order_value
+  SELECT l_orderkey AS order_id, {rnd(settled(GROSS))} AS order_value
   FROM lineitem GROUP BY l_orderkey),
 stats AS (
   SELECT o_custkey AS customer_id, c_nationkey AS country, c_mktsegment AS city,
          count(DISTINCT o_orderkey) AS n_orders,
-         {rnd('CAST(sum(order_value) AS DOUBLE) / count(order_value)')} AS avg_order_value,
-         CAST(round(sum(order_value), 2) AS DOUBLE) AS total_value,
+         {settled_avg('order_value')} AS avg_order_value,
+         {rnd(settled('order_value'))} AS total_value,
          min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts
   FROM orders LEFT JOIN ov ON o_orderkey = ov.order_id
   LEFT JOIN customer ON o_custkey = c_custkey
@@ -190,28 +189,28 @@ def customer_segments(spark, sf):
 @register("segment_summary", f"""
 WITH {_SEG_CTE}
 SELECT segment, count(customer_id) AS n_customers, {rnd('avg(n_orders)')} AS avg_orders,
-       {rnd(f'CAST(sum({dec("avg_order_value")}) AS DOUBLE) / count(avg_order_value)')} AS avg_value
+       {settled_avg("avg_order_value")} AS avg_value
 FROM segs GROUP BY segment""")
 def segment_summary(spark, sf):
     return C.segment_summary(_segments(spark, sf))
 
 
 @register("two_level_agg", f"""
-WITH ov AS (SELECT l_orderkey AS order_id, round(sum({gross_sql()}), 2) AS order_value
+WITH ov AS (SELECT l_orderkey AS order_id, {rnd(settled(GROSS))} AS order_value
             FROM lineitem GROUP BY l_orderkey),
 per_cust AS (SELECT o_custkey AS customer_id, count(*) AS n_orders, sum(order_value) AS value
              FROM orders JOIN ov ON o_orderkey = ov.order_id GROUP BY o_custkey)
-SELECT n_orders, count(*) AS n_customers, CAST(sum(value) AS DOUBLE) AS total_value
+SELECT n_orders, count(*) AS n_customers, {rnd(settled('value'))} AS total_value
 FROM per_cust GROUP BY n_orders""")
 def two_level_agg(spark, sf):
     ov = tb.order_lines(spark, sf).groupBy("order_id").agg(
-        F.sum(_gross()).alias("order_value"))  # cents
+        C.total(_gross()).alias("order_value"))
     joined = tb.orders(spark, sf).select("order_id", "customer_id").join(ov, "order_id")
     return two_level(joined, ["customer_id"],
                      {"n_orders": F.count(F.lit(1)), "value": F.sum("order_value")},
                      ["n_orders"],
                      {"n_customers": F.count(F.lit(1)),
-                      "total_value": C.exact_total(F.col("value"))})
+                      "total_value": C.total("value")})
 
 
 @register("purchase_span_days", """
@@ -248,11 +247,11 @@ def customer_segment(spark, sf):
 
 _SELLER_SQL = f"""
 WITH s AS (
-  SELECT l_suppkey AS seller_id, round(sum({gross_sql()}), 2) AS rev,
+  SELECT l_suppkey AS seller_id, {rnd(settled(GROSS))} AS rev,
          count(DISTINCT l_orderkey) AS n_orders, count(l_linenumber) AS n_items,
-         {rnd(f'CAST(sum({gross_sql()}) AS DOUBLE) / count({gross_sql()})')} AS avg_line_revenue
+         {settled_avg(GROSS)} AS avg_line_revenue
   FROM lineitem GROUP BY l_suppkey)
-SELECT seller_id, CAST(rev AS DOUBLE) AS revenue, n_orders, n_items, avg_line_revenue,
+SELECT seller_id, rev AS revenue, n_orders, n_items, avg_line_revenue,
        row_number() OVER (ORDER BY rev DESC, n_orders DESC, n_items DESC, seller_id ASC) AS seller_rank
 FROM s"""
 
@@ -284,7 +283,7 @@ def orders_by_country(spark, sf):
     nat = tb.table(spark, sf, "nation").join(
         tb.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = tb.table(spark, sf, "customer").join(
-        bounded_broadcast(nat, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        nat, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country"),
         F.col("r_name").alias("country_code"))
     return C.orders_by_country(tb.orders(spark, sf), cust)
@@ -366,11 +365,11 @@ def review_score_summary(spark, sf):
 
 @register("global_agg", f"""
 SELECT count(*) AS n_lines, CAST(sum(l_quantity) AS DOUBLE) AS total_qty,
-       {rnd('avg(l_quantity)')} AS avg_qty, CAST(round(sum({dec('l_extendedprice')}), 2) AS DOUBLE) AS total_price
+       {rnd('avg(l_quantity)')} AS avg_qty, {rnd(settled('l_extendedprice'))} AS total_price
 FROM lineitem""")
 def global_agg(spark, sf):
     from tessera.operators.aggregate import global_agg as agg_op
     li = tb.table(spark, sf, "lineitem")
     return agg_op(li, {"n_lines": F.count(F.lit(1)), "total_qty": F.sum("l_quantity"),
                        "avg_qty": F.round(F.avg("l_quantity"), 2),
-                       "total_price": C.exact_total(cents("l_extendedprice"))})
+                       "total_price": C.total("l_extendedprice")})

@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.logic import cents, from_cents, round_half_up
+from tessera.functions.logic import round_half_up, settled_sum
 from tessera.operators.aggregate import mean_count
-from tessera.operators.joins import bounded_broadcast
 from tessera.plans import testbed as tb
 from tessera.plans.q_relational import frames as frame_rows
-from tessera.plans.registry import register, rnd
+from tessera.plans.registry import register, rnd, settled
 from tessera.session import scratch_dir
 from tessera.sinks.files import format_lines, write_csv, write_json_lines, write_single_csv, write_tsv
 from tessera.sources.tables import load_tables
@@ -73,7 +72,7 @@ def src_csv_header(spark, sf):
     """documents (multi-line texts) as header CSV with RFC-4180 quotes -> read_csv_table."""
     path = scratch_dir(spark, "documents-csv")
     write_csv(tb.table(spark, sf, "documents"), path, sep=";")
-    return read_csv_table(spark, path, DOCS_SCHEMA, sep=";")
+    return read_csv_table(spark, path, DOCS_SCHEMA, sep=";", multi_line=True)
 
 
 @register("src_json_docs", f"""
@@ -104,19 +103,18 @@ def sink_tsv(spark, sf):
     return read_delimited(spark, path, NATION_REGION_SCHEMA, sep="\t", trim=False, quote=None)
 
 
-@register("sink_single_csv", """
-SELECT n_name AS nation, count(*) AS n_orders, CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))), 2) AS DOUBLE)
-       AS total_price
+@register("sink_single_csv", f"""
+SELECT n_name AS nation, count(*) AS n_orders, {rnd(settled('o_totalprice'))} AS total_price
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def sink_single_csv(spark, sf):
     path = scratch_dir(spark, "orders-by-nation-csv")
     od = tb.table(spark, sf, "orders").join(tb.table(spark, sf, "customer"),
                                             F.col("o_custkey") == F.col("c_custkey"))
-    nation = bounded_broadcast(tb.table(spark, sf, "nation"), 10_000)
+    nation = tb.table(spark, sf, "nation")
     agg = od.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
         .groupBy(F.col("n_name").alias("nation")).agg(
             F.count(F.lit(1)).alias("n_orders"),
-            from_cents(F.sum(cents("o_totalprice"))).alias("total_price"))
+            F.round(settled_sum("o_totalprice"), 2).alias("total_price"))
     write_single_csv(agg, path)
     schema = T.StructType([T.StructField("nation", T.StringType()), T.StructField("n_orders", T.LongType()),
                            T.StructField("total_price", T.DoubleType())])

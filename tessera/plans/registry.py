@@ -38,14 +38,17 @@ def rnd(expr: str, k: int = 2) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,22)), {k}) AS DOUBLE)"
 
 
-def dec(col: str) -> str:
-    """DuckDB exact money: DECIMAL(18,2).  The Spark side sums integer cents; both are exact, so
-    totals and means agree to the last bit."""
-    return f"CAST({col} AS DECIMAL(18,2))"
+GROSS = "(l_extendedprice + l_tax)"
 
 
-def gross_sql(price: str = "l_extendedprice", tax: str = "l_tax") -> str:
-    return f"({dec(price)} + {dec(tax)})"
+def settled(expr: str) -> str:
+    """DuckDB text of ``settled_sum``: an unrounded sum, rounded once to 6 decimals."""
+    return rnd(f"sum({expr})", 6)
+
+
+def settled_avg(expr: str, k: int = 2) -> str:
+    """DuckDB text of ``settled_mean``."""
+    return rnd(f"{settled(expr)} / count({expr})", k)
 
 
 SCORE_CTE = """scored AS (

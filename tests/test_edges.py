@@ -16,7 +16,7 @@ from tessera.operators.rank import first_per_bucket, global_rank, top_n_per_grou
 from tessera.plans import commerce as C
 from tessera.plans import ratings as R
 from tessera.plans import reviews as RV
-from tessera.sources.text import read_delimited, read_word_list
+from tessera.sources.text import read_delimited, read_word_list, short_lines
 
 
 def _write(path, name, text):
@@ -35,26 +35,44 @@ RATING_SCHEMA = T.StructType([T.StructField("user", T.StringType()), T.StructFie
 
 
 def test_read_delimited_trims_and_skips_short_rows(spark, tmp_dir):
-    p = _write(tmp_dir, "movies.txt",
-               "1043, Toy Story (1995), Animation|Children|Comedy\n"
+    p = _write(tmp_dir, "films.txt",
+               "71, Paper Harbour (2011), Mystery|Musical\n"
                "\n"
-               "1001,The Godfather (1972),Crime|Drama\n"
-               "2000, Only Two Fields\n")
+               "72,The Glass Orchard (1958),Western\n"
+               "73, Only Two Fields\n")
     rows = read_delimited(spark, p, MOVIE_SCHEMA, min_fields=3).orderBy("movie").collect()
     assert [(r.movie, r.title, r.genres) for r in rows] == [
-        ("1001", "The Godfather (1972)", "Crime|Drama"),
-        ("1043", "Toy Story (1995)", "Animation|Children|Comedy")]
+        ("71", "Paper Harbour (2011)", "Mystery|Musical"),
+        ("72", "The Glass Orchard (1958)", "Western")]
+    short = short_lines(spark, p, 3).collect()
+    assert [(r.line, r.n_fields) for r in short] == [("73, Only Two Fields", 2)]
+
+
+def test_min_fields_counts_fields_not_values(spark, tmp_dir):
+    p = _write(tmp_dir, "films.txt", "1,,Comedy\n2,A,\n3\n4,B,Drama,extra\n,,\n")
+    rows = read_delimited(spark, p, MOVIE_SCHEMA, min_fields=3).collect()
+    assert sorted((r.movie or "", r.title or "", r.genres or "") for r in rows) == [
+        ("", "", ""), ("1", "", "Comedy"), ("2", "A", ""), ("4", "B", "Drama")]
+    p = _write(tmp_dir, "marks.txt", "1,10,abc,77\n2,11,4.5,x\n3,12,1.0\n")
+    rows = read_delimited(spark, p, RATING_SCHEMA, min_fields=4).orderBy("user").collect()
+    assert [tuple(r) for r in rows] == [("1", "10", None, 77), ("2", "11", 4.5, None)]
+    rows = read_delimited(spark, p, RATING_SCHEMA, min_fields=3).orderBy("user").collect()
+    assert [r.user for r in rows] == ["1", "2", "3"]
+    p = _write(tmp_dir, "quoted.txt", '1,"a,b"\n2,"a,b",Drama\n')
+    rows = read_delimited(spark, p, MOVIE_SCHEMA, min_fields=3, quote=None).collect()
+    assert [tuple(r) for r in rows] == [("2", "a,b", "Drama")]
+    assert [r.n_fields for r in short_lines(spark, p, 3, quote=None).collect()] == [2]
 
 
 def test_read_delimited_flags_shifted_rows(spark, tmp_dir):
-    p = _write(tmp_dir, "movies.txt", "1,Heat,Crime\n2,Crouching Tiger, Hidden Dragon (2000),Action\n")
+    p = _write(tmp_dir, "movies.txt", "1,Quay,Noir\n2,Salt, Ash and Rain (1994),Epic\n")
     rows = read_delimited(spark, p, MOVIE_SCHEMA, flag_surplus="shifted").orderBy("movie").collect()
     assert [(r.movie, r.title, r.genres, r.shifted) for r in rows] == [
-        ("1", "Heat", "Crime", False), ("2", "Crouching Tiger", "Hidden Dragon (2000)", True)]
+        ("1", "Quay", "Noir", False), ("2", "Salt", "Ash and Rain (1994)", True)]
 
 
 def test_read_delimited_bad_number_is_null(spark, tmp_dir):
-    p = _write(tmp_dir, "ratings.txt", "1, 10, abc, 964982703\n2, 10, 4.5, 964982703\n")
+    p = _write(tmp_dir, "ratings.txt", "1, 10, abc, 31\n2, 10, 4.5, 32\n")
     rows = read_delimited(spark, p, RATING_SCHEMA).orderBy("user").collect()
     assert rows[0].rating is None and rows[1].rating == 4.5
 
@@ -311,12 +329,45 @@ def test_write_lines_refuses_existing_target(spark, tmp_dir):
         write_lines(df, "%s", ["t"], path)
 
 
-def test_single_csv_refuses_large_input(spark, tmp_dir):
-    import pytest
+def test_single_csv_is_one_file(spark, tmp_dir):
     from tessera.sinks.files import write_single_csv
-    small = spark.range(5)
-    write_single_csv(small, os.path.join(tmp_dir, "small"), max_rows=10)
-    parts = [f for f in os.listdir(os.path.join(tmp_dir, "small")) if f.startswith("part-")]
-    assert len(parts) == 1
-    with pytest.raises(ValueError):
-        write_single_csv(spark.range(50), os.path.join(tmp_dir, "big"), max_rows=10)
+    path = os.path.join(tmp_dir, "one")
+    write_single_csv(spark.range(0, 5000, 1, 7), path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
+    assert spark.read.option("header", True).csv(path).count() == 5000
+
+
+# --- money ----------------------------------------------------------------------------------------
+
+def _lines(spark, rows):
+    return spark.createDataFrame(rows, "order_id string, item_ordinal int, seller_id string, "
+                                       "price double, freight double")
+
+
+def test_small_amounts_are_not_lost(spark):
+    rows = [(f"o{i}", 1, "s", 0.004, 0.0) for i in range(1000)]
+    got = C.seller_ranking(_lines(spark, rows)).collect()[0]
+    assert (got.revenue, got.avg_line_revenue, got.n_items) == (4.0, 0.0, 1000)
+
+
+def test_nan_amount_does_not_fail(spark):
+    import math
+    rows = [("o1", 1, "s1", float("nan"), 1.0), ("o2", 1, "s2", 2.0, 1.0)]
+    got = {r.seller_id: r.revenue for r in C.seller_ranking(_lines(spark, rows)).collect()}
+    assert math.isnan(got["s1"]) and got["s2"] == 3.0
+
+
+def test_percentiles_equal_the_sorted_list(spark):
+    import random
+    import statistics
+    from tessera.operators.rank import exact_percentiles
+    rng = random.Random(1)
+    rows = [("hot", rng.randrange(40)) for _ in range(900)] + [("a", 5), (None, 1), (None, 4), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(5)
+    got = {r.k: (r.low, r.mid, r.high) for r in
+           exact_percentiles(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "high": 0.99}).collect()}
+    hot = sorted(v for k, v in rows if k == "hot")
+    at = 0.99 * 899
+    high = hot[int(at)] * (1 - at % 1) + hot[int(at) + 1] * (at % 1)
+    assert got["hot"][:2] == (hot[0], statistics.median(hot)) and abs(got["hot"][2] - high) < 1e-9
+    assert got["a"] == (5, 5, 5) and got[None][:2] == (1, 2.5) and "b" not in got
