@@ -153,7 +153,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
         F.lit(False)))
     low = {m: F.max(F.when(F.col("__at") == F.floor(w), F.col("__v"))) for m, w in wanted.items()}
     high = {m: F.max(F.when(F.col("__at") == F.ceil(w), F.col("__v"))) for m, w in wanted.items()}
+    left = {m: F.max(F.ceil(w) - w) for m, w in wanted.items()}
     part = {m: F.max(w - F.floor(w)) for m, w in wanted.items()}
     return rows.groupBy(*names).agg(*[
-        (low[m] * (1 - part[m]) + high[m] * part[m]).alias(m) for m in wanted]).select(
+        F.when(part[m] == 0, low[m].cast("double")).otherwise(left[m] * low[m] + part[m] * high[m])
+        .alias(m) for m in wanted]).select(
         *[F.col(a).alias(k) for a, k in zip(names, keys)], *wanted)

@@ -49,7 +49,7 @@ def _k_of(data) -> int | None:
 
 
 def stub_detector_factory():
-    """Factory (called once per task) returning the batch detector."""
+    """Factory (called once per worker process) returning the detector."""
     def detect(images: pd.Series) -> list[list[dict]]:
         return [_boxes_for(_k_of(b)) for b in images]
     return detect

@@ -1,12 +1,13 @@
 """Frame stream stages: read messages, decode, score with a plug-in detector, enrich.
 
 * ``read_json_stream`` — Kafka (``startingOffsets=latest`` by default) or a file stream of JSON
-  / parquet messages, parsed with an explicit schema.
-* ``decode_frames`` — base64 image -> binary, ISO-8601 time -> timestamp, and an ``error`` column
-  naming why a message cannot be processed (missing id, undecodable image).
+  / parquet messages, parsed with an explicit schema; a message that does not parse keeps its text.
+* ``decode_frames`` — base64 image -> binary, ISO-8601 time -> timestamp, defaults for a missing camera
+  or frame id, and an ``error`` column naming why a message cannot be processed.
 * ``split_errors`` — (good, dead-letter) views of one stream; nothing is dropped silently.
 * ``score_frames`` — ``mapInPandas`` around a user-supplied detector; the detector is built
-  once per Python worker process (a model load), then called per Arrow batch.
+  once per Python worker process and model key.  A frame that it fails on gets an ``error``; the
+  others go on.
 * ``enrich_results`` — JVM expressions: keep person boxes >= threshold, round them, count them,
   stamp model name and processing time.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.detections import (BOXES_TYPE, box_count, decode_base64, keep_boxes,
                                           round_boxes)
+from tessera.functions.logic import coalesce_default
 from tessera.functions.time import iso_parse
 
 MESSAGE_SCHEMA = T.StructType([
@@ -42,37 +44,51 @@ _B64_TEXT = r"^[A-Za-z0-9+/\r\n]*={0,2}$"
 
 
 def read_json_stream(spark: SparkSession, fmt: str, schema: T.StructType, *,
-                     path: str | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
+                     path: str | None = None, options: Mapping[str, str] | None = None,
+                     raw: str | None = "raw") -> DataFrame:
     """Streaming messages with ``schema``.
 
     ``fmt='kafka'``: the ``value`` bytes are JSON; ``startingOffsets`` defaults to ``latest``
     (the reference consumer's choice) and offsets live in the query checkpoint.  Any other
     ``fmt`` is a file source over ``path`` (JSON lines or parquet with the message columns).
+    ``raw`` names a column with the text of a JSON message that does not parse (else NULL).
     """
     opts = dict(options or {})
+    wide = T.StructType([*schema.fields, T.StructField(raw, T.StringType())]) if raw else schema
+    corrupt = {"columnNameOfCorruptRecord": raw} if raw else {}
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")
-        raw = spark.readStream.format("kafka").options(**opts).load()
-        return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m"),
-                          F.col("timestamp").alias("ingest_ts")).select("m.*", "ingest_ts")
-    reader = spark.readStream.format(fmt).schema(schema).options(**opts)
-    return reader.load(path)
+        source = spark.readStream.format("kafka").options(**opts).load()
+        parsed = F.from_json(F.col("value").cast("string"), wide, corrupt)
+        return source.select(parsed.alias("m"), F.col("timestamp").alias("ingest_ts"),
+                             F.col("partition").alias("source_partition"),
+                             F.col("offset").alias("source_offset")).select(
+            "m.*", "ingest_ts", "source_partition", "source_offset")
+    if fmt == "json":
+        return spark.readStream.format(fmt).schema(wide).options(**corrupt, **opts).load(path)
+    return spark.readStream.format(fmt).schema(schema).options(**opts).load(path)
 
 
 def decode_frames(msgs: DataFrame, *, image: str = "image", ts: str = "timestamp",
-                  fallback_ts: Column | None = None) -> DataFrame:
+                  fallback_ts: Column | None = None, raw: str = "raw",
+                  default_id: str = "unknown") -> DataFrame:
     """Add ``image_bytes``, ``source_ts`` and ``error`` (NULL when the frame is usable).
 
-    A missing or unparseable timestamp falls back to ``fallback_ts`` (default: processing time),
-    as the reference does; an undecodable image or a missing frame id is an error.
+    A missing camera or frame id becomes ``default_id``; a missing or unparseable timestamp falls back
+    to ``fallback_ts`` (default: processing time).  A message that did not parse, and an empty or
+    undecodable image, is an error.
     """
     text = F.col(image)
     valid = text.isNotNull() & text.rlike(_B64_TEXT)
     data = F.when(valid, decode_base64(text))
+    usable = data.isNotNull() & (F.length(data) > 0)
     fb = fallback_ts if fallback_ts is not None else F.current_timestamp()
-    err = (F.when(F.col("frame_id").isNull() | (F.col("frame_id") == ""), F.lit("missing_frame_id"))
-           .when(~valid | data.isNull(), F.lit("undecodable_image")))
-    return msgs.withColumn("image_bytes", data) \
+    broken = F.col(raw).isNotNull() if raw in msgs.columns else F.lit(False)
+    err = (F.when(broken, F.lit("malformed_message"))
+           .when(~F.coalesce(usable, F.lit(False)), F.lit("undecodable_image")))
+    return msgs.withColumn("image_bytes", F.when(err.isNull(), data)) \
+        .withColumn("camera_id", coalesce_default("camera_id", default_id)) \
+        .withColumn("frame_id", coalesce_default("frame_id", default_id)) \
         .withColumn("source_ts", iso_parse(ts, fallback=fb)) \
         .withColumn("error", err)
 
@@ -82,48 +98,56 @@ def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFr
     return df.where(F.col(error).isNull()).drop(error), df.where(F.col(error).isNotNull())
 
 
-_DETECTORS: dict[object, Detector] = {}
+_DETECTORS: dict[str, Detector] = {}
 
 
-def cached_detector(factory: DetectorFactory) -> Detector:
-    """The detector built by ``factory``, created once per Python worker process.
+def cached_detector(factory: DetectorFactory, model_key: str) -> Detector:
+    """The detector of ``model_key``, built by ``factory`` once per Python worker process.
 
     Workers are reused across tasks and micro-batches, and this module is imported (not pickled)
-    on them, so the cache lives as long as the worker: a model is loaded once per process.
+    on them, so the cache lives as long as the worker.  The caller's key says which model it is:
+    factories that build different detectors need different keys.
     """
-    key = (getattr(factory, "__module__", None), getattr(factory, "__qualname__", None)) \
-        if getattr(factory, "__qualname__", "<lambda>") != "<lambda>" else id(factory)
-    det = _DETECTORS.get(key)
-    if det is None:
-        det = _DETECTORS[key] = factory()
-    return det
+    if model_key not in _DETECTORS:
+        _DETECTORS[model_key] = factory()
+    return _DETECTORS[model_key]
 
 
-def score_frames(df: DataFrame, detector_factory: DetectorFactory, *, image: str = "image_bytes",
+def score_frames(df: DataFrame, detector_factory: DetectorFactory, model_key: str, *,
+                 image: str = "image_bytes",
                  keep: Sequence[str] = ("camera_id", "frame_id", "frame_index", "timestamp",
                                         "source_ts")) -> DataFrame:
-    """Run the detector over every frame; adds ``boxes`` and ``processing_time_ms``.
+    """Run the detector over every frame; adds ``boxes``, ``processing_time_ms`` and ``error``.
 
-    The detector is created once per Python worker process (``cached_detector``) and reused by
-    every task and micro-batch that worker runs; each Arrow batch is passed as one pandas Series.
-    Works on batch and streaming DataFrames.
+    Each frame is scored and timed by itself.  A frame on which the detector raises gets
+    ``error = "detector_failed: ..."`` and no boxes; rows that come with an ``error`` are passed on
+    unscored.  Works on batch and streaming DataFrames.
     """
-    src = df.select(*keep, image)
-    out_schema = T.StructType([src.schema[c] for c in keep] + [
-        T.StructField("boxes", BOXES_TYPE), T.StructField("processing_time_ms", T.DoubleType())])
-    keep = list(keep)
+    had_error = "error" in df.columns
+    keep = list(dict.fromkeys([*keep, image]))
+    src = df.select(*keep, F.col("error") if had_error else F.lit(None).cast("string").alias("error"))
+    out_schema = T.StructType([*src.schema.fields[:-1], T.StructField("boxes", BOXES_TYPE),
+                               T.StructField("processing_time_ms", T.DoubleType()),
+                               T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        detect = cached_detector(detector_factory)
+        detect = cached_detector(detector_factory, model_key)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            t0 = time.perf_counter()
-            boxes = list(detect(pdf[image]))
-            per_row_ms = (time.perf_counter() - t0) * 1000.0 / len(pdf)
+            boxes, times, errors = [], [], []
+            for data, error in zip(pdf[image], pdf["error"]):
+                found, began = None, time.perf_counter()
+                if error is None:
+                    try:
+                        found = [dict(b) for b in detect(pd.Series([data]))[0]]
+                    except Exception as exc:  # this frame goes to the dead letters
+                        error = f"detector_failed: {type(exc).__name__}: {exc}"
+                boxes.append(found)
+                times.append((time.perf_counter() - began) * 1000.0 if found is not None else None)
+                errors.append(error)
             out = pdf[keep].copy()
-            out["boxes"] = [[dict(b) for b in bs] for bs in boxes]
-            out["processing_time_ms"] = per_row_ms
+            out["boxes"] = boxes
+            out["processing_time_ms"] = pd.Series(times, dtype="float64", index=out.index)
+            out["error"] = errors
             yield out
 
     return src.mapInPandas(run, out_schema)

@@ -3,128 +3,93 @@
 * ``append_batch`` — the batch goes to ``<table>/batch_id=<n>`` with overwrite of that folder
   only, so a batch replayed after a failure rewrites the same files (no duplicates from
   replays; duplicates *in the data* are kept, like an append-only store).
-* ``upsert_latest`` — keyed documents without a lakehouse format: the batch's latest row per key
-  is written to ``<docs>/batch_id=<n>``; ``read_latest`` returns, per key, the row from the
-  highest batch (then highest order column) using ``max_by`` — partial aggregation, so even a hot
-  key never gathers its rows in one task.
-* ``store_results`` — wires both into a streaming query with a checkpoint (exactly-once with a
+* ``read_latest`` — keyed documents as a view of that table: per key the row of the last batch, and
+  within a batch the last by a unique order.  Rows are cut to one per key in each task before the
+  shuffle, so a hot key never gathers its rows.
+* ``first_frames`` / ``image_winners`` — the first frame of each (camera, time bucket) keeps its
+  image.  First means least (source time, frame id).  A micro-batch stores the images of its own
+  first frames; the least of those least ones is the winner.  The answer does not depend on the order
+  of arrival, on how batches are cut or on restarts, and no state has to expire.
+* ``store_results`` — wires these into one streaming query with a checkpoint (exactly-once with a
   replayable source such as Kafka or files).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.operators.rank import top_n_per_group
+
 
 def append_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
     """Write one micro-batch to its own partition folder (replay-safe)."""
     batch.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
-def upsert_latest(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str],
-                  docs_path: str) -> None:
-    """Keep the latest row per key inside the batch and write it as this batch's version."""
-    cols = [c for c in batch.columns]
-    ordering = F.struct(*[F.col(c) for c in order])
-    latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*cols), ordering).alias("__r")).select("__r.*")
-    latest.write.mode("overwrite").parquet(f"{docs_path.rstrip('/')}/batch_id={int(batch_id)}")
-
-
-def _snapshot_root(docs_path: str) -> str:
-    return f"{docs_path.rstrip('/')}/_snapshot"
-
-
-def _latest_snapshot(spark: SparkSession, docs_path: str) -> tuple[int, DataFrame] | None:
-    """(upto, rows) of the newest complete snapshot, or None."""
-    from pyspark.errors import AnalysisException
-    try:
-        marks = spark.read.json(f"{_snapshot_root(docs_path)}/_committed")
-    except AnalysisException:
-        return None
-    row = marks.agg(F.max("upto").alias("upto")).first()
-    if row is None or row.upto is None:
-        return None
-    upto = int(row.upto)
-    return upto, spark.read.parquet(f"{_snapshot_root(docs_path)}/upto={upto}")
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The append-only table (all batches), without the batch folder column."""
+    return spark.read.parquet(table_path).drop("batch_id")
 
 
-def read_latest(spark: SparkSession, docs_path: str, keys: Sequence[str],
+def read_latest(spark: SparkSession, table_path: str, keys: Sequence[str],
                 order: Sequence[str] = ()) -> DataFrame:
-    """Current document per key: highest ``batch_id``, then highest ``order``.
+    """Current document per key: last ``batch_id``, then last ``order`` (e.g. the source offset), then
+    the greater hash of the row, so that the choice is never arbitrary."""
+    rows = spark.read.parquet(table_path)
+    plain = [c for c, kind in rows.dtypes if not kind.startswith("map")]
+    last = [F.desc("batch_id"), *[F.col(c).desc_nulls_last() for c in order],
+            F.xxhash64(*plain).desc()]
+    return top_n_per_group(rows, list(keys), last, 1).drop("batch_id")
 
-    When a snapshot exists (``compact_latest``), only the snapshot and the batches written after
-    it are read, so a read does not grow with the age of the stream.
-    """
-    docs = spark.read.parquet(docs_path)
-    snap = _latest_snapshot(spark, docs_path)
-    if snap is not None:
-        upto, rows = snap
-        docs = docs.where(F.col("batch_id") > upto).unionByName(rows, allowMissingColumns=True)
-    data_cols = [c for c in docs.columns if c != "batch_id"]
-    ordering = F.struct(F.col("batch_id"), *[F.col(c) for c in order])
-    return docs.groupBy(*keys).agg(F.max_by(F.struct(*data_cols), ordering).alias("__r")) \
-        .select("__r.*")
-
-
-def compact_latest(spark: SparkSession, docs_path: str, keys: Sequence[str],
-                   order: Sequence[str] = ()) -> int:
-    """Write the current document per key as a snapshot covering every batch written so far.
-
-    The snapshot goes to ``<docs>/_snapshot/upto=<n>`` (keeping each row's ``batch_id``); a
-    commit marker is written only after the data, so readers never see a partial snapshot.  Old
-    batch folders and snapshots are left for the caller's retention policy.  Returns ``n``.
-    """
-    upto = spark.read.parquet(docs_path).agg(F.max("batch_id").alias("m")).first().m
-    if upto is None:
-        return -1
-    docs = spark.read.parquet(docs_path)
-    snap = _latest_snapshot(spark, docs_path)
-    if snap is not None:
-        prev, rows = snap
-        docs = docs.where(F.col("batch_id") > prev).unionByName(rows, allowMissingColumns=True)
-    docs = docs.where(F.col("batch_id") <= upto)
-    cols = docs.columns
-    ordering = F.struct(F.col("batch_id"), *[F.col(c) for c in order])
-    latest = docs.groupBy(*keys).agg(F.max_by(F.struct(*cols), ordering).alias("__r")).select("__r.*")
-    latest.write.mode("overwrite").parquet(f"{_snapshot_root(docs_path)}/upto={int(upto)}")
-    spark.createDataFrame([(int(upto),)], "upto long").coalesce(1).write.mode("append") \
-        .json(f"{_snapshot_root(docs_path)}/_committed")
-    return int(upto)
 
+def first_frames(frames: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
+                 tie: str = "frame_id", unit: str = "second") -> DataFrame:
+    """The row of least (``ts``, ``tie``) of each (camera, ``unit`` bucket)."""
+    bucketed = frames.withColumn("__bucket", F.date_trunc(unit, F.col(ts)))
+    least = [F.asc(ts), F.asc(tie)]
+    return top_n_per_group(bucketed, [camera, "__bucket"], least, 1).drop("__bucket")
 
-def read_table(spark: SparkSession, table_path: str) -> DataFrame:
-    """The append-only table (all batches), without the batch folder column."""
-    return spark.read.parquet(table_path).drop("batch_id")
+
+def image_winners(spark: SparkSession, images_path: str, **options) -> DataFrame:
+    """Of the images that the micro-batches stored, the one that each bucket keeps."""
+    return first_frames(read_table(spark, images_path), **options)
 
 
-def store_results(stream: DataFrame, *, table_path: str, docs_path: str | None, checkpoint: str,
-                  keys: Sequence[str] = ("frame_id",), order: Sequence[str] = ("processed_ts",),
+def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
+                  dead_path: str | None = None, images_path: str | None = None,
+                  image: str = "image_bytes", error: str = "error",
                   stamp: str | None = "stored_ts", trigger: dict | None = None,
-                  query_name: str | None = None,
-                  prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamingQuery:
-    """Start a query that appends every batch to the table and upserts the keyed documents.
+                  query_name: str | None = None, first: dict | None = None) -> StreamingQuery:
+    """Start a query that appends every batch to the table.
 
-    ``prepare(batch, batch_id)`` may rewrite each micro-batch first (e.g. the first-per-bucket
-    flag kept in a claims table); the batch is persisted while several actions read it, so the
-    upstream stages (the detector) run once per batch.
+    With ``dead_path``, rows with an ``error`` go there and the others to the table; with
+    ``images_path``, the batch's first frames (``first``: options of :func:`first_frames`) go there
+    with their ``image``, which the table leaves out.  Upstream stages run once per batch: what is
+    written several times is persisted first, stamped with one time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = prepare is not None or docs_path is not None
-        src = batch.persist() if shared else batch
+        if stamp:
+            now = dt.datetime.now(dt.timezone.utc)
+            batch = batch.withColumn(stamp, F.lit(now))
+        shared = dead_path is not None or images_path is not None
+        rows = batch.persist() if shared else batch
         try:
-            out = prepare(src, batch_id) if prepare is not None else src
-            if stamp:
-                out = out.withColumn(stamp, F.current_timestamp())
-            append_batch(out, batch_id, table_path)
-            if docs_path:
-                upsert_latest(out, batch_id, keys, order, docs_path)
+            good = rows
+            if dead_path is not None:
+                append_batch(rows.where(F.col(error).isNotNull()).drop(image), batch_id, dead_path)
+                good = rows.where(F.col(error).isNull()).drop(error)
+            if images_path is not None:
+                append_batch(first_frames(good, **(first or {})), batch_id, images_path)
+                good = good.drop(image)
+            append_batch(good, batch_id, table_path)
         finally:
             if shared:
-                src.unpersist()
+                rows.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -165,12 +130,9 @@ def write_complete(stream: DataFrame, path: str, checkpoint: str,
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 900.0) -> None:
+def run_to_end(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query; re-raise its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
+    query.awaitTermination()
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"stream failed: {exc}")

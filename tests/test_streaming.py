@@ -1,19 +1,21 @@
-"""Stream stages: stream = batch on the same messages, replay/restart safety, stateful marking,
-one-document-per-file JSON source."""
+"""Stream stages: stream = batch on the same messages, replay/restart safety, failing frames, first
+images, one-document-per-file JSON source."""
 
+import functools
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.operators.rank import first_per_bucket
 from tessera.plans import q_streaming as Q
+from tessera.plans.stub_detector import stub_detector_factory
 from tessera.session import scratch_dir
 from tessera.sources.text import read_json_documents
 from tessera.streaming import frames as S
-from tessera.streaming.detector import stub_detector_factory
-from tessera.streaming.state import first_per_bucket_claims, mark_first_per_bucket
-from tessera.streaming.store import compact_latest, read_latest, read_table, run_to_end, store_results
+from tessera.streaming.store import (append_batch, image_winners, read_latest, read_table, run_to_end,
+                                     store_results)
 
 from .conftest import SF_SMALL
 
@@ -21,32 +23,48 @@ from .conftest import SF_SMALL
 def _batch_results(spark, path):
     msgs = spark.read.schema(S.MESSAGE_SCHEMA).json(path)
     good, dead = S.split_errors(S.decode_frames(msgs))
-    scored = S.score_frames(good, stub_detector_factory)
-    return S.enrich_results(scored, Q.MODEL), dead
+    scored = S.score_frames(good, stub_detector_factory, Q.MODEL)
+    return S.enrich_results(scored, Q.MODEL).drop("image_bytes"), dead
+
+
+def _events(spark, bad=False):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    return events.where("event_type = 'error'" if bad else "event_type <> 'error'")
 
 
 def test_stream_equals_batch(spark):
-    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
-    ok, _ = Q._scored(spark, src)
+    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"), files=4)
     table = scratch_dir(spark, "t")
-    run_to_end(store_results(ok, table_path=table, docs_path=None, checkpoint=scratch_dir(spark, "c")))
+    run_to_end(store_results(Q._scored(spark, src, files_per_trigger=1), table_path=table,
+                             checkpoint=scratch_dir(spark, "c")))
     streamed = {(r.frame_id, r.person_count) for r in read_table(spark, table).collect()}
     batch_ok, batch_dead = _batch_results(spark, src)
     batched = {(r.frame_id, r.person_count) for r in batch_ok.collect()}
     assert streamed == batched and len(streamed) > 0
-    assert batch_dead.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet") \
-        .where("event_type = 'error'").count()
+    assert batch_dead.count() == _events(spark, bad=True).count()
 
 
 def test_replayed_delivery_and_upsert(spark):
     src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"), copies=2)
-    ok, _ = Q._scored(spark, src)
-    table, docs = scratch_dir(spark, "t"), scratch_dir(spark, "d")
-    run_to_end(store_results(ok, table_path=table, docs_path=docs, checkpoint=scratch_dir(spark, "c")))
-    n_table = read_table(spark, table).count()
-    latest = read_latest(spark, docs, ["frame_id"], ["processed_ts"])
-    assert n_table == 2 * latest.count()
+    table = scratch_dir(spark, "t")
+    run_to_end(store_results(Q._scored(spark, src), table_path=table,
+                             checkpoint=scratch_dir(spark, "c")))
+    stored = read_table(spark, table)
+    latest = read_latest(spark, table, ["frame_id"], ["frame_index"])
+    assert stored.count() == 2 * latest.count()
     assert latest.select("frame_id").distinct().count() == latest.count()
+    assert stored.select("stored_ts").distinct().count() == 1  # one time for the one batch
+
+
+def test_latest_document_follows_the_source_order(spark):
+    path = scratch_dir(spark, "docs")
+    cols = "frame_id string, source_offset long, person_count long"
+    first = [("a", i, i * 10) for i in (3, 1, 5, 2, 4)] + [("b", 1, 1), ("c", None, 7), ("c", 1, 8)]
+    append_batch(spark.createDataFrame(first, cols).repartition(3), 0, path)
+    append_batch(spark.createDataFrame([("b", 0, 99)], cols), 1, path)
+    got = {r.frame_id: r.person_count for r in
+           read_latest(spark, path, ["frame_id"], ["source_offset"]).collect()}
+    assert got == {"a": 50, "b": 99, "c": 8}
 
 
 def test_restart_from_checkpoint_is_exactly_once(spark):
@@ -54,27 +72,94 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     first = F.dayofmonth("ts") <= 15
     for wave in (first, ~first):
         Q.write_messages(spark, SF_SMALL, src, where=wave)
-        ok, _ = Q._scored(spark, src)
-        run_to_end(store_results(ok, table_path=table, docs_path=None, checkpoint=ckpt))
+        run_to_end(store_results(Q._scored(spark, src), table_path=table, checkpoint=ckpt))
     stored = read_table(spark, table)
     assert stored.count() == stored.select("frame_id").distinct().count()
-    assert stored.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet") \
-        .where("event_type <> 'error'").count()
+    assert stored.count() == _events(spark).count()
+
+
+def test_first_images_equal_the_batch_operator(spark):
+    # Frames dealt at random over files, several micro-batches, a restart in between.
+    src, ckpt = scratch_dir(spark, "msgs"), scratch_dir(spark, "c")
+    table, dead, images = (scratch_dir(spark, n) for n in ("t", "d", "i"))
+    for part in (0, 1):
+        Q._messages(spark, SF_SMALL).where(F.pmod(F.xxhash64("frame_id"), F.lit(2)) == part) \
+            .drop("ts").repartition(3, F.rand(7)).write.mode("append").json(src)
+        run_to_end(store_results(Q._results(spark, src, files_per_trigger=1), table_path=table,
+                                 dead_path=dead, images_path=images, checkpoint=ckpt,
+                                 first={"unit": "hour"}))
+    won = image_winners(spark, images, unit="hour").collect()
+    batch = _batch_results(spark, src)[0].withColumn("bucket", F.date_trunc("hour", "source_ts"))
+    want = first_per_bucket(batch, ["camera_id", "bucket"], ["source_ts", "frame_id"],
+                            winners_only=True)
+    assert {r.frame_id for r in won} == {r.frame_id for r in want.collect()}
+    assert all(len(r.image_bytes) > 0 for r in won)
+    assert read_table(spark, dead).count() == _events(spark, bad=True).count()
+    assert "image_bytes" not in read_table(spark, table).columns
+    assert read_table(spark, table).count() == _events(spark).count()
+
+
+def fragile_factory(poison=b"poison"):
+    def detect(images):
+        if any(bytes(b) == poison for b in images):
+            raise ValueError("cannot read this one")
+        return [[] for _ in images]
+    return detect
+
+
+def _message(**fields):
+    return json.dumps({"camera_id": "c1", "frame_id": "f", "frame_index": 1,
+                       "timestamp": "2030-05-06T07:08:09Z", "image": "b2s=", **fields})
+
+
+def test_one_failing_frame_is_recorded_and_the_rest_go_on(spark, tmp_dir):
+    lines = [_message(frame_id="good"), _message(frame_id="bad", image="cG9pc29u"),
+             _message(frame_id="empty", image=""), _message(camera_id=None, frame_id=""),
+             '{"frame_id": "cut", "camera', _message(frame_id="none", image=None)]
+    with open(os.path.join(tmp_dir, "m.json"), "w") as f:
+        f.write("\n".join(lines))
+    stream = S.read_json_stream(spark, "json", S.MESSAGE_SCHEMA, path=tmp_dir)
+    keep = ("camera_id", "frame_id", "frame_index", "timestamp", "source_ts", "raw")
+    scored = S.enrich_results(S.score_frames(S.decode_frames(stream), fragile_factory, "fragile",
+                                             keep=keep), "m")
+    table, dead = scratch_dir(spark, "t"), scratch_dir(spark, "d")
+    run_to_end(store_results(scored, table_path=table, dead_path=dead,
+                             checkpoint=scratch_dir(spark, "c")))
+    good = {(r.camera_id, r.frame_id) for r in read_table(spark, table).collect()}
+    assert good == {("c1", "good"), ("unknown", "unknown")}
+    lost = {(r.frame_id, r.error): r.raw for r in read_table(spark, dead).collect()}
+    assert lost == {("bad", "detector_failed: ValueError: cannot read this one"): None,
+                    ("empty", "undecodable_image"): None, ("none", "undecodable_image"): None,
+                    ("unknown", "malformed_message"): lines[4]}
 
 
-def test_stream_marking_matches_batch_marking(spark):
-    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
-    # One micro-batch: within a batch winners follow (event time, id), so stream == batch.
-    ok, _ = Q._scored(spark, src, files_per_trigger=Q.FILES)
-    marked = mark_first_per_bucket(ok, unit="hour")
-    table = scratch_dir(spark, "t")
-    run_to_end(store_results(marked, table_path=table, docs_path=None, checkpoint=scratch_dir(spark, "c")))
-    streamed = {r.frame_id: r.is_first for r in read_table(spark, table).collect()}
-    batch_ok, _ = _batch_results(spark, src)
-    b = batch_ok.withColumn("bucket", F.date_trunc("hour", "source_ts"))
-    batched = {r.frame_id: r.is_first
-               for r in first_per_bucket(b, ["camera_id", "bucket"], ["source_ts", "frame_id"]).collect()}
-    assert streamed == batched
+def counting_factory(n):
+    return lambda images: [[{"class_id": 0, "class_name": "person", "confidence": 0.9, "x1": 0.0,
+                             "y1": 0.0, "x2": 1.0, "y2": 1.0}] * n for _ in images]
+
+
+def test_detectors_are_told_apart_by_their_key(spark):
+    frames = spark.createDataFrame([(b"x",)], "image_bytes binary")
+    for _ in range(2):
+        for n in (1, 3):
+            made = [functools.partial(counting_factory, n), lambda n=n: counting_factory(n)]
+            for k, factory in enumerate(made):
+                out = S.score_frames(frames, factory, f"counting-{n}-{k}", keep=()).collect()
+                assert [len(r.boxes) for r in out] == [n]
+
+
+def test_each_frame_has_its_own_time(spark):
+    import time
+
+    def slow_factory():
+        def detect(images: pd.Series):
+            time.sleep(0.05 if bytes(images.iloc[0]) == b"slow" else 0)
+            return [[] for _ in images]
+        return detect
+    frames = spark.createDataFrame([(b"slow",), (b"fast",)], "image_bytes binary").coalesce(1)
+    rows = S.score_frames(frames, slow_factory, "slow", keep=()).collect()
+    times = {bytes(r.image_bytes): r.processing_time_ms for r in rows}
+    assert times[b"slow"] >= 50 > times[b"fast"]
 
 
 def test_running_stats_complete_mode(spark):
@@ -87,7 +172,7 @@ def test_pretty_printed_document_per_file(spark, tmp_dir):
     docs = [{"camera_id": "cam_01", "frame_id": "cam_01_0000000000aa", "source_timestamp":
              "2024-01-01T09:24:45.123456+00:00", "person_count": 1, "boxes": [
                  {"x1": 1.0, "y1": 2.0, "x2": 3.0, "y2": 4.0, "confidence": 0.5, "class_id": 0,
-                  "class_name": "person"}], "processing_time_ms": 132.31},
+                  "class_name": "person"}], "processing_time_ms": 87.5},
             {"camera_id": "cam_01", "frame_id": "cam_01_0000000000ab", "source_timestamp":
              "2024-01-01T09:24:46Z", "person_count": 0, "boxes": [], "processing_time_ms": 200.0}]
     for i, d in enumerate(docs):
@@ -102,36 +187,11 @@ def test_pretty_printed_document_per_file(spark, tmp_dir):
         ("cam_01_0000000000aa", 1, 1), ("cam_01_0000000000ab", 0, 0)]
 
 
-def test_claims_marking_matches_batch_and_spans_batches(spark):
-    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
-    # Several micro-batches (one file each): a bucket split over two files is won once.
-    ok, _ = Q._scored(spark, src)
-    prepare = first_per_bucket_claims(scratch_dir(spark, "claims"), unit="day")
-    table = scratch_dir(spark, "t")
-    run_to_end(store_results(ok, table_path=table, docs_path=None, checkpoint=scratch_dir(spark, "c"),
-                             prepare=prepare))
-    stored = read_table(spark, table)
-    n_buckets = stored.select("camera_id", F.date_trunc("day", "source_ts")).distinct().count()
-    assert stored.where("is_first").count() == n_buckets
-    assert stored.count() == stored.select("frame_id").distinct().count()
-    # With everything in one micro-batch the winners equal the batch operator's.
-    ok1, _ = Q._scored(spark, src, files_per_trigger=Q.FILES)
-    table1 = scratch_dir(spark, "t1")
-    run_to_end(store_results(ok1, table_path=table1, docs_path=None, checkpoint=scratch_dir(spark, "c1"),
-                             prepare=first_per_bucket_claims(scratch_dir(spark, "claims1"), unit="day")))
-    streamed = {r.frame_id: r.is_first for r in read_table(spark, table1).collect()}
-    batch_ok, _ = _batch_results(spark, src)
-    b = batch_ok.withColumn("bucket", F.date_trunc("day", "source_ts"))
-    batched = {r.frame_id: r.is_first
-               for r in first_per_bucket(b, ["camera_id", "bucket"], ["source_ts", "frame_id"]).collect()}
-    assert streamed == batched
-
-
 def test_camera_stats_stream_equals_batch(spark):
     from tessera.plans.frames import camera_stats
     from tessera.streaming.store import write_complete
     src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
-    ok, _ = Q._scored(spark, src)
+    ok = Q._scored(spark, src)
     out = scratch_dir(spark, "stats")
     run_to_end(write_complete(camera_stats(ok), out, scratch_dir(spark, "c")))
     streamed = {tuple(r) for r in spark.read.parquet(out).collect()}
@@ -142,7 +202,7 @@ def test_camera_stats_stream_equals_batch(spark):
 def test_json_message_sink_round_trip(spark):
     from tessera.streaming.store import write_json_stream
     src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
-    ok, _ = Q._scored(spark, src)
+    ok = Q._scored(spark, src)
     out = scratch_dir(spark, "topic")
     results = ok.select("camera_id", "frame_id", "person_count", "boxes")
     run_to_end(write_json_stream(results, fmt="json", path=out, checkpoint=scratch_dir(spark, "c")))
@@ -153,23 +213,6 @@ def test_json_message_sink_round_trip(spark):
     assert {(r.frame_id, r.person_count, len(r.boxes)) for r in back.collect()} == want
 
 
-def test_compacted_documents_read_the_same(spark):
-    src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"), copies=2)
-    ok, _ = Q._scored(spark, src)
-    docs = scratch_dir(spark, "d")
-    run_to_end(store_results(ok, table_path=scratch_dir(spark, "t"), docs_path=docs,
-                             checkpoint=scratch_dir(spark, "c")))
-    cols = ["frame_id", "person_count", "processed_ts"]
-    before = {tuple(r) for r in read_latest(spark, docs, ["frame_id"], ["processed_ts"]).select(*cols).collect()}
-    upto = compact_latest(spark, docs, ["frame_id"], ["processed_ts"])
-    assert upto >= 0
-    after = {tuple(r) for r in read_latest(spark, docs, ["frame_id"], ["processed_ts"]).select(*cols).collect()}
-    assert after == before
-    assert compact_latest(spark, docs, ["frame_id"], ["processed_ts"]) == upto  # idempotent
-    again = {tuple(r) for r in read_latest(spark, docs, ["frame_id"], ["processed_ts"]).select(*cols).collect()}
-    assert again == before
-
-
 def test_parquet_message_source(spark):
     msgs = Q._messages(spark, SF_SMALL).drop("ts")
     src = scratch_dir(spark, "msgs-parquet")
@@ -178,7 +221,6 @@ def test_parquet_message_source(spark):
                                 options={"maxFilesPerTrigger": "1"})
     good, dead = S.split_errors(S.decode_frames(stream))
     table = scratch_dir(spark, "t")
-    run_to_end(store_results(good.drop("image", "image_bytes"), table_path=table, docs_path=None,
+    run_to_end(store_results(good.drop("image", "image_bytes"), table_path=table,
                              checkpoint=scratch_dir(spark, "c"), stamp=None))
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert read_table(spark, table).count() == events.where("event_type <> 'error'").count()
+    assert read_table(spark, table).count() == _events(spark).count()
