@@ -7,6 +7,8 @@ returns the read-back DataFrame; the oracle is the original table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,12 +163,23 @@ def table_profile(spark, sf):
     return out
 
 
-@register("schema_catalog")
+@register("schema_catalog", f"""
+WITH filled AS ({' UNION ALL '.join(
+    f"SELECT '{t}' AS table_name, column_name, count(value) AS n FROM (UNPIVOT "
+    f"(SELECT COLUMNS(*)::VARCHAR FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE value) "
+    f"GROUP BY column_name" for t in tb.TABLES)})
+SELECT c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal, c.column_name,
+       coalesce(filled.n, 0) AS n_values
+FROM information_schema.columns c LEFT JOIN filled
+  ON c.table_name = filled.table_name AND c.column_name = filled.column_name
+WHERE c.table_name IN ({', '.join(f"'{t}'" for t in tb.TABLES)})""")
 def schema_catalog(spark, sf):
-    """(table, ordinal, column, type, nullable) for every driver table — rows-only: type names
-    differ between engines.  Built from the tables' schemas (metadata, a few rows per table)."""
-    tables = load_tables(spark, sf, tb.TABLES)
-    rows = [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable)
-            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, "
-                                       "data_type string, nullable boolean")
+    """(table, ordinal, column, non-NULL values) of every driver table: one aggregation a table."""
+    parts = []
+    for name, df in load_tables(spark, sf, tb.TABLES).items():
+        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+        cells = [F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
+                          F.col(c).alias("n_values")) for i, c in enumerate(df.columns)]
+        parts.append(counts.select(F.lit(name).alias("table_name"),
+                                   F.explode(F.array(*cells)).alias("x")).select("table_name", "x.*"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

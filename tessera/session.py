@@ -10,8 +10,8 @@ The settings are the ones every analytic here relies on:
 * No UI server.
 
 Scratch output (round-trip tests of sources/sinks, keyed-document stores, lineage cuts) goes
-under ``spark.checkpoint.dir``: the shared folder the cluster names.  Only when that setting is
-unset (local tests) do we create one.
+under ``spark.checkpoint.dir``: the shared folder the cluster names.  Only in local mode, where one
+machine runs everything, is a folder made when that setting is unset; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -95,12 +95,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only when none is configured."""
+    """Return the shared checkpoint folder; in local mode one is made when none is configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None) \
         or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        current = _own_folder(sc.master)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     # setCheckpointDir appends a per-application sub-folder; scratch lives next to it.
@@ -108,6 +108,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _own_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share "
+                           f"(master {master})")
+    return tempfile.mkdtemp(prefix="tessera-ckpt-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder for one write under the shared checkpoint folder."""
     base = spark.conf.get("tessera.shared.dir", None) or ensure_checkpoint_dir(spark)

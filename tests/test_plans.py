@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tessera.operators.joins import lookup
+from tessera.plans.registry import QUERIES as BASE_QUERIES
 from tessera.operators.rank import global_rank, top_n_per_group
 
 from .conftest import SF_SMALL
@@ -18,6 +19,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 SKIP = {k for k in QUERIES if k.startswith(("src_", "sink_", "stream_"))} | {
     "dead_letter", "upsert_by_key", "score_frames", "frame_pipeline", "running_stats", "global_rank",
     "seller_ranking", "table_profile", "schema_catalog"}
+BASE = set(BASE_QUERIES) & set(ORACLE)
 
 
 def plan_of(df) -> str:
@@ -54,7 +56,30 @@ def test_global_rank_never_sends_rows_to_one_partition(spark):
     assert sorted(r.r for r in ranked.collect()) == list(range(1, 1001))
 
 
-@pytest.mark.parametrize("key", sorted(k for k in ORACLE if k not in SKIP))
+@pytest.mark.parametrize("key", sorted(BASE - SKIP))
 def test_batch_queries_stay_in_the_jvm(spark, key):
     plan = plan_of(QUERIES[key](spark, SF_SMALL))
     assert not any(node in plan for node in PYTHON_NODES), key
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tessera.session import _own_folder
+
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            _own_folder(master)
+
+
+def test_ratings_reduce_before_the_join(spark):
+    # Partial sums below the join: an aggregate comes before the dimension's join.
+    for key in ("genre_mean", "occupation_mean"):
+        plan = plan_of(QUERIES[key](spark, SF_SMALL))
+        assert plan.count("partial_sum(rating") == 1, key
+        assert plan.index("Join") < plan.index("partial_sum(rating"), key
+    plan = plan_of(QUERIES["movie_mean_count"](spark, SF_SMALL))
+    assert plan.count("orders.parquet") == 1
+
+
+def test_anti_join_runs_no_probe(spark):
+    plan = plan_of(QUERIES["anti_join"](spark, SF_SMALL))
+    assert "Limit" not in plan and "SinglePartition" not in plan
