@@ -18,7 +18,8 @@ from tessera.plans import testbed as tb
 from tessera.plans.q_relational import frames as frame_rows
 from tessera.plans.registry import register, rnd, settled
 from tessera.session import scratch_dir
-from tessera.sinks.files import format_lines, write_csv, write_json_lines, write_single_csv, write_tsv
+from tessera.sinks.files import (format_lines, write_csv, write_json_lines, write_lines,
+                                 write_single_csv, write_tsv)
 from tessera.sources.tables import load_tables
 from tessera.sources.text import read_csv_table, read_delimited, read_json_documents, read_word_list
 
@@ -138,6 +139,29 @@ def sink_lines(spark, sf):
     return spark.read.text(path)
 
 
+@register("sink_write_lines", """
+SELECT printf('%d|%s', s_suppkey, s_name) AS value FROM supplier""")
+def sink_write_lines(spark, sf):
+    """supplier through ``write_lines``, read back as text."""
+    path = scratch_dir(spark, "supplier-lines")
+    write_lines(tb.table(spark, sf, "supplier"), "%d|%s", ["s_suppkey", "s_name"], path)
+    return spark.read.text(path)
+
+
+@register("src_json_multiline", "SELECT s_suppkey, s_name FROM supplier")
+def src_json_multiline(spark, sf):
+    """supplier as JSON documents with line breaks, one a file, read in the multi-line form."""
+    path = scratch_dir(spark, "supplier-docs")
+    docs = tb.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("k"), F.to_json(F.struct("s_suppkey", "s_name"),
+                                                 {"pretty": "true"}).alias("value"))
+    docs.repartition("k").write.partitionBy("k").text(path)
+    schema = T.StructType([T.StructField("s_suppkey", tb.table(spark, sf, "supplier")
+                                         .schema["s_suppkey"].dataType),
+                           T.StructField("s_name", T.StringType())])
+    return read_json_documents(spark, path, schema).select("s_suppkey", "s_name")
+
+
 @register("src_word_list", """
 SELECT DISTINCT replace(line, chr(13), '') AS word
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)

@@ -190,6 +190,16 @@ def pivot_mean_na(spark, sf):
     return R.movie_age_wide(_brand_sizes(spark, sf), movie="kind", closed="left", names=AGE_NAMES)
 
 
+@register("pivot_mean_empty_cells", _wide_age_sql("l_orderkey", "movie"))
+def pivot_mean_empty_cells(spark, sf):
+    """An order has few lines, so most of its buckets are empty (NULL)."""
+    part = tb.table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("age"))
+    li = tb.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("movie"), F.col("l_partkey").alias("p_partkey"),
+        F.col("l_quantity").alias("rating"))
+    return R.movie_age_wide(li.join(part, "p_partkey"), closed="left", names=AGE_NAMES)
+
+
 @register("movie_age_long", f"""
 SELECT p_brand AS movie, {_bucket_sql('right')} AS age_group, avg(l_quantity) AS mean_rating,
        count(l_quantity) AS n_ratings
@@ -230,6 +240,28 @@ def occupation_mean(spark, sf):
     return R.occupation_mean(tb.ratings(spark, sf), _users(spark, sf), occ)
 
 
+@register("occupation_mean_unknown", f"""
+WITH {RATING_CTE}
+SELECT coalesce(r_name, 'Unknown') AS occupation_name, avg(rating) AS mean_rating,
+       count(rating) AS n_ratings
+FROM rating JOIN customer ON "user" = c_custkey LEFT JOIN region ON c_nationkey = r_regionkey
+GROUP BY 1""")
+def occupation_mean_unknown(spark, sf):
+    """A dictionary that lacks most ids: they share the default name."""
+    occ = tb.table(spark, sf, "region").select(F.col("r_regionkey").alias("id"),
+                                               F.col("r_name").alias("name"))
+    return R.occupation_mean(tb.ratings(spark, sf), _users(spark, sf), occ)
+
+
+@register("lookup_unknown", """
+SELECT c_custkey, coalesce(r_name, 'Unknown') AS name
+FROM customer LEFT JOIN region ON c_nationkey = r_regionkey""")
+def lookup_unknown(spark, sf):
+    cust = tb.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return lookup(cust, tb.table(spark, sf, "region"), ("c_nationkey", "r_regionkey"), "r_name",
+                  out="name").select("c_custkey", "name")
+
+
 @register("lookup_broadcast", """
 SELECT c_custkey, coalesce(n_name, 'Unknown') AS nation_name
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
@@ -297,6 +329,21 @@ def join_full_outer(spark, sf):
     return full_outer_op(od, agg, "order_id", defaults={"priority": "", "n_lines": 0})
 
 
+@register("movie_mean_orphans", """
+WITH stats AS (SELECT l_partkey * 3 AS movie, avg(l_quantity) AS mean_rating,
+                      count(l_quantity) AS n_ratings FROM lineitem GROUP BY 1)
+SELECT coalesce(p_partkey * 2, stats.movie) AS movie, coalesce(p_name, '') AS title, mean_rating,
+       coalesce(n_ratings, 0) AS n_ratings
+FROM part FULL OUTER JOIN stats ON p_partkey * 2 = stats.movie""")
+def movie_mean_orphans(spark, sf):
+    """Both orphans: movies without ratings (count 0) and ratings without a movie (empty title)."""
+    movies = tb.table(spark, sf, "part").select((F.col("p_partkey") * 2).alias("movie"),
+                                                F.col("p_name").alias("title"))
+    rated = tb.table(spark, sf, "lineitem").select((F.col("l_partkey") * 3).alias("movie"),
+                                                   F.col("l_quantity").alias("rating"))
+    return R.movie_mean_count([rated], movies)
+
+
 @register("join_two_hop", """
 SELECT c_mktsegment AS segment, p_type AS category, count(*) AS n_lines, sum(l_quantity) AS total_qty
 FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey

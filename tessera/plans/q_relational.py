@@ -107,19 +107,34 @@ def filter_nonempty(spark, sf):
     return nonempty_op(tb.table(spark, sf, "documents"), ["text", "source"]).select("doc_id", "lang")
 
 
-@register("reject_malformed", """
-SELECT l_orderkey, l_partkey, TRY_CAST(ln AS INTEGER) AS l_linenumber FROM (
+_DAMAGED_SQL = """(
   SELECT l_orderkey, l_partkey,
          CASE WHEN l_returnflag = 'R' THEN '#' || CAST(l_linenumber AS VARCHAR)
               ELSE CAST(l_linenumber AS VARCHAR) END AS ln
-  FROM lineitem) WHERE TRY_CAST(ln AS INTEGER) IS NOT NULL""")
-def reject_malformed(spark, sf):
+  FROM lineitem)"""
+
+
+def _split_lines(spark, sf):
     li = tb.table(spark, sf, "lineitem")
     damaged = li.select("l_orderkey", "l_partkey", F.when(
         F.col("l_returnflag") == "R", F.concat(F.lit("#"), F.col("l_linenumber").cast("string")))
         .otherwise(F.col("l_linenumber").cast("string")).alias("l_linenumber"))
-    good, _rejects = split_malformed(damaged, {"l_linenumber": "int"})
-    return good
+    return split_malformed(damaged, {"l_linenumber": "int"})
+
+
+@register("reject_malformed", f"""
+SELECT l_orderkey, l_partkey, TRY_CAST(ln AS INTEGER) AS l_linenumber FROM {_DAMAGED_SQL}
+WHERE TRY_CAST(ln AS INTEGER) IS NOT NULL""")
+def reject_malformed(spark, sf):
+    return _split_lines(spark, sf)[0]
+
+
+@register("malformed_rows", f"""
+SELECT l_orderkey, l_partkey, ln AS l_linenumber FROM {_DAMAGED_SQL}
+WHERE TRY_CAST(ln AS INTEGER) IS NULL""")
+def malformed_rows(spark, sf):
+    """The other side of ``reject_malformed``: rows as they came."""
+    return _split_lines(spark, sf)[1]
 
 
 @register("filter_year", f"""
@@ -136,6 +151,12 @@ def filter_optional(spark, sf):
     return optional_op(tb.table(spark, sf, "events"), "event_type", "click").select("event_id", "user_id")
 
 
+@register("filter_optional_none", "SELECT event_id, user_id FROM events")
+def filter_optional_none(spark, sf):
+    """Without a value the filter lets every row through."""
+    return optional_op(tb.table(spark, sf, "events"), "event_type").select("event_id", "user_id")
+
+
 @register("distinct_rows", "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
 def distinct_rows(spark, sf):
     return distinct_op(tb.table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"])

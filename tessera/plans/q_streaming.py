@@ -20,7 +20,7 @@ from tessera.plans.stub_detector import stub_detector_factory
 from tessera.session import scratch_dir
 from tessera.streaming import frames as S
 from tessera.streaming.store import (image_winners, read_latest, read_table, run_to_end,
-                                     store_results, write_complete)
+                                     store_results, write_complete, write_json_stream)
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 BAD_IMAGE = "!!not-base64!!"
@@ -165,6 +165,18 @@ def stream_append(spark, sf):
     return read_table(spark, table).select("frame_id", "camera_id", "person_count")
 
 
+@register("stream_json_sink", f"""
+WITH e AS ({_ENRICH_SQL}) SELECT frame_id, camera_id, person_count FROM e""")
+def stream_json_sink(spark, sf):
+    """Results as a stream of JSON messages, read back."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"))
+    results = _scored(spark, src).select("frame_id", "camera_id", "person_count")
+    out = scratch_dir(spark, "topic")
+    run_to_end(write_json_stream(results, fmt="json", path=out, checkpoint=scratch_dir(spark, "ckpt")))
+    parsed = F.from_json("value", results.schema)
+    return spark.read.text(out).select(parsed.alias("m")).select("m.*")
+
+
 @register("stream_exactly_once", f"""
 WITH e AS ({_ENRICH_SQL}) SELECT frame_id, camera_id, person_count FROM e""")
 def stream_exactly_once(spark, sf):
