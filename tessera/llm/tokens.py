@@ -37,8 +37,8 @@ from tessera.session import scratch_dir
 #: A space is where the byte-level pre-tokeniser may always be cut, unless white space follows it.
 _ODD = ("[ ][\\t-\\r \\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
         "\\x{202f}\\x{205f}\\x{3000}]")
-#: Pieces of text whose ids a Python worker remembers before it starts anew (memory only).
-REMEMBER = 400_000
+#: Pieces of text whose ids a Python worker remembers before it drops rare ones (memory only).
+REMEMBER = 600_000
 #: Ids in a block at least, unless its part ends.
 BLOCK = 1 << 16
 _TOKENIZERS: dict[str, Pieces] = {}
@@ -61,7 +61,7 @@ class Pieces:
         vocab = self.tok.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space byte
-        self.at: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.flat, self.start, self.size, self.used = (
             np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64),
             np.zeros(0, np.int64))
@@ -71,13 +71,17 @@ class Pieces:
         keep = np.flatnonzero(self.used > 1)
         if len(keep) > REMEMBER // 2:
             keep = keep[np.argsort(-self.used[keep], kind="stable")[:REMEMBER // 2]]
-        names = list(self.at)
-        self.at = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.known = self.known.take(pa.array(keep))
         size = self.size[keep]
         begin = np.cumsum(size) - size
         self.flat = self.flat[np.repeat(self.start[keep] - begin, size) + np.arange(size.sum())]
         self.start, self.size, self.used = begin, size, self.used[keep]
 
+    def _cut(self, n: int) -> None:
+        end = int(self.start[n]) if n < len(self.start) else len(self.flat)
+        self.flat = self.flat[:end]
+        self.start, self.size, self.used = self.start[:n], self.size[:n], self.used[:n]
+
     def _in_a_row(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids and sizes of pieces that begin with a space: many are encoded as one text, which is
         cut at the ids that begin with a space."""
@@ -101,26 +105,28 @@ class Pieces:
                for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
         return got, [np.array([len(g) for g in got], dtype=np.int64)]
 
-    def _learn(self, inner: list[str], heads: list[str]) -> None:
-        inner = [p for p in inner if p not in self.at]
-        heads = [p for p in heads if p not in self.at]
-        if not inner and not heads:
-            return
-        flat, size = self._in_a_row(inner)
-        more = self._each(heads)
-        size = np.concatenate([*size, *more[1]])
-        flat = np.concatenate([self.flat, *flat, *more[0]])
-        self.at.update(zip(inner + heads, range(len(self.at), len(self.at) + len(size))))
+    def _learn(self, pieces: list[str], spaced: bool) -> np.ndarray:
+        """Encode new pieces; their places in the store."""
+        flat, size = (self._in_a_row if spaced else self._each)(pieces)
+        size, n = np.concatenate(size), len(self.size)
         self.start = np.concatenate([self.start, np.cumsum(size) - size + len(self.flat)])
-        self.size = np.concatenate([self.size, size])
-        self.flat, self.used = flat, np.concatenate([self.used, np.zeros(len(size), np.int64)])
-
-    def _places(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, *flat])
+        self.used = np.concatenate([self.used, np.zeros(len(size), np.int64)])
+        return np.arange(n, n + len(size))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each piece that begins with a space is in the store."""
+        at = pc.index_in(pieces, value_set=self.known)
+        out = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if at.null_count:
+            fresh = pieces.filter(at.is_null())
+            out[out < 0] = self._learn(fresh.to_pylist(), True)
+            self.known = pa.concat_arrays([self.known, fresh])
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and where each begins (one entry more than texts)."""
-        if len(self.at) > REMEMBER:
+        if len(self.known) > REMEMBER:
             self._forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
@@ -129,17 +135,16 @@ class Pieces:
         offs = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        values = coded.dictionary.to_pylist()
+        values = coded.dictionary
         head = np.zeros(len(code), dtype=bool)
         head[offs[:-1]] = True
-        firsts = np.unique(code[head])
-        inner = np.unique(code[~head])
-        heads = [values[i] for i in firsts.tolist()]
-        spaced = [" " + values[i] for i in inner.tolist()]
-        self._learn(spaced, heads)
+        inner, firsts = np.unique(code[~head]), np.unique(code[head])
+        none, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        spaced = pc.binary_join_element_wise(none, values.take(pa.array(inner)), space)
         of_inner = np.zeros(len(values), dtype=np.int64)
         of_head = np.zeros(len(values), dtype=np.int64)
-        of_inner[inner], of_head[firsts] = self._places(spaced), self._places(heads)
+        of_inner[inner] = self._places(spaced)
+        of_head[firsts] = self._learn(values.take(pa.array(firsts)).to_pylist(), False)
         self.used[of_inner[inner]] += 1
         piece = np.where(head, of_head[code], of_inner[code])
         size = self.size[piece]
@@ -147,6 +152,7 @@ class Pieces:
         take = np.repeat(self.start[piece] - (ends - size), size) + np.arange(
             int(ends[-1]) if len(ends) else 0)
         ids = self.flat[take]
+        self._cut(len(self.known))  # first pieces of texts are not kept
         bounds = np.concatenate([[0], ends])[offs]
         if odd.any():
             parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
