@@ -1,7 +1,8 @@
 """Distributed connected components by alternating large-star and small-star steps.
 
 Every step is a ``groupBy`` minimum (pre-aggregated in each task) joined back on the node; edges
-stay in Spark and lineage is cut by ``checkpoint()`` once a round.
+stay in Spark and lineage is cut by ``checkpoint()``.  The minima are checkpointed too: both sides of
+the join are then shuffled for it alone, so Spark can split a node with very many edges.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if not large:
         both = both.where("v < u")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        F.col("u").alias("n"), F.least("u", "m").alias("m")).checkpoint(eager=True)
     if large:
         moved = both.where("v > u").join(least, F.col("u") == F.col("n")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))

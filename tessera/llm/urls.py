@@ -71,8 +71,10 @@ def match_rules(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame
     """``pages`` with ``host, path, rule, allow`` (the last two NULL where no rule fits).
 
     The rules are the caller's list, so their table is bounded and broadcast.  Rules are looked up
-    once per distinct host; pages meet their host's few rules by a join on the host.
+    once per distinct host; pages meet their host's few rules by a join on the host, which Spark can
+    split where one host has very many pages.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     spark = pages.sparkSession
     keyed = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     hosts = keyed.select("host").where("host <> ''").distinct()
@@ -82,7 +84,7 @@ def match_rules(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("rule_host"))
     fitting = tails.join(F.broadcast(rule_table(spark, rules)), "rule_host").groupBy(
         F.col("host").alias("__host")).agg(F.collect_list(F.struct(
-            "rank", "rule_path", "rule", "allow")).alias("__rules"))
+            "rank", "rule_path", "rule", "allow")).alias("__rules")).checkpoint(eager=True)
     best = F.array_max(F.filter("__rules", lambda r: F.col("path").startswith(r["rule_path"])))
     return (keyed.join(fitting, F.col("host") == F.col("__host"), "left")
             .withColumn("__best", best).withColumn("rule", F.col("__best.rule"))
