@@ -32,6 +32,8 @@ from tessera.llm.words import need
 UNKNOWN = "unknown"
 #: Corpus lines that stand for ``unknown`` in fitting and as many in calibration, at most.
 SAMPLE = 2_000
+#: Characters of such a line, at most.
+LONGEST = 1_000
 #: Least chance of a reported family, and least share of a template's n-grams that confirms it.
 CHANCE, CONFIRM = 0.5, 0.6
 
@@ -166,13 +168,14 @@ def _chances(z: Column, temperature: float) -> Column:
 
 def fit(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES,
         sample: int = SAMPLE) -> Model:
-    """Fit on variants of the templates and on at most ``2 * sample`` lines of the corpus (those with
-    the smallest hashes that speak of no licence or copyright)."""
+    """Fit on variants of the templates and on at most ``2 * sample`` lines of the corpus: those of at
+    most ``LONGEST`` characters with the smallest hashes that speak of no licence or copyright."""
     spark = docs.sparkSession
     own = _template_grams(spark, templates)
     vocabulary = sorted({r.gram for r in own.select("gram").collect()})  # bounded by the templates
     classes = [*sorted(templates), UNKNOWN]
-    lines = (paragraphs(docs).where(~F.lower("text").rlike("licen[sc]|copyright|spdx"))
+    lines = (paragraphs(docs).where((F.length("text") <= LONGEST)
+                                    & ~F.lower("text").rlike("licen[sc]|copyright|spdx"))
              .orderBy(F.xxhash64("uid", "line"), "uid", "line").limit(2 * sample)
              .select("text").collect())  # a bounded sample
     texts = [r.text for r in lines]
