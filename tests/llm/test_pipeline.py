@@ -66,3 +66,17 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_SMALL).schema.names == docs.columns
+
+
+def test_stages_on_edge_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, text, "en", None, 5),
+            (3, text, None, "s", None), (3, text, None, "s", None), (4, text + " more", "en", "s", 1),
+            (5, "v " * 100_000, "en", "t", 1), (6, " ".join(f"x{i * i}" for i in range(500)), "en", "s", 1)]
+    schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
+    order = [schema.names.index(c) for c in ("doc_id", "text", "lang", "source", "n_chars")]
+    docs = spark.createDataFrame([tuple(r[order.index(i)] for i in range(5)) for r in rows], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        for table in (docs, docs.limit(0)):
+            out = stage(spark, table, SF_SMALL)
+            assert out.count() <= 2 * table.count()
