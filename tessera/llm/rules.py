@@ -142,15 +142,15 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS,
             n_repeat_words(w).cast("long").alias("n_repeat_words"),
             mean_ratio(w, F.col("__ratio"), buckets).alias("score"))
 
-    counted = (docs.withColumn("__ratio", ratio).withColumn("__w", let(words("text"), of_words))
-               .withColumn("__lines", n_dup_lines(text))
-               .withColumn("__sym", F.regexp_count(text, F.lit(SYMBOLS)).cast("long")))
-    w = F.col("__w")
-    failed = (w["n_words"] < 20) | (100 * w["n_repeat_words"] > 30 * w["n_words"])
-    return counted.withColumn("quality", F.struct(
-        w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"),
-        F.col("__sym").alias("n_symbols"), F.col("__lines").alias("n_dup_lines"),
-        w["n_repeat_words"].alias("n_repeat_words"), w["score"].alias("score"),
-        failed.alias("base_failed"),
-        (~failed & (w["score"] >= F.lit(threshold))).alias("kept"),
-    )).drop("__w", "__lines", "__sym", "__ratio")
+    def verdict(r: Column) -> Column:
+        failed = (r["n_words"] < 20) | (100 * r["n_repeat_words"] > 30 * r["n_words"])
+        return F.struct(
+            r["n_words"].alias("n_words"), r["word_chars"].alias("word_chars"),
+            F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            n_dup_lines(text).alias("n_dup_lines"), r["n_repeat_words"].alias("n_repeat_words"),
+            r["score"].alias("score"), failed.alias("base_failed"),
+            (~failed & (r["score"] >= F.lit(threshold))).alias("kept"))
+
+    # One expression, so that a filter on a field of it works it out once.
+    quality = let(let(words("text"), of_words), verdict)
+    return docs.withColumn("__ratio", ratio).withColumn("quality", quality).drop("__ratio")
