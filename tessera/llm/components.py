@@ -47,7 +47,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     links = known.where("u <> v")
     state = None
     while True:
-        links = _star(_star(links, large=True), large=False).checkpoint(eager=True)
+        for large in (True, False):
+            links = _star(links, large).checkpoint(eager=True)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == state:
             break
