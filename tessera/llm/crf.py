@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import vec
-from tessera.llm.words import need
+from tessera.llm.words import least_hashes, need
 
 #: Labelled documents that the model is fitted on, at most.
 TRAIN = 4_000
@@ -177,8 +177,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN) -> Model:
     """Fit on documents of ``labels`` (``doc_id, quality``), at most ``limit`` of them."""
-    some = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "quality")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit))
+    known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "quality")
+    some = least_hashes(known.distinct(), limit, "doc_id", "quality")
     rows = (docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
             .select("quality", "text").mapInArrow(_features, "quality int, feats binary")
             .limit(limit).collect())  # features of a bounded sample

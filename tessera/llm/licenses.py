@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.rules import let
-from tessera.llm.words import need
+from tessera.llm.words import least_hashes, need
 
 UNKNOWN = "unknown"
 #: Corpus lines that stand for ``unknown`` in fitting and as many in calibration, at most.
@@ -174,10 +174,9 @@ def fit(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES,
     own = _template_grams(spark, templates)
     vocabulary = sorted({r.gram for r in own.select("gram").collect()})  # bounded by the templates
     classes = [*sorted(templates), UNKNOWN]
-    lines = (paragraphs(docs).where((F.length("text") <= LONGEST)
-                                    & ~F.lower("text").rlike("licen[sc]|copyright|spdx"))
-             .orderBy(F.xxhash64("uid", "line"), "uid", "line").limit(2 * sample)
-             .select("text").collect())  # a bounded sample
+    plain = paragraphs(docs).where((F.length("text") <= LONGEST)
+                                   & ~F.lower("text").rlike("licen[sc]|copyright|spdx"))
+    lines = least_hashes(plain, 2 * sample, "uid", "line").select("text").collect()
     texts = [r.text for r in lines]
     parts = []
     for seed, plain in ((1, texts[::2]), (2, texts[1::2])):

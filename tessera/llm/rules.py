@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.words import need, words
+from tessera.llm.words import least_hashes, need, words
 from tessera.session import ensure_checkpoint_dir
 
 BUCKETS = 1 << 16
@@ -80,10 +80,9 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 def trusted_texts(docs: DataFrame, trusted_ids: DataFrame, limit: int = TRUSTED) -> DataFrame:
     """``text, held`` of at most ``limit`` trusted documents, those with the smallest id hashes."""
-    ids = (trusted_ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-           .select("doc_id", (F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0)
-                   .alias("held")))
+    known = trusted_ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    ids = least_hashes(known, limit, "doc_id").select("doc_id", (F.pmod(F.xxhash64(
+        F.lit("held"), "doc_id"), F.lit(5)) == 0).alias("held"))
     return docs.join(F.broadcast(ids), "doc_id").select("text", "held")
 
 
