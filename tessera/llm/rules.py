@@ -4,8 +4,10 @@ The ratio compares two multinomials over ``buckets`` hash buckets of word 1- and
 trusted texts, one from the whole raw corpus.  A text's score is the mean log ratio of its n-grams;
 it is kept where the score reaches the threshold and no base rule fails it.  A fifth of the trusted
 texts (by id hash) is held out of the target counts; the threshold lies ``SPREAD`` times the distance
-from the median to the first percentile of their scores below that median.  Only column functions
-are used; the ratio table (``buckets`` numbers) and that threshold are all that reaches the driver.
+from the median to the first percentile of their scores below that median.  All trusted texts count:
+one pass over the corpus fills both multinomials, and the percentiles are exact ones from the places
+of range-partitioned scores.  Only column functions are used; the ratio table (``buckets`` numbers)
+and that threshold are all that reaches the driver.
 
 Defined results: a NULL or empty text has no words, fails the base rules and scores 0; repeated rows
 are judged alike; an empty table gives an empty result; without any trusted text all scores are 0.
@@ -17,15 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.words import least_hashes, need, words
+from tessera.llm.words import need, words
+from tessera.operators.rank import exact_percentiles
 from tessera.session import ensure_checkpoint_dir
 
 BUCKETS = 1 << 16
 SPREAD = 3.0
 #: Threshold (nats per n-gram) where no trusted text is held out.
 THRESHOLD = -0.1
-#: Trusted documents used at most: those with the smallest hashes of their ids.
-TRUSTED = 50_000
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -71,27 +72,33 @@ def ngram_buckets(word: Column, buckets: int) -> Column:
     return F.concat(F.transform(word, lambda x: bucket(x)), pairs)
 
 
-def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, n`` over all texts; pre-aggregated in each task."""
-    grams = texts.select(F.explode(let(words("text"), lambda w: ngram_buckets(w, buckets)))
-                         .alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+def mark_trusted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """``text, trusted, held`` of all rows; ``held`` is a fifth of the documents by id hash."""
+    known = trusted_ids.where("doc_id IS NOT NULL").select(
+        "doc_id", F.lit(True).alias("known")).distinct()
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0
+    return docs.join(known, "doc_id", "left").select(
+        "text", F.coalesce("known", F.lit(False)).alias("trusted"), held.alias("held"))
 
 
-def trusted_texts(docs: DataFrame, trusted_ids: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """``text, held`` of at most ``limit`` trusted documents, those with the smallest id hashes."""
-    known = trusted_ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    ids = least_hashes(known, limit, "doc_id").select("doc_id", (F.pmod(F.xxhash64(
-        F.lit("held"), "doc_id"), F.lit(5)) == 0).alias("held"))
-    return docs.join(F.broadcast(ids), "doc_id").select("text", "held")
+def trusted_texts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """``text, held`` of all trusted documents."""
+    return mark_trusted(docs, trusted_ids).where("trusted").select("text", "held")
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Column:
+def bucket_counts(marked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, raw, good``: counts over all texts and over the trusted ones that are not held out;
+    pre-aggregated in each task."""
+    grams = marked.select((F.col("trusted") & ~F.col("held")).alias("target"), F.explode(
+        let(words("text"), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
+    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"),
+                                       F.count_if("target").alias("good"))
+
+
+def ratio_table(marked: DataFrame, buckets: int = BUCKETS) -> Column:
     """Array of ``buckets`` log ratios, trusted over raw, both with add-one smoothing."""
-    raw = bucket_counts(docs, buckets).withColumnRenamed("n", "raw")
-    good = bucket_counts(trusted, buckets).withColumnRenamed("n", "good")
-    both = (docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-            .join(raw, "bucket", "left").join(good, "bucket", "left").na.fill(0))
+    both = (marked.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+            .join(bucket_counts(marked, buckets), "bucket", "left").na.fill(0))
     row = both.agg(
         F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"),
         F.transform(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))),
@@ -100,7 +107,7 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
     shift = F.log((F.col("n_raw") + F.lit(float(buckets))) / (F.col("n_good") + F.lit(float(buckets))))
     table = F.when(F.col("n_good") > 0, F.transform("ratio", lambda x: x + shift)).otherwise(
         F.array_repeat(F.lit(0.0), buckets))
-    ensure_checkpoint_dir(docs.sparkSession)
+    ensure_checkpoint_dir(marked.sparkSession)
     return row.select(table.alias("ratio")).checkpoint(eager=True).scalar()  # counted once
 
 
@@ -112,26 +119,26 @@ def mean_ratio(word: Column, ratio: Column, buckets: int) -> Column:
 
 def held_out_threshold(held: DataFrame, ratio: Column, buckets: int = BUCKETS,
                        spread: float = SPREAD) -> float:
-    """Threshold from the scores of held-out trusted texts (a bounded number of rows)."""
+    """Threshold from the scores of all held-out trusted texts."""
     scores = held.withColumn("__ratio", ratio).select(let(words("text"), lambda w: mean_ratio(
         w, F.col("__ratio"), buckets)).alias("score"))
-    low, mid = scores.agg(F.percentile("score", 0.01), F.percentile("score", 0.5)).first()
+    low, mid = exact_percentiles(scores, [], "score", {"low": 0.01, "mid": 0.5}).first()
     return THRESHOLD if mid is None else mid - spread * (mid - low)
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS,
-          threshold: float | None = None, trusted_limit: int = TRUSTED) -> DataFrame:
+          threshold: float | None = None) -> DataFrame:
     """``docs`` with a struct column ``quality``: base counts, ``score``, ``base_failed``, ``kept``.
 
-    ``trusted_ids`` holds ``doc_id`` of trusted documents (a bounded number of them is used).
+    ``trusted_ids`` holds ``doc_id`` of trusted documents.
     ``threshold`` overrides the held-out one.
     """
     need(docs, "doc_id", "text")
     plain = docs.select("doc_id", "text")
-    trusted = trusted_texts(plain, trusted_ids, trusted_limit)
-    ratio = ratio_table(plain, trusted.where("NOT held"), buckets)
+    ratio = ratio_table(mark_trusted(plain, trusted_ids), buckets)
     if threshold is None:
-        threshold = held_out_threshold(trusted.where("held"), ratio, buckets)
+        held = trusted_texts(plain, trusted_ids).where("held")
+        threshold = held_out_threshold(held, ratio, buckets)
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def of_words(w: Column) -> Column:

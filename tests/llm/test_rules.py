@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tessera.llm import rules
 
@@ -75,3 +76,30 @@ def test_edge_rows(spark):
                 q.base_failed) == base(r.text)
         assert q.score == 0.0 and q.kept == (not q.base_failed)
     assert rules.judge(docs.limit(0), none, 64).count() == 0
+
+
+def test_every_trusted_text_counts(spark):
+    # More trusted documents than any sample held: each word counts once, none is left out.
+    n = 60_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one").alias("text"))
+    marked = rules.mark_trusted(docs, docs.select("doc_id"))
+    held = marked.where("held").count()
+    assert 0.19 * n < held < 0.21 * n
+    assert rules.trusted_texts(docs, docs.select("doc_id")).count() == n
+    [row] = rules.bucket_counts(marked, 64).collect()
+    assert (row.raw, row.good) == (n, n - held)
+
+
+def test_threshold_of_all_held_out_scores(spark):
+    rows = [(f"{'good ' * (i % 7 + 1)}{'bad ' * (i % 11)}",) for i in range(500)]
+    held = spark.createDataFrame(rows, "text string")
+    ratio = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i / 64.0)
+    got = rules.held_out_threshold(held, ratio, 64)
+    scores = sorted(sum(b / 64 for b in grams(t, 64)) / len(grams(t, 64)) for t, in rows)
+
+    def at(p):
+        x = p * (len(scores) - 1)
+        k = math.floor(x)
+        return scores[k] + (x - k) * (scores[min(k + 1, len(scores) - 1)] - scores[k])
+    assert abs(got - (at(0.5) - rules.SPREAD * (at(0.5) - at(0.01)))) < 1e-9
+    assert rules.held_out_threshold(held.limit(0), ratio, 64) == rules.THRESHOLD
