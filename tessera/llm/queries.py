@@ -93,7 +93,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sentence_spans")
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stretch of a document that non-first repeats of sentence runs cover."""
-    return spans.repeated_regions(table(spark, sf_dir, "documents"))
+    return spans.repeated_regions(table(spark, sf_dir, "documents"), both_ends=True)
 
 
 @query("op5_quality_crf")

@@ -3,7 +3,8 @@
 A sentence ends at a word that ends in ``.``, ``!`` or ``?`` (closing quotes and brackets may follow),
 at a line break or at the end of the text.  From every sentence on, the shortest run of consecutive
 sentences that has ``SENTENCES`` sentences and ``LEAST`` words, or ``LONG`` words, is hashed by its
-words.  Equal runs of all texts meet by their hash; the first is the one in the document of least id,
+words; with ``both_ends`` also the shortest such run up to every sentence, and these together cover
+every repeated run of that length or more.  Equal runs of all texts meet by their hash; the first is the one in the document of least id,
 and there the earliest.  Sentences that any other one covers are removed.
 
 Hashes are grouped with partial aggregation, and only repeated ones are joined back to their runs
@@ -18,6 +19,7 @@ result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ _CLOSE = np.zeros(256, dtype=bool)
 _CLOSE[[ord(c) for c in "\"')]}"]] = True
 
 
-def runs_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+def runs_of(raw: np.ndarray, off: np.ndarray, both_ends: bool = False) -> tuple[np.ndarray, ...]:
     """Row, hash, first and last-plus-one character (in its row) of every run."""
     start, end, first = vec.word_spans(raw, off)
     n = len(start)
@@ -57,7 +59,15 @@ def runs_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     last = np.minimum(np.searchsorted(ends, begins + LONG, "left"),
                       np.maximum(at + SENTENCES - 1, np.searchsorted(ends, begins + LEAST, "left")))
     ok = last < len(ends)
-    at, last = at[ok], last[ok]
+    pairs = at[ok] * len(ends) + last[ok]
+    if both_ends:
+        upto = np.maximum(np.searchsorted(begins, ends - LONG, "right") - 1,
+                          np.minimum(at - SENTENCES + 1,
+                                     np.searchsorted(begins, ends - LEAST, "right") - 1))
+        back = upto >= 0
+        # A run that is the shortest from its first and up to its last sentence counts once.
+        pairs = np.unique(np.concatenate([pairs, upto[back] * len(ends) + at[back]]))
+    at, last = np.divmod(pairs, len(ends))
     ok = row[begins[at]] == row[begins[last]]
     at, last = at[ok], last[ok]
     a, b = begins[at], ends[last]
@@ -70,11 +80,11 @@ def runs_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[a], h.view(np.int64), chars[start[a]] - base, chars[end[b - 1]] - base
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _emit(batches: Iterator[pa.RecordBatch], both_ends: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = vec.utf8(batch.column("text"))
         for i, j in vec.chunks(off):
-            row, h, a, b = runs_of(raw[off[i]:off[j]], off[i:j + 1] - off[i])
+            row, h, a, b = runs_of(raw[off[i]:off[j]], off[i:j + 1] - off[i], both_ends)
             order = np.lexsort((h, row))
             again = np.zeros(len(h), dtype=bool)
             again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
@@ -85,7 +95,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["h", "doc_id", "start", "end", "again"])
 
 
-def repeated_regions(docs: DataFrame) -> DataFrame:
+def repeated_regions(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """``doc_id, start, end, runs, first_doc``: stretches of text (character places) that repeated
     runs cover, overlapping ones merged; ``first_doc`` is the least document that has one of them."""
     need(docs, "doc_id", "text")
@@ -94,7 +104,7 @@ def repeated_regions(docs: DataFrame) -> DataFrame:
     out = scratch_dir(spark, "runs")
     docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("doc_id"),
                 "text").mapInArrow(
-        _emit, "h long, doc_id long, start int, end int, again boolean").write.parquet(out)
+        partial(_emit, both_ends=both_ends), "h long, doc_id long, start int, end int, again boolean").write.parquet(out)
     runs = spark.read.parquet(out)
     repeated = runs.groupBy("h").agg(
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
@@ -117,9 +127,9 @@ def repeated_regions(docs: DataFrame) -> DataFrame:
         .alias("first_doc"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """``docs`` with the repeated regions cut out of their texts; all rows and columns kept."""
-    cuts = repeated_regions(docs).groupBy(F.col("doc_id").alias("__doc")).agg(
+    cuts = repeated_regions(docs, both_ends).groupBy(F.col("doc_id").alias("__doc")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cut"))
 
     def piece(i):

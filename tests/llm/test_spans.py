@@ -4,7 +4,7 @@ import random
 import re
 from collections import defaultdict
 
-from tessera.llm import spans
+from tessera.llm import queries, spans
 
 from ..conftest import SF_SMALL
 
@@ -97,3 +97,52 @@ def test_edge_rows(spark):
         (d, "".join(c for i, c in enumerate(t or "") if i not in want.get(d, ())))
         for d, t in rows if d)
     assert spans.repeated_regions(docs.limit(0)).count() == 0
+
+
+def every_run(text):
+    """All runs above the bound, not just the shortest ones."""
+    found, sents = list(WORD.finditer(text)), [[]]
+    for m, after in zip(found, [*found[1:], None]):
+        sents[-1].append(m)
+        last = m[0][-2] if len(m[0]) > 1 and m[0][-1] in "\"')]}" else m[0][-1]
+        if last in ".!?" or after and "\n" in text[m.end():after.start()]:
+            sents.append([])
+    sents = [x for x in sents if x]
+    for i in range(len(sents)):
+        words = []
+        for e in range(i, len(sents)):
+            words += sents[e]
+            if len(words) >= 50 or e - i >= 2 and len(words) >= 10:
+                yield tuple(m[0] for m in words), words[0].start(), words[-1].end()
+
+
+def brute_every_run(rows):
+    first, want = {}, defaultdict(set)
+    for d, t in sorted(rows):
+        for w, a, b in every_run(t):
+            if first.setdefault(w, (d, a)) != (d, a):
+                want[d].update(range(a, b))
+    return want
+
+
+def test_tails_of_repeated_passages(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcde", k=rng.randint(3, 7)))
+    sent = lambda n: " ".join(word() for _ in range(n)) + "."
+    rows = []
+    for k, sizes in enumerate([(53, 6), (20, 3, 3, 3), (6, 53), (3, 3, 3, 20), (3, 4, 5, 2, 1),
+                               (53, 2, 54, 2, 2), (49,), (9, 9, 9, 51, 2, 2)]):
+        passage = " ".join(sent(n) for n in sizes)
+        rows += [(10 * k + i, f"{sent(7)} {passage} {sent(8)} {sent(5)}") for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_every_run(rows)
+    assert len(want) == 7
+    assert covered(spans.repeated_regions(docs, both_ends=True).collect()) == want
+    for r in spans.remove_repeats(docs, both_ends=True).where("doc_id in (2, 12)").collect():
+        assert len(WORD.findall(r.text)) == 20  # only the sentences around the passage
+
+
+def test_query_covers_every_repeated_run(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = brute_every_run([(r.doc_id, r.text) for r in docs.collect()])
+    assert covered(queries.op4_sentence_spans(spark, SF_SMALL).collect()) == want
