@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line of the text.  Its features are the word 1-grams (of five letters or more) and
+A paragraph is a line of the text, or a block of lines up to one without a letter or digit (so that
+bare comment marks end it), which finds notices that are wrapped.  Its features are the word 1-grams (of five letters or more) and
 2-grams that occur in some licence template.  A multinomial logistic regression gives each paragraph
 a family or ``unknown``; it is fitted on templates with words left out or run into other text, and on
 a bounded sample of the corpus's own lines as ``unknown``.  A temperature fitted on other variants and
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.rules import let
@@ -37,6 +38,9 @@ LONGEST = 1_000
 #: Least chance of a reported family, and least share of a template's n-grams that confirms it.
 CHANCE, CONFIRM = 0.5, 0.6
 
+#: Comment marks that hold letters, at the start of a line (all others part words anyhow).
+COMMENT = r"(?i)^\s*(?:dnl|rem)(?=\s)"
+
 # Notices and opening paragraphs of licences, as their publishers word them.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -116,6 +120,37 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                         .alias("line", "text")).where(F.col("text").rlike("[A-Za-z0-9]")))
 
 
+def blocks(docs: DataFrame) -> DataFrame:
+    """``uid, doc_id, first, line, whole, text``: the lines of :func:`paragraphs`, each with the first
+    line of its block, and beside them every block of two lines or more (``whole``), as one text."""
+    def spans(full: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(full) - 1)
+
+        def edge(step: int) -> Column:
+            return F.filter(at, lambda i: F.get(full, i) & ~F.coalesce(F.get(full, i + step),
+                                                                       F.lit(False)))
+        return F.zip_with(edge(-1), edge(1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    def parts(first: Column, lines: Column) -> Column:
+        def part(line: Column, whole: bool, text: Column) -> Column:
+            return F.struct(line.alias("line"), F.lit(whole).alias("whole"), text.alias("text"))
+        own = F.transform(lines, lambda x, i: part(first + i, False, x))
+        bare = F.transform(lines, lambda x: F.regexp_replace(x, COMMENT, ""))
+        return F.when(F.size(lines) < 2, own).otherwise(
+            F.concat(own, F.array(part(first, True, F.array_join(bare, "\n")))))
+
+    def of_lines(lines: Column) -> Column:
+        full = F.transform(lines, lambda x: x.rlike("[A-Za-z0-9]"))
+        return F.transform(let(full, spans), lambda s: F.struct(
+            s["a"].alias("first"), F.slice(lines, s["a"] + 1, s["b"] - s["a"] + 1).alias("lines")))
+
+    found = docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.explode(let(F.split(F.coalesce("text", F.lit("")), "\n"), of_lines)).alias("block"))
+    return found.select("uid", "doc_id", F.col("block.first").alias("first"), F.inline(
+        parts(F.col("block.first"), F.col("block.lines"))))
+
+
 def variants(templates: Mapping[str, Sequence[str]], seed: int,
              rounds: int = 12) -> list[tuple[str, str]]:
     """``(family, paragraph)``: templates as they are, with words left out, and run into words that
@@ -209,21 +244,27 @@ def _temperature(rows: DataFrame, weights: DataFrame, bias: list[float]) -> floa
 
 
 def scan(docs: DataFrame, model: Model, chance: float = CHANCE, confirm: float = CONFIRM) -> DataFrame:
-    """``doc_id, line, family, chance, share, confirmed`` of paragraphs with a predicted family."""
+    """``doc_id, line, family, chance, share, confirmed`` of lines with a predicted family, and of
+    blocks (by their first line) that confirm a family which none of their lines confirms."""
     need(docs, "doc_id", "text")
     names = F.array(*[F.lit(c) for c in model.classes])
-    z = _logits(paragraphs(docs), model.weights, model.intercepts, "uid", "doc_id", "line")
+    keys = ["uid", "doc_id", "first", "line", "whole"]
+    z = _logits(blocks(docs), model.weights, model.intercepts, *keys)
     best = z.withColumn("p", _chances(F.col("z"), model.temperature)).withColumn(
         "chance", F.array_max("p"))
     named = best.withColumn("family", F.get(names, (F.array_position("p", F.col("chance")) - 1)
                                             .cast("int")))
     found = named.where((F.col("family") != UNKNOWN) & (F.col("chance") >= chance)).drop("z", "p")
-    shares = (found.select("uid", "line", "doc_id", "family", "chance", F.explode("gids").alias("gid"))
+    shares = (found.select(*keys, "family", "chance", F.explode("gids").alias("gid"))
               .join(F.broadcast(model.templates), ["family", "gid"], "left")
-              .groupBy("uid", "line", "doc_id", "family", "chance", "template")
+              .groupBy(*keys, "family", "chance", "template")
               .agg(F.count("template").alias("n"))
               .join(F.broadcast(model.sizes), ["family", "template"], "left")
-              .groupBy("uid", "line", "doc_id", "family", "chance")
+              .groupBy(*keys, "family", "chance")
               .agg(F.max(F.coalesce(F.col("n") / F.col("size"), F.lit(0.0))).alias("share")))
-    return shares.select("doc_id", F.col("line").cast("long").alias("line"), "family", "chance",
+    own = F.max(~F.col("whole") & (F.col("share") >= confirm)).over(
+        Window.partitionBy("uid", "first", "family"))
+    told = shares.withColumn("own", own).where(
+        ~F.col("whole") | ((F.col("share") >= confirm) & ~F.col("own")))
+    return told.select("doc_id", F.col("line").cast("long").alias("line"), "family", "chance",
                          "share", (F.col("share") >= confirm).alias("confirmed"))

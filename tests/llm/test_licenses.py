@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -87,3 +88,20 @@ def test_edge_rows(spark, model):
     assert licenses.scan(docs.limit(0), model).count() == 0
     empty = licenses.fit(docs.limit(0))
     assert licenses.scan(docs, empty).count() >= 4
+
+
+def test_wrapped_notices(spark, model):
+    long = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if len(t) > 120]
+    assert len(long) >= 5
+    marks = ["", "# ", " * ", "// ", "dnl ", "-- "]
+    rows, want = [], []
+    for i, (family, text) in enumerate(long):
+        for k, mark in enumerate(marks):
+            wrapped = textwrap.wrap(text, 72 - len(mark))
+            lines = ["int x;", mark.strip() if mark != "dnl " else "", *(mark + x for x in wrapped), "",
+                     "int main()"]
+            rows.append((10 * i + k, "\n".join(lines)))
+            want.append((10 * i + k, 2, family))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.line, r.family) for r in licenses.scan(docs, model).collect() if r.confirmed]
+    assert sorted(got) == sorted(want)
