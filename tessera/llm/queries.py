@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, crf, decontam, jaccard, licenses, mix, rules, spans, tokens, urls
+from tessera.llm import (chat, crf, decontam, jaccard, licenses, manifest, mix, rules, spans, tokens,
+                         urls)
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +112,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line of a document that a licence family is predicted for."""
     docs = table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.fit(docs))
+
+
+@query("op13_merkle_manifest", manifest.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest, and whether the tampered copy still folds to the
+    root."""
+    return manifest.audit(table(spark, sf_dir, "documents"))
