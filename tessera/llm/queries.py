@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, crf, decontam, jaccard, licenses, manifest, mix, rules, spans, tokens,
-                         urls)
+from tessera.llm import (chat, crf, decontam, jaccard, licenses, manifest, mix, rules, search, spans,
+                         tokens, urls)
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,10 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in the manifest, and whether the tampered copy still folds to the
     root."""
     return manifest.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_lexical_search", search.SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    index = search.build_index(table(spark, sf_dir, "documents"))
+    return search.search(index, table(spark, sf_dir, "benchmark"))
