@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, crf, decontam, jaccard, licenses, manifest, mix, rules, search, spans,
-                         tokens, urls)
+from tessera.llm import (chat, crf, decontam, hyperminhash, jaccard, licenses, manifest, mix, rules, search,
+                         spans, tokens, urls)
 from tessera.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,9 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     index = search.build_index(table(spark, sf_dir, "documents"))
     return search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_hyperminhash", hyperminhash.SQL)
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    return hyperminhash.components(table(spark, sf_dir, "documents"))
