@@ -11,10 +11,11 @@ Texts are sets of word 4-grams (A-Z count as a-z); texts whose sets have a Jacca
 3. **Estimate.**  Of the registers that either set fills, the share that agree, corrected for the share
    that agree by accident (the register's cells are coarse), estimates the similarity; sets that may
    reach the threshold are then compared by their full n-gram sets.
-4. **Links.**  First every set meets the least set of each of its bands, and one such pair per set is
-   verified; connected components of these links follow.  Then the sets of a band whose components
-   differ are compared with each other: a pair within a component can no longer change anything, so a
-   group of thousands of copies costs a comparison each, and no link between components is left out.
+4. **Links.**  First every set meets the set that leads its bands (the one of most company), and one such
+   pair per set is verified; connected components of these links follow.  Then the sets of a band whose
+   components differ are compared with each other: a pair within a component can no longer change
+   anything, so most of a large group of copies costs a comparison each, and no link between components
+   is left out.  No pair of this step is ever a row: groups of bounded size pass on a forest of links.
 
 Defined results: a text of fewer than four words is one n-gram of all its words; a text without words
 (or NULL) has no n-grams, no links, and is a component of its own.  Equal rows and rows that repeat an id
@@ -41,8 +42,9 @@ WIDTH = 4
 THRESHOLD = 0.8
 BUCKETS, ZEROS, MANTISSA = 128, 6, 10
 BANDS, ROWS = 32, 4
-#: Sets of a band that are compared in one task; larger bands are cut into blocks that meet pairwise.
-BLOCK = 512
+#: Sets of a band that meet as many others in one group; larger bands make several groups.
+BLOCK = 1024
+KEY = ["band", "p", "q"]
 #: Standard deviations that an estimate may be below the threshold.
 SPREAD = 4.5
 #: Pairs that are verified in one group.
@@ -169,40 +171,76 @@ def _estimated(threshold: float):
                 continue
             x, y = (_rows_of(batch.column(c)) for c in ("sketch_a", "sketch_b"))
             ok = may_link(x, y, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), threshold)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            yield batch.select(["a", "b", "weight"]).filter(pa.array(ok))
     return run
 
 
 def _crossing(threshold: float):
-    """Per block pair of a band: pairs of sets of different components that may reach the threshold."""
-    key = ["band", "i", "j"]
-
+    """Per group of a band: its seekers and targets that a pair of different components may link, each
+    seeker with a bit map of its targets.  A pair is looked at in the first band that it shares."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in vec.whole_groups(batches, key):
-            bounds = vec.group_bounds(table, key)
-            i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-            block, size = table.column("b").to_numpy(), table.column("n_shingles").to_numpy()
+        for table in vec.whole_groups(batches, KEY):
+            bounds = vec.group_bounds(table, KEY)
+            keys = [table.column(k).to_numpy() for k in KEY]
+            col = {c: table.column(c).to_numpy() for c in ("seeker", "out", "h", "n_shingles")}
             ids, sketch = table.column("set_id").to_pylist(), _rows_of(table.column("sketch"))
             comp = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
             out: list[tuple] = []
             for s, e in zip(bounds[:-1], bounds[1:]):
-                own = comp[s:e]
-                kinds, count = np.unique(own, return_counts=True)
-                large = kinds[count.argmax()]
-                # A crossing pair has one set at least outside the largest component.
-                for r in np.flatnonzero(own != large) + s:
-                    cols = np.flatnonzero((own != comp[r]) & (
-                        (own == large) | (np.arange(s, e) > r))) + s
-                    if i[s] != j[s]:
-                        cols = cols[block[cols] != block[r]]
-                    if not len(cols):
-                        continue
-                    ok = may_link(sketch[r][None, :], sketch[cols], np.full(len(cols), size[r]),
-                                  size[cols], threshold)
-                    out += [(min(ids[r], ids[c]), max(ids[r], ids[c])) for c in cols[ok]]
+                n = int(col["seeker"][s:e].sum())  # seekers come first
+                own, found = band_keys(sketch[s:e]), np.zeros((n, e - s - n), dtype=bool)
+                place = int((own[0] == keys[0][s]).argmax())
+                for r in range(n):
+                    at = np.flatnonzero((comp[s + n:e] != comp[s + r]) & (
+                        ~col["out"][s + n:e] | (col["h"][s + n:e] >= col["h"][s + r])))
+                    at = at[~(own[n + at, :place] == own[r, :place]).any(axis=1)]
+                    if len(at):
+                        size = col["n_shingles"][s + n + at]
+                        found[r, at] = may_link(sketch[s + r][None, :], sketch[s + n + at], np.full(
+                            len(at), col["n_shingles"][s + r]), size, threshold)
+                rows, cols = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
+                bits = np.packbits(found[np.ix_(rows, cols)], axis=1)
+                key = tuple(int(k[s]) for k in keys)
+                out += [(*key, k, ids[s + r], bits[k].tobytes()) for k, r in enumerate(rows)]
+                out += [(*key, len(rows) + k, ids[s + n + c], None) for k, c in enumerate(cols)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(zip(*out) if out else [[]] * 6, [
+                    pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()])],
+                names=[*KEY, "idx", "set_id", "targets"])
+    return run
+
+
+def _joined(threshold: float):
+    """Per group: its pairs compared by their full sets; links that join its sets, a forest at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in vec.whole_groups(batches, KEY):
+            bounds = vec.group_bounds(table, KEY)
+            ids, bits = table.column("set_id").to_pylist(), table.column("targets").to_pylist()
+            grams, out = table.column("grams"), []
+            for s, e in zip(bounds[:-1], bounds[1:]):
+                sets = [np.frombuffer(grams[r].as_py(), "<u8") for r in range(s, e)]
+                size = np.array([len(x) for x in sets])
+                n = sum(b is not None for b in bits[s:e])
+                kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
+                first, root = np.cumsum(size) - size, list(range(e - s))
+
+                def top(x: int) -> int:
+                    while root[x] != x:
+                        root[x] = x = root[root[x]]
+                    return x
+                for r in range(n):
+                    at = n + np.flatnonzero(np.unpackbits(np.frombuffer(bits[s + r], np.uint8))[:e - s - n])
+                    held = np.zeros(len(kinds), dtype=np.int64)
+                    held[flat[first[r]:first[r] + size[r]]] = 1
+                    both = np.add.reduceat(held[flat[first[n]:]], first[n:] - first[n])[at - n]
+                    for c in at[both >= threshold * (size[r] + size[at] - both) - 1e-9].tolist():
+                        x, y = top(r), top(c)
+                        if x != y:
+                            root[y] = x
+                            out.append((ids[s + r], ids[s + c]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=pa.binary()) for c in (zip(*out) if out else [[]] * 2)],
-                names=["a", "b"])
+                names=["src", "dst"])
     return run
 
 
@@ -259,16 +297,19 @@ class _Corpus:
             F.first("n_shingles").alias("n_shingles"),
             F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "sets")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs ``a, b``, those whose full sets reach the threshold (``src, dst``)."""
-        ends = pairs.select(F.col("a").alias("set_id")).unionAll(
-            pairs.select(F.col("b").alias("set_id"))).distinct()
-        want = self.sets.select("set_id", "one.*").join(ends, "set_id").select(
+    def grams(self, ids: DataFrame) -> DataFrame:
+        """``set_id, grams`` of the distinct ids, read off one text of each set."""
+        want = self.sets.select("set_id", "one.*").join(ids, "set_id").select(
             F.col("set_id").alias("want"), F.col("doc_id").alias("__doc"), F.col("tkey").alias("__key"))
         of = self.docs.join(want, (F.col("tkey") == F.col("__key")) & F.col("doc_id").eqNullSafe(
             F.col("__doc")))
-        grams = _written(of.select("text", "want").mapInArrow(
+        return _written(of.select("text", "want").mapInArrow(
             _wanted_sets(self.width), "set_id binary, grams binary").dropDuplicates(["set_id"]), "grams")
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs ``a, b``, those whose full sets reach the threshold (``src, dst``)."""
+        grams = self.grams(pairs.select(F.col("a").alias("set_id")).unionAll(
+            pairs.select(F.col("b").alias("set_id"))).distinct())
         # The partners of a set in parts: its own n-grams come once a part.
         parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS)).cast("int").alias("parts"))
         heads = parts.join(grams.withColumnRenamed("set_id", "a"), "a").select(
@@ -287,6 +328,36 @@ def _size_fits(a: str, b: str, threshold: float) -> Column:
     return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b) - 1e-9
 
 
+def _across(data: _Corpus, met: DataFrame, comps: DataFrame, sketch: DataFrame, block: int) -> DataFrame:
+    """Links between components: in each band, its sets outside the largest component seek partners
+    among all of the band's sets, in groups of bounded size."""
+    named = met.select("band", "set_id", "n_shingles").join(
+        comps.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "component", F.coalesce("component", "set_id"))
+    mixed = named.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
+        F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"),
+        F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(
+        "band", F.col("top.component").alias("main"),
+        F.ceil((F.col("n") - F.col("top.c")) / F.lit(block)).cast("int").alias("n_p"),
+        F.ceil(F.col("n") / F.lit(block)).cast("int").alias("n_q"))
+    rows = named.join(mixed, "band").withColumn("out", F.col("component") != F.col("main")).withColumn(
+        "h", F.xxhash64("set_id"))
+    p, q = (F.pmod("h", F.col(c)).cast("int") for c in ("n_p", "n_q"))
+    kept = ["band", "p", "q", "seeker", "out", "h", "set_id", "component", "n_shingles"]
+    seekers = rows.where("out").withColumn("p", p).withColumn(
+        "q", F.explode(F.sequence(F.lit(0), F.col("n_q") - 1))).withColumn("seeker", F.lit(True))
+    targets = rows.withColumn("q", q).withColumn(
+        "p", F.explode(F.sequence(F.lit(0), F.col("n_p") - 1))).withColumn("seeker", F.lit(False))
+    n = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _written(seekers.select(kept).unionAll(targets.select(kept)).join(sketch, "set_id").repartition(
+        n, *KEY).sortWithinPartitions(*KEY, F.desc("seeker")).mapInArrow(
+        _crossing(data.threshold),
+        "band long, p int, q int, idx int, set_id binary, targets binary"), "crossing")
+    grams = data.grams(found.select("set_id").distinct())
+    return _written(found.join(grams, "set_id").repartition(n, *KEY).sortWithinPartitions(
+        *KEY, "idx").mapInArrow(_joined(data.threshold), "src binary, dst binary"), "links")
+
+
 def components(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH,
                block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
@@ -295,39 +366,31 @@ def components(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH
     data = _Corpus(docs, threshold, width)
     sizes = data.sets.select("set_id", "n_shingles")
     banded = data.sets.select("set_id", "n_shingles", F.explode("bands").alias("band"))
-    bands = banded.groupBy("band").agg(F.min("set_id").alias("lead"),
-                                       F.count(F.lit(1)).alias("n")).where("n > 1")
+    bands = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = _written(banded.join(bands, "band"), "bands")
-
-    # One pair per set: the least set that it may be linked to, of those that lead its bands.
+    # The set of most company over all its bands leads a band: of near copies, the one in their midst.
+    weight = met.groupBy("set_id").agg(F.sum("n").alias("w"))
+    leads = met.select("band", "set_id").join(weight, "set_id").groupBy("band").agg(
+        F.max(F.struct("w", "set_id")).alias("m")).select(
+        "band", F.col("m.set_id").alias("lead"), F.col("m.w").alias("weight"))
+    met = _written(met.join(leads, "band"), "led-bands")
+
+    # One pair per set: with the leading set of its bands, of those it may be linked to, of most weight.
     lead = sizes.select(F.col("set_id").alias("lead"), F.col("n_shingles").alias("n_lead"))
-    stars = met.where("set_id <> lead").select("set_id", "n_shingles", "lead").distinct().join(
+    stars = met.where("set_id <> lead").select("set_id", "n_shingles", "lead", "weight").distinct().join(
         lead, "lead").where(_size_fits("n_shingles", "n_lead", threshold))
     sketch = data.sets.select("set_id", "sketch")
     both = stars.join(sketch.withColumnRenamed("sketch", "sketch_b"), "set_id").join(
         sketch.select(F.col("set_id").alias("lead"), F.col("sketch").alias("sketch_a")), "lead")
-    likely = both.select(F.col("lead").alias("a"), F.col("set_id").alias("b"),
+    likely = both.select(F.col("lead").alias("a"), F.col("set_id").alias("b"), "weight",
                          F.col("n_lead").alias("n_a"), F.col("n_shingles").alias("n_b"),
                          "sketch_a", "sketch_b").mapInArrow(
-        _estimated(threshold), "a binary, b binary")
-    pairs = _written(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+        _estimated(threshold), "a binary, b binary, weight long")
+    pairs = _written(likely.groupBy("b").agg(F.max(F.struct("weight", "a")).alias("m")).select(
+        "m.a", "b"), "pairs")
     links = data.verify(pairs)
     comps = _written(connected_components(links), "components-1")
-
-    # Bands that hold several components: pairs across them.
-    named = met.join(comps.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "component", F.coalesce("component", "set_id"))
-    mixed = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(
-        "x <> y").select("band")
-    cut = named.join(mixed, "band").withColumn("nb", F.ceil(F.col("n") / F.lit(block)).cast("int"))
-    cut = cut.withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("nb")).cast("int")).withColumn(
-        "o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    crossing = cut.select("band", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b",
-                          "set_id", "component", "n_shingles").join(sketch, "set_id").repartition(
-        parts, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(
-        _crossing(threshold), "a binary, b binary")
-    more = data.verify(_written(crossing.distinct(), "crossing"))
+    more = _across(data, met, comps, sketch, block)
     comps = _written(connected_components(links.unionAll(more)), "components-2")
 
     info = data.sets.select("set_id", "least").join(
