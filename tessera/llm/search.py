@@ -6,8 +6,8 @@ normaliser is ``m = 100 - 90 + (90 * n * N) div L``.  A term of weight ``w`` tha
 adds ``w * ((10**9 * tf) div (1000 * tf + 8 * m))`` to its score: the impact depends on (term, m, tf)
 alone.
 
-* **Index.**  Documents of equal ``m`` are a stratum.  Strata are dealt out by range and cut into pieces
-  of bounded size, so a stratum that holds a third of all documents spreads over many tasks.  A piece has
+* **Index.**  Documents of equal ``m`` are a stratum.  A stratum is dealt out in lots of bounded size and
+  these are cut into pieces, so a stratum that holds a third of all documents spreads over many tasks.  A piece has
   one row per term: its distinct ``tf`` values, highest first, and per value the documents that hold the
   term so often.  Impacts are worked out once per value, not once per document.
 * **Search.**  A piece can give an item at most the sum of the impacts of its terms' highest ``tf``.
@@ -36,11 +36,11 @@ from tessera.llm import vec
 from tessera.llm.words import need
 from tessera.session import ensure_checkpoint_dir, scratch_dir
 
-#: Documents, and (document, term) pairs, of a piece; pairs of a partition in which pieces are made.
-PIECE, PAIRS, PART_PAIRS = 4096, 1 << 20, 1 << 20
+#: Documents, and (document, term) pairs, of a piece; terms of a lot of a stratum and of a partition.
+PIECE, PAIRS, LOT = 4096, 1 << 20, 1 << 21
 #: Pieces of an item that are visited before its threshold is known; items scored together.
 FIRST, ITEMS = 8, 1024
-#: Up to so many (item, term) pairs, of 16 bytes each, are broadcast.
+#: Tables of up to so many rows of 16 bytes, as (item, term) pairs or strata, are broadcast.
 BROADCAST_PAIRS = 1 << 18
 KEY = ["piece", "block"]
 
@@ -78,6 +78,15 @@ def term_counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
         yield i, n, np.bincount(text[at], minlength=j - i), hashes[at], np.diff(np.append(at, len(hashes)))
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms per text."""
+    for batch in batches:
+        raw, off = vec.utf8(batch.column("text"))
+        for i, j in vec.chunks(off):
+            _, _, first = vec.word_spans(_CLEAN[raw[off[i]:off[j]]], off[i:j + 1] - off[i])
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(first))], names=["n"])
+
+
 def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = 0
     for batch in batches:
@@ -148,7 +157,7 @@ def _bounded(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
     last = None
     for batch in batches:
         cuts = []
-        for m, k in zip(batch.column("m").to_pylist(),
+        for m, k in zip(zip(batch.column("m").to_pylist(), batch.column("lot").to_pylist()),
                         np.asarray(batch.column("terms").value_lengths()).tolist()):
             if m != last or docs == most or pairs + k > PAIRS:
                 cut, docs, pairs, last = cut + 1, 0, 0, m
@@ -178,15 +187,21 @@ def build_index(docs: DataFrame, piece: int = PIECE) -> Index:
     """Index of every document's whole text, written to the shared folder."""
     need(docs, "doc_id", "text")
     ensure_checkpoint_dir(docs.sparkSession)
-    forward = _written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _forward, _FORWARD), "search-forward")
-    n_docs, n_terms, pairs = (x or 0 for x in forward.agg(
-        F.count(F.lit(1)), F.sum("n"), F.sum(F.size("terms").cast("long"))).first())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lengths = _written(texts.select("text").mapInArrow(_lengths, "n long").where("n > 0").groupBy("n").agg(
+        F.count(F.lit(1)).alias("docs")), "search-lengths")
+    n_docs, n_terms = (x or 0 for x in lengths.agg(F.sum("docs"), F.sum(F.col("n") * F.col("docs"))).first())
     m = F.expr(f"100 - 90 + (90 * n * {n_docs}L) div {max(n_terms, 1)}L")
-    parts = max(1, -(-pairs // PART_PAIRS))
-    order = ["m", F.asc_nulls_last("doc_id"), "salt"]
-    rows = forward.select(m.alias("m"), "doc_id", "salt", "terms", "tfs").repartitionByRange(
-        parts, *order).sortWithinPartitions(*order).mapInArrow(_pieces(piece), _INDEX)
+    # A stratum's documents go to as many lots as its terms fill, by a hash.
+    lots = lengths.groupBy(m.alias("m")).agg(
+        F.ceil(F.sum(F.col("n") * F.col("docs")) / F.lit(LOT)).alias("lots"))
+    if lots.count() <= BROADCAST_PAIRS:
+        lots = F.broadcast(lots)
+    lot = F.pmod(F.xxhash64("doc_id", "salt"), F.col("lots")).alias("lot")
+    forward = texts.mapInArrow(_forward, _FORWARD).withColumn("m", m)
+    rows = forward.join(lots, "m").select("m", lot, "doc_id", "salt", "terms", "tfs").repartition(
+        max(1, -(-n_terms // LOT)), "m", "lot").sortWithinPartitions(
+        "m", "lot", F.asc_nulls_last("doc_id"), "salt").mapInArrow(_pieces(piece), _INDEX)
     return Index(_written(rows, "search-index"), n_docs, n_terms)
 
 
