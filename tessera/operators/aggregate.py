@@ -58,6 +58,25 @@ def count_distinct_by(df: DataFrame, keys: str | Sequence[str], col: str, name:
     return df.groupBy(*_keys(keys)).agg(agg.alias(name))
 
 
+def distinct_sketches(df: DataFrame, keys: str | Sequence[str], col: str, lg_k: int = 12,
+                      name: str = "sketch") -> DataFrame:
+    """A mergeable sketch of the distinct values of ``col`` per key (NULL ignored; 2**lg_k registers)."""
+    return df.groupBy(*_keys(keys)).agg(F.hll_sketch_agg(col, lg_k).alias(name))
+
+
+def merge_sketches(sketches: DataFrame, keys: str | Sequence[str], name: str = "sketch") -> DataFrame:
+    """Sketches of parts (batches, files, finer keys) united per key."""
+    return sketches.groupBy(*_keys(keys)).agg(F.hll_union_agg(name).alias(name))
+
+
+def distinct_estimates(sketches: DataFrame, keys: str | Sequence[str], out: str = "n_distinct",
+                       name: str = "sketch") -> DataFrame:
+    """About the number of distinct values per key of all parts together: standard error
+    ``1.04 / sqrt(2**lg_k)``."""
+    united = merge_sketches(sketches, keys, name)
+    return united.select(*_keys(keys), F.hll_sketch_estimate(name).alias(out))
+
+
 def metric_table(metrics: Mapping[str, tuple[DataFrame, str]], count_null: bool = True,
                  name_col: str = "metric", value_col: str = "value") -> DataFrame:
     """Distinct-value counts as a (name, value) table, one aggregation per metric, no driver counts.

@@ -19,8 +19,9 @@ from tessera.plans.registry import register, rnd
 from tessera.plans.stub_detector import stub_detector_factory
 from tessera.session import scratch_dir
 from tessera.streaming import frames as S
-from tessera.streaming.store import (image_winners, read_latest, read_table, run_to_end,
-                                     store_results, write_complete, write_json_stream)
+from tessera.streaming.keyed import KeyedDocuments
+from tessera.streaming.store import (image_winners, read_complete, read_table, run_to_end, store_results,
+                                     write_complete, write_json_stream)
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 BAD_IMAGE = "!!not-base64!!"
@@ -144,12 +145,13 @@ def dead_letter(spark, sf):
 WITH e AS ({_ENRICH_SQL}) SELECT frame_id, camera_id, frame_index, person_count FROM e""")
 def upsert_by_key(spark, sf):
     """Every message delivered twice; the keyed documents hold one current row per frame."""
-    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2)
-    table = scratch_dir(spark, "table")
-    run_to_end(store_results(_scored(spark, src), table_path=table,
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2, files=2)
+    docs = KeyedDocuments(spark, scratch_dir(spark, "documents"), ["frame_id"], ["frame_index"],
+                          snapshot_every=2)
+    run_to_end(store_results(_scored(spark, src, files_per_trigger=1), documents=docs,
+                             table_path=scratch_dir(spark, "table"),
                              checkpoint=scratch_dir(spark, "ckpt")))
-    return read_latest(spark, table, ["frame_id"], ["frame_index"]).select(
-        "frame_id", "camera_id", "frame_index", "person_count")
+    return docs.read().select("frame_id", "camera_id", "frame_index", "person_count")
 
 
 @register("stream_append", f"""
@@ -238,6 +240,24 @@ r AS (SELECT camera_id || '_' || lpad(lower(hex(frame_id)), 12, '0') AS fid, pro
              person_count FROM fr)"""
 
 
+def result_documents(spark, sf, files: int | None = None, files_per_trigger: int | None = None):
+    """Stream of result documents written as JSON, ``files`` of them in an order of their own."""
+    from tessera.plans.q_relational import frames as frame_rows
+    path = scratch_dir(spark, "result-docs")
+    fid = F.concat_ws("_", F.col("camera_id"), F.lpad(F.lower(F.hex("frame_id")), 12, "0"))
+    docs = frame_rows(spark, sf).select(
+        fid.alias("frame_id"), "camera_id", F.date_format("source_ts", ISO).alias("source_timestamp"),
+        F.date_format("processed_ts", ISO).alias("processed_timestamp"),
+        F.col("processing_ms").alias("processing_time_ms"), "person_count")
+    (docs.repartition(files, "frame_id") if files else docs).write.json(path)
+    schema = "frame_id string, camera_id string, source_timestamp string, processed_timestamp string, " \
+             "processing_time_ms double, person_count long"
+    options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
+    stream = S.read_json_stream(spark, "json", _schema(spark, schema), path=path, raw=None, options=options)
+    return stream.withColumn("processed_ts", F.col("processed_timestamp").try_cast("timestamp")) \
+        .withColumn("source_ts", F.col("source_timestamp").try_cast("timestamp"))
+
+
 @register("running_stats", f"""
 WITH {_RESULT_DOC_CTE}
 SELECT (SELECT count(*) FROM r) AS processed_total,
@@ -246,21 +266,10 @@ SELECT (SELECT count(*) FROM r) AS processed_total,
 def running_stats(spark, sf):
     """Processed total / last processing time / last count over the result-document stream,
     kept in complete mode and rewritten per batch."""
-    from tessera.plans.q_relational import frames as frame_rows
-    docs_path = scratch_dir(spark, "result-docs")
-    fr = frame_rows(spark, sf)
-    fid = F.concat_ws("_", F.col("camera_id"), F.lpad(F.lower(F.hex("frame_id")), 12, "0"))
-    fr.select(fid.alias("frame_id"), "camera_id", F.date_format("processed_ts", ISO).alias("processed_timestamp"),
-              F.col("processing_ms").alias("processing_time_ms"), "person_count") \
-        .write.json(docs_path)
-    schema = "frame_id string, camera_id string, processed_timestamp string, " \
-             "processing_time_ms double, person_count long"
-    stream = S.read_json_stream(spark, "json", _schema(spark, schema), path=docs_path,
-                                raw=None) \
-        .withColumn("processed_ts", F.col("processed_timestamp").try_cast("timestamp"))
+    stream = result_documents(spark, sf)
     out = scratch_dir(spark, "running-stats")
     run_to_end(write_complete(S.running_stats(stream), out, scratch_dir(spark, "ckpt")))
-    return spark.read.parquet(out)
+    return read_complete(spark, out)
 
 
 def _schema(spark, ddl):

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.rank import top_n_per_group
+from tessera.streaming.keyed import KeyedDocuments
+from tessera.streaming.versions import Versions
 
 
 def append_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
@@ -64,8 +66,9 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
                   dead_path: str | None = None, images_path: str | None = None,
                   image: str = "image_bytes", error: str = "error",
                   stamp: str | None = "stored_ts", trigger: dict | None = None,
-                  query_name: str | None = None, first: dict | None = None) -> StreamingQuery:
-    """Start a query that appends every batch to the table.
+                  query_name: str | None = None, first: dict | None = None,
+                  documents: KeyedDocuments | None = None) -> StreamingQuery:
+    """Start a query that appends every batch to the table, and to the keyed ``documents`` if given.
 
     With ``dead_path``, rows with an ``error`` go there and the others to the table; with
     ``images_path``, the batch's first frames (``first``: options of :func:`first_frames`) go there
@@ -76,7 +79,7 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
         if stamp:
             now = dt.datetime.now(dt.timezone.utc)
             batch = batch.withColumn(stamp, F.lit(now))
-        shared = dead_path is not None or images_path is not None
+        shared = dead_path is not None or images_path is not None or documents is not None
         rows = batch.persist() if shared else batch
         try:
             good = rows
@@ -87,6 +90,8 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
                 append_batch(first_frames(good, **(first or {})), batch_id, images_path)
                 good = good.drop(image)
             append_batch(good, batch_id, table_path)
+            if documents is not None:
+                documents.add(good, batch_id)
         finally:
             if shared:
                 rows.unpersist()
@@ -122,14 +127,29 @@ def write_json_stream(stream: DataFrame, *, fmt: str = "kafka", checkpoint: str,
 
 def write_complete(stream: DataFrame, path: str, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
-    """Complete-mode aggregate -> the current full result rewritten at ``path`` each batch."""
+    """Complete-mode aggregate -> each batch's full result as the next version of the table at ``path``
+    (:func:`read_complete`); the one before stays readable until the new one is published."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        versions = Versions(batch.sparkSession, path)
+        number, _ = versions.current()
+        folder = versions.folder(f"batch-{batch_id}")
+        batch.write.parquet(versions.full(folder))
+        versions.publish(number, {"folder": folder})
+        versions.prune()
 
     return stream.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The newest published result of :func:`write_complete`."""
+    versions = Versions(spark, path)
+    _, content = versions.current()
+    if not content:
+        raise ValueError(f"no result is published under {path}")
+    return spark.read.parquet(versions.full(content["folder"]))
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query; re-raise its failure."""
     query.awaitTermination()

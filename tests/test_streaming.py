@@ -189,12 +189,12 @@ def test_pretty_printed_document_per_file(spark, tmp_dir):
 
 def test_camera_stats_stream_equals_batch(spark):
     from tessera.plans.frames import camera_stats
-    from tessera.streaming.store import write_complete
+    from tessera.streaming.store import read_complete, write_complete
     src = Q.write_messages(spark, SF_SMALL, scratch_dir(spark, "msgs"))
     ok = Q._scored(spark, src)
     out = scratch_dir(spark, "stats")
     run_to_end(write_complete(camera_stats(ok), out, scratch_dir(spark, "c")))
-    streamed = {tuple(r) for r in spark.read.parquet(out).collect()}
+    streamed = {tuple(r) for r in read_complete(spark, out).collect()}
     batch_ok, _ = _batch_results(spark, src)
     assert streamed == {tuple(r) for r in camera_stats(batch_ok).collect()}
 
