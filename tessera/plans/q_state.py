@@ -10,7 +10,8 @@ from tessera.plans.q_streaming import result_documents
 from tessera.plans.registry import ORACLE, register
 from tessera.session import scratch_dir
 from tessera.streaming import rollup as R
-from tessera.streaming.store import run_to_end
+from tessera.streaming.first import mark_first_stream
+from tessera.streaming.store import read_table, run_to_end, store_results
 
 
 def _kept(spark, sf, keys, measures) -> R.Rollup:
@@ -79,3 +80,62 @@ def count_distinct_sketch(spark, sf):
     error = F.abs(F.col("n_about") - F.col("n_exact"))
     return exact.join(found, "ship_year").select(
         "ship_year", "n_exact", (error <= 3 * 1.04 / 2 ** 7 * F.col("n_exact") + 1).alias("within"))
+
+
+END = "__end"
+
+
+def _shuffled_frames(spark, sf, files: int):
+    """Stream of frames dealt at random over files, one a batch; a last file holds one frame far ahead in
+    time, which closes all buckets."""
+    from tessera.plans.q_relational import frames
+    path = scratch_dir(spark, "frames")
+    rows = frames(spark, sf).select("frame_id", F.col("user_id").cast("string").alias("camera_id"),
+                                    F.col("source_ts").cast("timestamp").alias("source_ts"),
+                                    F.col("person_count").cast("long").alias("person_count"))
+    rows = rows.join(tb.table(spark, sf, "events").select(
+        F.col("event_id").alias("frame_id"), F.encode("props", "UTF-8").alias("image_bytes")), "frame_id")
+    rows.repartition(files, F.xxhash64("frame_id")).write.parquet(path)
+    ahead = rows.agg(F.max("source_ts").alias("t")).select(
+        F.lit(-1).cast("long").alias("frame_id"), F.lit(END).alias("camera_id"),
+        (F.col("t") + F.expr("INTERVAL 10 YEARS")).alias("source_ts"),
+        F.lit(0).cast("long").alias("person_count"), F.lit(b"").alias("image_bytes"))
+    ahead.select(rows.columns).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+_FIRST_SQL = """
+SELECT event_id AS frame_id, CAST(user_id AS VARCHAR) AS camera_id,
+  CASE WHEN row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) = 1
+       THEN 'images/' || user_id || '_' || strftime(date_trunc('hour', ts), '%Y%m%d_%H') || '.jpg'
+  END AS image_path, CAST(strlen(props) AS BIGINT) AS size FROM events"""
+
+
+def _first_stream(spark, sf):
+    return mark_first_stream(_shuffled_frames(spark, sf, 6), unit="hour", delay="2 years", fmt="yyyyMMdd_HH",
+                             path_prefix="images/").where(F.col("camera_id") != END)
+
+
+@register("stream_first_per_bucket", f"""
+SELECT frame_id, camera_id, image_path, false AS late,
+  CASE WHEN image_path IS NOT NULL THEN size END AS image_length FROM ({_FIRST_SQL})""")
+def stream_first_per_bucket(spark, sf):
+    """Every frame as the stream passes it on, the first of each camera-hour with its path and image."""
+    out = scratch_dir(spark, "first")
+    run_to_end(store_results(_first_stream(spark, sf), table_path=out,
+                             checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
+    return read_table(spark, out).select("frame_id", "camera_id", "image_path", "late",
+                                         F.length("image_bytes").cast("long").alias("image_length"))
+
+
+@register("stream_image_files", f"""
+SELECT image_path, size AS length FROM ({_FIRST_SQL}) WHERE image_path IS NOT NULL""")
+def stream_image_files(spark, sf):
+    """The image files that the stream leaves: path below the image folder and length on disk."""
+    out, folder = scratch_dir(spark, "first"), scratch_dir(spark, "image-files")
+    run_to_end(store_results(_first_stream(spark, sf), table_path=out, image_folder=folder,
+                             checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.jpg").load(folder)
+    name = F.concat(F.lit("images/"), F.regexp_extract("path", r"([^/]+)$", 1))
+    return files.select(name.alias("image_path"), "length")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.rank import top_n_per_group
+from tessera.streaming.first import write_images
 from tessera.streaming.keyed import KeyedDocuments
 from tessera.streaming.versions import Versions
 
@@ -67,9 +68,13 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
                   image: str = "image_bytes", error: str = "error",
                   stamp: str | None = "stored_ts", trigger: dict | None = None,
                   query_name: str | None = None, first: dict | None = None,
-                  documents: KeyedDocuments | None = None) -> StreamingQuery:
+                  documents: KeyedDocuments | None = None,
+                  image_folder: str | None = None) -> StreamingQuery:
     """Start a query that appends every batch to the table, and to the keyed ``documents`` if given.
 
+    With ``image_folder``, rows that carry an ``image_path`` have their ``image`` written there as a file
+    (before the row is stored, so every stored path names a file), and the table leaves the bytes out.
+
     With ``dead_path``, rows with an ``error`` go there and the others to the table; with
     ``images_path``, the batch's first frames (``first``: options of :func:`first_frames`) go there
     with their ``image``, which the table leaves out.  Upstream stages run once per batch: what is
@@ -79,7 +84,7 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
         if stamp:
             now = dt.datetime.now(dt.timezone.utc)
             batch = batch.withColumn(stamp, F.lit(now))
-        shared = dead_path is not None or images_path is not None or documents is not None
+        shared = any(x is not None for x in (dead_path, images_path, documents, image_folder))
         rows = batch.persist() if shared else batch
         try:
             good = rows
@@ -89,6 +94,9 @@ def store_results(stream: DataFrame, *, table_path: str, checkpoint: str,
             if images_path is not None:
                 append_batch(first_frames(good, **(first or {})), batch_id, images_path)
                 good = good.drop(image)
+            if image_folder is not None:
+                write_images(good, image_folder, image=image)
+                good = good.drop(image)
             append_batch(good, batch_id, table_path)
             if documents is not None:
                 documents.add(good, batch_id)
