@@ -21,7 +21,8 @@ from tessera.session import scratch_dir
 from tessera.sinks.files import (format_lines, write_csv, write_json_lines, write_lines,
                                  write_single_csv, write_tsv)
 from tessera.sources.tables import load_tables
-from tessera.sources.text import read_csv_table, read_delimited, read_json_documents, read_word_list
+from tessera.sources.text import (read_csv_records, read_csv_table, read_delimited, read_json_documents,
+                                  read_word_list)
 
 PART_SCHEMA = T.StructType([
     T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
@@ -72,10 +73,10 @@ def src_semicolon(spark, sf):
 
 @register("src_csv_header", "SELECT * FROM documents")
 def src_csv_header(spark, sf):
-    """documents (multi-line texts) as header CSV with RFC-4180 quotes -> read_csv_table."""
+    """documents (multi-line texts) as header CSV with RFC-4180 quotes -> read_csv_records."""
     path = scratch_dir(spark, "documents-csv")
     write_csv(tb.table(spark, sf, "documents"), path, sep=";")
-    return read_csv_table(spark, path, DOCS_SCHEMA, sep=";", multi_line=True)
+    return read_csv_records(spark, path, DOCS_SCHEMA, sep=";")
 
 
 @register("src_json_docs", f"""

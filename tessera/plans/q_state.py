@@ -8,7 +8,9 @@ from tessera.plans import testbed as tb
 from tessera.plans.q_relational import FRAMES_CTE
 from tessera.plans.q_streaming import result_documents
 from tessera.plans.registry import ORACLE, register
+from tessera.plans.stub_detector import fragile_detector_factory
 from tessera.session import scratch_dir
+from tessera.streaming import frames as S
 from tessera.streaming import rollup as R
 from tessera.streaming.first import mark_first_stream
 from tessera.streaming.store import read_table, run_to_end, store_results
@@ -139,3 +141,23 @@ def stream_image_files(spark, sf):
         "pathGlobFilter", "*.jpg").load(folder)
     name = F.concat(F.lit("images/"), F.regexp_extract("path", r"([^/]+)$", 1))
     return files.select(name.alias("image_path"), "length")
+
+
+@register("score_frames_batched", f"""
+SELECT event_type AS camera_id, event_id AS frame_index,
+  CASE WHEN k % 50 = 0 THEN 'detector_failed: ValueError: an image without k' END AS error,
+  CASE WHEN k % 50 <> 0 THEN CAST(k % 5 AS INTEGER) END AS n_boxes
+FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""")
+def score_frames_batched(spark, sf):
+    """Frames scored 128 at once by a detector that a poisoned image makes fail: each of these ends alone
+    among the dead letters, the others are scored."""
+    events = tb.table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    frames = events.select(
+        F.col("event_type").alias("camera_id"), F.col("event_id").alias("frame_index"),
+        F.encode(F.when(k % 50 == 0, F.lit('{"poison": 1}')).otherwise(F.col("props")), "UTF-8")
+        .alias("image_bytes"))
+    scored = S.score_frames(frames, fragile_detector_factory, "fragile-stub", batch_size=128,
+                            keep=("camera_id", "frame_index"))
+    return scored.select("camera_id", "frame_index", "error",
+                         F.when(F.col("error").isNull(), F.size("boxes")).alias("n_boxes"))

@@ -61,7 +61,8 @@ def _stream(spark, path, files_per_trigger: int | None = None):
 def _results(spark, path, files_per_trigger: int | None = None):
     """Every frame scored and enriched; those that failed carry an ``error``."""
     decoded = S.decode_frames(_stream(spark, path, files_per_trigger))
-    return S.enrich_results(S.score_frames(decoded, stub_detector_factory, MODEL), MODEL)
+    scored = S.score_frames(decoded, stub_detector_factory, MODEL, batch_size=256)
+    return S.enrich_results(scored, MODEL)
 
 
 def _scored(spark, path, files_per_trigger: int | None = None):

@@ -53,3 +53,14 @@ def stub_detector_factory():
     def detect(images: pd.Series) -> list[list[dict]]:
         return [_boxes_for(_k_of(b)) for b in images]
     return detect
+
+
+def fragile_detector_factory():
+    """A detector that fails as a whole when one of its images has no whole number of boxes."""
+    plain = stub_detector_factory()
+
+    def detect(images: pd.Series) -> list[list[dict]]:
+        if any(_k_of(b) is None for b in images):
+            raise ValueError("an image without k")
+        return plain(images)
+    return detect

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,7 @@ def read_csv_table(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     """Header CSV with quoted fields and ``""`` as the escaped quote.
 
     ``multi_line=True`` allows line breaks inside quotes; a file is then read by one task.
+    :func:`read_csv_records` reads such files by many.
 
     Pass ``schema`` (recommended at scale: inference is a full extra scan); ``infer=True`` opts
     in to inference when no schema is known.
@@ -107,6 +108,58 @@ def read_csv_table(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+def read_csv_records(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, *,
+                     sep: str = ";", header: bool = True) -> DataFrame:
+    """Header CSV whose quoted fields may hold line breaks, each file read by many tasks.
+
+    A line break ends a record where the number of quotes before it, from the file's beginning, is even
+    (``""`` inside a field counts two).  The quotes of each split are counted first; their running sums
+    tell every split whether it begins inside a field.  Records within a split are put together there; the
+    pieces of those that cross a border, two a split at most, are joined by file.
+
+    Records end in LF or CRLF; a line break inside quotes is kept as it is.  Empty lines are skipped,
+    missing fields are NULL, values that do not parse are NULL.  A quote inside an unquoted field breaks
+    the count: such files need ``read_csv_table(multi_line=True)``.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(paths) if not isinstance(paths, str) else paths)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("i"), F.col("value"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("q"))
+    by_file = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("f", "b").agg(F.sum("q").alias("n")).select(
+        "f", "b", F.coalesce(F.sum("n").over(by_file), F.lit(0)).alias("before"))
+    here = Window.partitionBy("f", "b").orderBy("i")
+    begun = F.col("before") + F.coalesce(F.sum("q").over(here.rowsBetween(Window.unboundedPreceding, -1)),
+                                         F.lit(0))
+    placed = lines.join(splits, ["f", "b"]).withColumn("begun", begun)
+    # Record 0 of a split is what it continues of a split before.
+    placed = placed.withColumn("r", F.sum((F.col("begun") % 2 == 0).cast("int")).over(here))
+    pieces = placed.groupBy("f", "b", "r").agg(
+        F.sort_array(F.collect_list(F.struct("i", "value"))).alias("lines"),
+        (F.max(F.struct("i", F.col("begun") + F.col("q")))["col2"] % 2 == 0).alias("whole")).select(
+        "f", "b", "r", F.concat_ws("\n", "lines.value").alias("text"),
+        (F.col("whole") & (F.col("r") > 0)).alias("whole"))
+    first = (F.col("b") == 0) & (F.col("r") == 1)
+    in_file = Window.partitionBy("f").orderBy("b", "r")
+    crossing = pieces.where("NOT whole").withColumn(
+        "g", F.sum((F.col("r") > 0).cast("int")).over(in_file)).groupBy("f", "g").agg(
+        F.sort_array(F.collect_list(F.struct("b", "r", "text"))).alias("p"),
+        F.max(first.cast("int")).alias("first")).select(
+        F.concat_ws("\n", "p.text").alias("text"), (F.col("first") == 1).alias("first"))
+    records = pieces.where("whole").select("text", first.alias("first")).unionAll(crossing)
+    if header:
+        records = records.where(~F.col("first"))
+    text = F.regexp_replace("text", "\r$", "")
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    return records.select(text.alias("text")).where("text <> ''").select(
+        F.from_csv("text", _ddl(schema), options).alias("r")).select("r.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace(chr(96), chr(96) * 2)}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, *,
                         multi_line: bool = True) -> DataFrame:
     """JSON documents with an explicit schema.

@@ -18,7 +18,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 # Queries that write files first (sources/sinks) or run a stream are planned elsewhere.
 SKIP = {k for k in QUERIES if k.startswith(("src_", "sink_", "stream_"))} | {
     "dead_letter", "upsert_by_key", "score_frames", "frame_pipeline", "running_stats", "global_rank",
-    "seller_ranking", "table_profile", "schema_catalog", "camera_stats_stream", "running_stats_stream"}
+    "seller_ranking", "table_profile", "schema_catalog", "camera_stats_stream", "running_stats_stream", "score_frames_batched"}
 BASE = set(BASE_QUERIES) & set(ORACLE)
 
 

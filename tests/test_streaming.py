@@ -224,3 +224,40 @@ def test_parquet_message_source(spark):
     run_to_end(store_results(good.drop("image", "image_bytes"), table_path=table,
                              checkpoint=scratch_dir(spark, "c"), stamp=None))
     assert read_table(spark, table).count() == _events(spark).count()
+
+
+def test_halving_finds_the_poisoned_frame_in_a_few_calls():
+    calls = []
+
+    def detect(images):
+        calls.append(len(images))
+        if any(b == b"poison" for b in images):
+            raise ValueError("cannot read this one")
+        return [[{"class_id": len(b)}] for b in images]
+    images = [b"x" * (k % 7) for k in range(1000)]
+    images[613] = b"poison"
+    got = S.detect_all(detect, images)
+    assert [k for k, (_, _, error) in enumerate(got) if error] == [613]
+    assert got[613] == (None, None, "detector_failed: ValueError: cannot read this one")
+    assert all(b == [{"class_id": k % 7}] and ms > 0 for k, (b, ms, _) in enumerate(got) if k != 613)
+    assert len(calls) <= 1 + 2 * 10  # two calls on each of log2(1000) levels
+    assert S.detect_all(detect, [b"poison"] * 3) == [got[613]] * 3
+    assert [e for _, _, e in S.detect_all(lambda x: [], [b"a"])] == [
+        "detector_failed: ValueError: 0 results for 1 images"]
+
+
+def test_batched_frames_share_a_time_and_fail_alone(spark):
+    def factory():
+        def detect(images: pd.Series):
+            if any(bytes(b) == b"bad" for b in images):
+                raise KeyError("bad")
+            return [[{"class_id": 0, "class_name": "n", "confidence": float(len(images)), "x1": 0.0, "y1": 0.0,
+                      "x2": 1.0, "y2": 1.0}] for _ in images]
+        return detect
+    rows = [(i, b"bad" if i in (17, 40) else b"ok", "early" if i == 3 else None) for i in range(64)]
+    frames = spark.createDataFrame(rows, "id long, image_bytes binary, error string").coalesce(1)
+    got = {r.id: r for r in S.score_frames(frames, factory, "batched", keep=("id",), batch_size=32).collect()}
+    assert {i for i, r in got.items() if r.error == "detector_failed: KeyError: 'bad'"} == {17, 40}
+    assert got[3].error == "early" and got[3].boxes is None
+    assert got[0].processing_time_ms == got[1].processing_time_ms > 0
+    assert got[0].boxes[0].confidence == 16.0 and got[18].boxes[0].confidence == 1.0
