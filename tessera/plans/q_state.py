@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from tessera.plans import testbed as tb
 from tessera.plans.q_relational import FRAMES_CTE
-from tessera.plans.q_streaming import result_documents
+from tessera.plans.q_streaming import _scored as scored_frames
+from tessera.plans.q_streaming import result_documents, write_messages
 from tessera.plans.registry import ORACLE, register
 from tessera.plans.stub_detector import fragile_detector_factory
 from tessera.session import scratch_dir
 from tessera.streaming import frames as S
 from tessera.streaming import rollup as R
 from tessera.streaming.first import mark_first_stream
-from tessera.streaming.store import read_table, run_to_end, store_results
+from tessera.streaming.store import append_batch, read_table, run_to_end, store_results, supervise
 
 
 def _kept(spark, sf, keys, measures) -> R.Rollup:
@@ -161,3 +162,22 @@ def score_frames_batched(spark, sf):
                             keep=("camera_id", "frame_index"))
     return scored.select("camera_id", "frame_index", "error",
                          F.when(F.col("error").isNull(), F.size("boxes")).alias("n_boxes"))
+
+
+@register("stream_retry", ORACLE["stream_exactly_once"])
+def stream_retry(spark, sf):
+    """A stream whose sink fails twice, restarted from its checkpoint: every frame is stored once."""
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), files=3)
+    table, ckpt = scratch_dir(spark, "table"), scratch_dir(spark, "ckpt")
+    left = [2]
+
+    def start():
+        def write(batch, batch_id):
+            append_batch(batch, batch_id, table)  # fails after the batch is written
+            if left[0] and batch_id:
+                left[0] -= 1
+                raise OSError("the store is away")
+        return scored_frames(spark, src, 1).writeStream.foreachBatch(write).option(
+            "checkpointLocation", ckpt).trigger(availableNow=True).start()
+    supervise(start, pause_s=0.1)
+    return read_table(spark, table).select("frame_id", "camera_id", "person_count")

@@ -17,7 +17,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,3 +165,26 @@ def run_to_end(query: StreamingQuery) -> None:
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"stream failed: {exc}")
+
+
+def supervise(start: Callable[[], StreamingQuery], *, limit: int = 5, pause_s: float = 5.0,
+              healthy_s: float = 600.0, wait: Callable[[float], object] = time.sleep) -> int:
+    """Run a query to its end, starting it again from its checkpoint when it fails; the number of restarts.
+
+    ``start`` defines and starts the query (with the same checkpoint each time).  After a failure it is
+    called again once ``pause_s`` has passed.  After ``limit`` failures in a row the last one is raised; a
+    run of at least ``healthy_s`` seconds begins a new row.  A query that is stopped is not restarted.
+    """
+    failures = restarts = 0
+    while True:
+        began = time.monotonic()
+        try:
+            query = start()  # a source that cannot be reached may fail here already
+            run_to_end(query)
+            return restarts
+        except Exception:
+            failures = 1 if time.monotonic() - began >= healthy_s else failures + 1
+            if failures > limit:
+                raise
+        restarts += 1
+        wait(pause_s)

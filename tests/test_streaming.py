@@ -261,3 +261,37 @@ def test_batched_frames_share_a_time_and_fail_alone(spark):
     assert got[3].error == "early" and got[3].boxes is None
     assert got[0].processing_time_ms == got[1].processing_time_ms > 0
     assert got[0].boxes[0].confidence == 16.0 and got[18].boxes[0].confidence == 1.0
+
+
+def test_supervised_queries_restart_and_give_up(spark):
+    import pytest
+    from tessera.streaming.store import supervise
+    pauses, runs = [], []
+
+    class Query:
+        def __init__(self, fails):
+            self.fails = fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise OSError("away")
+
+        def exception(self):
+            return None
+
+    def start(fails):
+        def run():
+            runs.append(1)
+            if len(runs) == 1 and fails > 1:
+                raise ConnectionError("no broker yet")  # fails before it runs
+            return Query(len(runs) <= fails)
+        return run
+    assert supervise(start(3), pause_s=7, wait=pauses.append) == 3
+    assert pauses == [7, 7, 7] and len(runs) == 4
+    runs.clear()
+    with pytest.raises(OSError):
+        supervise(start(99), limit=2, wait=pauses.append)
+    assert len(runs) == 3
+    runs.clear()
+    # Runs that were healthy for long enough begin a new row of failures.
+    assert supervise(start(6), limit=1, healthy_s=0.0, wait=pauses.append) == 6
