@@ -53,8 +53,3 @@ def iso_parse(c: str | Column, fallback: str | Column | None = None) -> Column:
     if fallback is None:
         return parsed
     return F.coalesce(parsed, _col(fallback))
-
-
-def second_key(ts: str | Column, fmt: str = "yyyyMMdd_HHmmss") -> Column:
-    """Truncate to the second and format as a sortable text key (UTC)."""
-    return F.date_format(F.date_trunc("second", _col(ts)), fmt)

@@ -18,9 +18,9 @@ from tessera.plans import testbed as tb
 from tessera.plans.q_relational import frames as frame_rows
 from tessera.plans.registry import register, rnd, settled
 from tessera.session import scratch_dir
-from tessera.sinks.files import (format_lines, write_csv, write_json_lines, write_lines,
+from tessera.sinks.files import (format_lines, write_csv, write_json_arrays, write_json_lines, write_lines,
                                  write_single_csv, write_tsv)
-from tessera.sources.tables import load_tables
+from tessera.sources.tables import column_catalog, load_tables
 from tessera.sources.text import (read_csv_records, read_csv_table, read_delimited, read_json_documents,
                                   read_word_list)
 
@@ -151,12 +151,12 @@ def sink_write_lines(spark, sf):
 
 @register("src_json_multiline", "SELECT s_suppkey, s_name FROM supplier")
 def src_json_multiline(spark, sf):
-    """supplier as JSON documents with line breaks, one a file, read in the multi-line form."""
+    """supplier as JSON documents with line breaks, a bounded number of them in an array a file, read in
+    the multi-line form."""
     path = scratch_dir(spark, "supplier-docs")
-    docs = tb.table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("k"), F.to_json(F.struct("s_suppkey", "s_name"),
-                                                 {"pretty": "true"}).alias("value"))
-    docs.repartition("k").write.partitionBy("k").text(path)
+    docs = tb.table(spark, sf, "supplier").select("s_suppkey", F.to_json(
+        F.struct("s_suppkey", "s_name"), {"pretty": "true"}).alias("doc"))
+    write_json_arrays(docs, path, "doc", order="s_suppkey")
     schema = T.StructType([T.StructField("s_suppkey", tb.table(spark, sf, "supplier")
                                          .schema["s_suppkey"].dataType),
                            T.StructField("s_name", T.StringType())])
@@ -188,23 +188,27 @@ def table_profile(spark, sf):
     return out
 
 
+# Names of column types in DuckDB and here.
+TYPE_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "DOUBLE": "double",
+              "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date", "BLOB": "binary",
+              "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+_TYPE_SQL = (f"CASE replace(c.data_type, '[]', '') "
+             f"{' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPE_NAMES.items())} END")
+
+
 @register("schema_catalog", f"""
 WITH filled AS ({' UNION ALL '.join(
     f"SELECT '{t}' AS table_name, column_name, count(value) AS n FROM (UNPIVOT "
     f"(SELECT COLUMNS(*)::VARCHAR FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE value) "
     f"GROUP BY column_name" for t in tb.TABLES)})
 SELECT c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal, c.column_name,
-       coalesce(filled.n, 0) AS n_values
+       CASE WHEN c.data_type LIKE '%[]' THEN 'array<' || {_TYPE_SQL} || '>' ELSE {_TYPE_SQL} END AS type,
+       c.is_nullable = 'YES' AS nullable, coalesce(filled.n, 0) AS n_values
 FROM information_schema.columns c LEFT JOIN filled
   ON c.table_name = filled.table_name AND c.column_name = filled.column_name
 WHERE c.table_name IN ({', '.join(f"'{t}'" for t in tb.TABLES)})""")
 def schema_catalog(spark, sf):
-    """(table, ordinal, column, non-NULL values) of every driver table: one aggregation a table."""
-    parts = []
-    for name, df in load_tables(spark, sf, tb.TABLES).items():
-        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
-        cells = [F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
-                          F.col(c).alias("n_values")) for i, c in enumerate(df.columns)]
-        parts.append(counts.select(F.lit(name).alias("table_name"),
-                                   F.explode(F.array(*cells)).alias("x")).select("table_name", "x.*"))
+    """(table, ordinal, column, type, nullable, non-NULL values) of every driver table: one aggregation a
+    table."""
+    parts = [column_catalog(name, df) for name, df in load_tables(spark, sf, tb.TABLES).items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

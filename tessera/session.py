@@ -120,17 +120,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("tessera.shared.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that take plain paths."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

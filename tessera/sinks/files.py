@@ -146,3 +146,13 @@ def _copy_after(target: str):
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON lines (one document per line, splittable for readers)."""
     df.write.mode(mode).json(path)
+
+
+def write_json_arrays(df: DataFrame, path: str, doc: str, *, order: str, per_file: int = 1000,
+                      mode: str = "errorifexists") -> None:
+    """The JSON texts of ``doc`` (line breaks and all) as files that hold one array each, which readers of
+    whole documents take as rows; about ``per_file`` documents a file, split by a hash of ``order``."""
+    n = -(-df.count() // per_file) or 1
+    bins = df.select(F.pmod(F.xxhash64(order), F.lit(n)).alias("bin"), doc).groupBy("bin").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(doc), ",\n"), F.lit("\n]")).alias("value"))
+    bins.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
