@@ -5,8 +5,8 @@ trusted texts, one from the whole raw corpus.  A text's score is the mean log ra
 it is kept where the score reaches the threshold and no base rule fails it.  A fifth of the trusted
 texts (by id hash) is held out of the target counts; the threshold lies ``SPREAD`` times the distance
 from the median to the first percentile of their scores below that median.  All trusted texts count:
-one pass over the corpus fills both multinomials, and the percentiles are exact ones from the places
-of range-partitioned scores.  Only column functions are used; the ratio table (``buckets`` numbers)
+they are joined once and written, one aggregation over them and the corpus fills both multinomials, and
+the percentiles are exact ones from the places of range-partitioned scores.  Only column functions are used; the ratio table (``buckets`` numbers)
 and that threshold are all that reaches the driver.
 
 Defined results: a NULL or empty text has no words, fails the base rules and scores 0; repeated rows
@@ -19,9 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.words import need, words
+from tessera.llm.words import fresh, need, words
 from tessera.operators.rank import exact_percentiles
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, scratch_dir
 
 BUCKETS = 1 << 16
 SPREAD = 3.0
@@ -58,9 +58,20 @@ def n_repeat_words(word: Column, width: int = 8) -> Column:
             F.lit(width), F.coalesce(F.get(at, k + 1) - p, F.lit(width))))
         return F.aggregate(new, F.lit(0), lambda a, x: a + x)
 
-    windows = F.transform(F.sequence(F.lit(1), F.size(word) - F.lit(width - 1)),
-                          lambda i: F.xxhash64(F.slice(word, i, width)))
-    return F.when(F.size(word) <= width, F.lit(0)).otherwise(let(windows, of_windows))
+    return F.when(F.size(word) <= width, F.lit(0)).otherwise(let(window_hashes(word, width), of_windows))
+
+
+def window_hashes(word: Column, width: int) -> Column:
+    """A hash of every run of ``width`` words: those of half the width are paired, so each doubling costs
+    one hash a word."""
+    def paired(h: Column, by: int) -> Column:
+        return let(h, lambda a: F.transform(F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0))),
+                                            lambda x, i: F.xxhash64(F.get(a, i), x)))
+    out, have = F.transform(word, lambda x: F.xxhash64(x)), 1
+    while have < width:
+        step = min(have, width - have)  # the last two may overlap
+        out, have = paired(out, step), have + step
+    return out
 
 
 def ngram_buckets(word: Column, buckets: int) -> Column:
@@ -72,33 +83,30 @@ def ngram_buckets(word: Column, buckets: int) -> Column:
     return F.concat(F.transform(word, lambda x: bucket(x)), pairs)
 
 
-def mark_trusted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """``text, trusted, held`` of all rows; ``held`` is a fifth of the documents by id hash."""
-    known = trusted_ids.where("doc_id IS NOT NULL").select(
-        "doc_id", F.lit(True).alias("known")).distinct()
-    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0
-    return docs.join(known, "doc_id", "left").select(
-        "text", F.coalesce("known", F.lit(False)).alias("trusted"), held.alias("held"))
-
-
 def trusted_texts(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """``text, held`` of all trusted documents."""
-    return mark_trusted(docs, trusted_ids).where("trusted").select("text", "held")
+    """``text, held`` of all trusted documents; ``held`` is a fifth of the documents by id hash.
+
+    The join is the same at every size: both sides are shuffled by id, and nothing is broadcast.
+    """
+    known = trusted_ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0
+    return docs.join(known.hint("merge"), "doc_id", "left_semi").select("text", held.alias("held"))
 
 
-def bucket_counts(marked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, raw, good``: counts over all texts and over the trusted ones that are not held out;
-    pre-aggregated in each task."""
-    grams = marked.select((F.col("trusted") & ~F.col("held")).alias("target"), F.explode(
+def bucket_counts(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, raw, good``: counts over the texts of both; pre-aggregated in each task."""
+    texts = docs.select("text", F.lit(False).alias("target")).unionAll(
+        target.select("text", F.lit(True)))
+    grams = texts.select("target", F.explode(
         let(words("text"), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"),
+    return grams.groupBy("bucket").agg(F.count_if(~F.col("target")).alias("raw"),
                                        F.count_if("target").alias("good"))
 
 
-def ratio_table(marked: DataFrame, buckets: int = BUCKETS) -> Column:
-    """Array of ``buckets`` log ratios, trusted over raw, both with add-one smoothing."""
-    both = (marked.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-            .join(bucket_counts(marked, buckets), "bucket", "left").na.fill(0))
+def ratio_table(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> Column:
+    """Array of ``buckets`` log ratios, target over raw, both with add-one smoothing."""
+    both = (docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+            .join(bucket_counts(docs, target, buckets), "bucket", "left").na.fill(0))
     row = both.agg(
         F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"),
         F.transform(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))),
@@ -107,7 +115,7 @@ def ratio_table(marked: DataFrame, buckets: int = BUCKETS) -> Column:
     shift = F.log((F.col("n_raw") + F.lit(float(buckets))) / (F.col("n_good") + F.lit(float(buckets))))
     table = F.when(F.col("n_good") > 0, F.transform("ratio", lambda x: x + shift)).otherwise(
         F.array_repeat(F.lit(0.0), buckets))
-    ensure_checkpoint_dir(marked.sparkSession)
+    ensure_checkpoint_dir(docs.sparkSession)
     return row.select(table.alias("ratio")).checkpoint(eager=True).scalar()  # counted once
 
 
@@ -127,18 +135,21 @@ def held_out_threshold(held: DataFrame, ratio: Column, buckets: int = BUCKETS,
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS,
-          threshold: float | None = None) -> DataFrame:
-    """``docs`` with a struct column ``quality``: base counts, ``score``, ``base_failed``, ``kept``.
+          threshold: float | None = None, name: str = "quality") -> DataFrame:
+    """``docs`` with a struct column ``name``, in place of one that it has: base counts, ``score``, ``base_failed``, ``kept``.
 
     ``trusted_ids`` holds ``doc_id`` of trusted documents.
     ``threshold`` overrides the held-out one.
     """
     need(docs, "doc_id", "text")
     plain = docs.select("doc_id", "text")
-    ratio = ratio_table(mark_trusted(plain, trusted_ids), buckets)
+    # Joined once and written: the counts and the held-out scores read it.
+    out = scratch_dir(docs.sparkSession, "trusted-texts")
+    trusted_texts(plain, trusted_ids).write.option("compression", "zstd").parquet(out)
+    trusted = docs.sparkSession.read.parquet(out)
+    ratio = ratio_table(plain, trusted.where("NOT held"), buckets)
     if threshold is None:
-        held = trusted_texts(plain, trusted_ids).where("held")
-        threshold = held_out_threshold(held, ratio, buckets)
+        threshold = held_out_threshold(trusted.where("held"), ratio, buckets)
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def of_words(w: Column) -> Column:
@@ -146,7 +157,7 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS,
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             n_repeat_words(w).cast("long").alias("n_repeat_words"),
-            mean_ratio(w, F.col("__ratio"), buckets).alias("score"))
+            mean_ratio(w, F.col(fresh(docs, "__ratio")), buckets).alias("score"))
 
     def verdict(r: Column) -> Column:
         failed = (r["n_words"] < 20) | (100 * r["n_repeat_words"] > 30 * r["n_words"])
@@ -159,4 +170,5 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS,
 
     # One expression, so that a filter on a field of it works it out once.
     quality = let(let(words("text"), of_words), verdict)
-    return docs.withColumn("__ratio", ratio).withColumn("quality", quality).drop("__ratio")
+    own = fresh(docs, "__ratio")
+    return docs.withColumn(own, ratio).withColumn(name, quality).drop(own)

@@ -82,11 +82,11 @@ def test_every_trusted_text_counts(spark):
     # More trusted documents than any sample held: each word counts once, none is left out.
     n = 60_000
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one").alias("text"))
-    marked = rules.mark_trusted(docs, docs.select("doc_id"))
-    held = marked.where("held").count()
+    trusted = rules.trusted_texts(docs, docs.select("doc_id"))
+    held = trusted.where("held").count()
     assert 0.19 * n < held < 0.21 * n
-    assert rules.trusted_texts(docs, docs.select("doc_id")).count() == n
-    [row] = rules.bucket_counts(marked, 64).collect()
+    assert trusted.count() == n
+    [row] = rules.bucket_counts(docs, trusted.where("NOT held"), 64).collect()
     assert (row.raw, row.good) == (n, n - held)
 
 
@@ -103,3 +103,40 @@ def test_threshold_of_all_held_out_scores(spark):
         return scores[k] + (x - k) * (scores[min(k + 1, len(scores) - 1)] - scores[k])
     assert abs(got - (at(0.5) - rules.SPREAD * (at(0.5) - at(0.01)))) < 1e-9
     assert rules.held_out_threshold(held.limit(0), ratio, 64) == rules.THRESHOLD
+
+
+def test_the_query_equals_a_recomputation(spark):
+    """Every column of the query's rows, with its own buckets and its threshold from held-out texts."""
+    from tessera.llm.queries import QUERIES
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    good = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").where("quality = 1").collect()}
+    held = {r.doc_id for r in spark.createDataFrame([(d,) for d, _ in docs], "doc_id long").where(
+        F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0).collect()}
+    n, own = rules.BUCKETS, {d: grams(t, rules.BUCKETS) for d, t in docs}
+    raw, target = Counter(), Counter()
+    for d, _ in docs:
+        raw.update(own[d])
+        if d in good and d not in held:
+            target.update(own[d])
+    shift = math.log(sum(raw.values()) + n) - math.log(sum(target.values()) + n)
+    score = {d: sum(math.log(target[b] + 1) - math.log(raw[b] + 1) + shift for b in g) / max(1, len(g))
+             for d, g in own.items()}
+    ranked = sorted(score[d] for d, _ in docs if d in good and d in held)
+
+    def at(p):
+        x = p * (len(ranked) - 1)
+        return ranked[math.floor(x)] + (x % 1) * (ranked[math.ceil(x)] - ranked[math.floor(x)])
+    least = at(0.5) - rules.SPREAD * (at(0.5) - at(0.01))
+    got = {r.doc_id: r for r in QUERIES["op6_quality_rules"](spark, SF_SMALL).collect()}
+    assert len(got) == len(docs) and len(ranked) > 5
+    for d, t in docs:
+        r = got[d]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(t)
+        assert abs(r.score - score[d]) < 1e-9 and abs(score[d] - least) > 1e-7
+        assert r.kept == (not r.base_failed and score[d] >= least)
+
+
+def test_columns_of_the_caller_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", "mine", 0.5)], "doc_id long, text string, quality string, __ratio double")
+    [r] = rules.judge(docs, docs.select("doc_id"), 64, name="verdict").collect()
+    assert (r.quality, r["__ratio"], r.verdict.n_words) == ("mine", 0.5, 2)
