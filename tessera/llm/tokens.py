@@ -14,7 +14,8 @@ vocabulary) and one total per range partition reach the driver.
 
 Defined results: a NULL or empty text has the end id only; NULL document ids come first; rows that
 repeat a document id are kept, ordered by a hash of their text; an empty table gives an empty file.
-Strings of special tokens inside a text are ordinary text.  Extra columns are ignored.
+Strings of special tokens inside a text are those tokens, unless ``plain_specials`` is set.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ _ODD = ("[ ][\\t-\\r \\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\
 REMEMBER = 600_000
 #: Ids in a block at least, unless its part ends.
 BLOCK = 1 << 16
-_TOKENIZERS: dict[str, Pieces] = {}
+_TOKENIZERS: dict[tuple[str, bool], Pieces] = {}
 
 
 class Pieces:
@@ -52,13 +53,16 @@ class Pieces:
     with other white space after a space is encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = plain_specials
         vocab = self.tok.get_vocab()
+        # A text that holds one of these is encoded whole: they are found before words are.
+        self.specials = [] if plain_specials else [
+            t.content for t in self.tok.get_added_tokens_decoder().values() if t.special]
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space byte
         self.known = pa.array([], pa.large_string())
@@ -130,6 +134,8 @@ class Pieces:
             self._forget()
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        for special in self.specials:
+            odd = odd | pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
         split = pc.split_pattern(plain, " ")
         offs = split.offsets.to_numpy().astype(np.int64)
@@ -164,33 +170,40 @@ class Pieces:
         return ids, bounds
 
 
-def encode_texts(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(path: str, texts: pa.Array, plain_specials: bool = False
+                 ) -> tuple[np.ndarray, np.ndarray]:
     """:meth:`Pieces.encode` with the tokeniser that this worker process keeps for ``path``."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = Pieces(path)
-    return _TOKENIZERS[path].encode(texts)
+    key = (path, plain_specials)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = Pieces(path, plain_specials)
+    return _TOKENIZERS[key].encode(texts)
 
 
-def _tokenise(path: str, end_id: int, kind: str):
+def _tokenise(path: str, end_id: int, kind: str, plain_specials: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = 0
         for batch in batches:
             _, off = utf8(batch.column("text"))
             for i, j in chunks(off, 6 << 20):
                 part = batch.slice(i, j - i)
-                ids, bounds = encode_texts(path, part.column("text"))
+                ids, bounds = encode_texts(path, part.column("text"), plain_specials)
                 if max(end_id, int(ids.max(initial=0))) > np.iinfo(kind).max:
                     raise ValueError("ids exceed the vocabulary bound")
-                docs = [np.append(ids[a:b], np.uint32(end_id)).astype(kind)
-                        for a, b in zip(bounds[:-1], bounds[1:])]
-                size = np.array([len(d) for d in docs], dtype=np.int64)
-                begin = start + np.cumsum(size) - size
-                start += int(size.sum())
+                n = j - i
+                ends = bounds[1:] + np.arange(n)  # places of the end ids
+                flat = np.full(len(ids) + n, end_id, dtype=kind)
+                inner = np.ones(len(flat), dtype=bool)
+                inner[ends] = False
+                flat[inner] = ids
+                cut = np.concatenate([[0], ends + 1])
+                size = np.diff(cut)
+                value = pa.Array.from_buffers(pa.large_binary(), n, [
+                    None, pa.py_buffer(cut.astype(np.int64) * flat.itemsize), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("part"), part.column("doc_id").cast(pa.int64()),
-                     pa.array(begin), pa.array(size),
-                     pa.array([d.tobytes() for d in docs], type=pa.binary())],
+                     pa.array(start + cut[:-1]), pa.array(size), value.cast(pa.binary())],
                     names=["part", "doc_id", "begin", "n", "ids"])
+                start += len(flat)
     return run
 
 
@@ -198,11 +211,10 @@ def _count(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                got = np.bincount(np.frombuffer(value.as_py(), kind))
-                if len(got) > len(total):
-                    total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
-                total[:len(got)] += got
+            got = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
+            if len(got) > len(total):
+                total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
+            total[:len(got)] += got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, type=pa.int64()),
                                           pa.array(total[used], type=pa.int64())],
@@ -247,10 +259,12 @@ _BLOCK_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64(
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int = 2, limit: int = 20,
-                 vocab: int = 1 << 16) -> None:
+                 vocab: int = 1 << 16, plain_specials: bool = False) -> None:
     """Tokenise ``docs`` (``doc_id, text``) and write the block file to the folder ``out``.
 
-    ``vocab`` bounds the ids (it decides how ids are held on the way).
+    ``vocab`` bounds the ids (it decides how ids are held on the way).  Strings of special tokens inside a
+    text become those tokens, as the tokeniser does by itself; with ``plain_specials`` they are ordinary
+    text.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
@@ -261,7 +275,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int = 2, lim
      .repartitionByRange(n, "doc_id", F.xxhash64("text"))
      .sortWithinPartitions("doc_id", F.xxhash64("text"))
      .select(F.spark_partition_id().alias("part"), "doc_id", "text")
-     .mapInArrow(_tokenise(tokenizer, end_id, kind),
+     .mapInArrow(_tokenise(tokenizer, end_id, kind, plain_specials),
                  "part int, doc_id long, begin long, n long, ids binary")
      .write.option("compression", "zstd").parquet(work))
     ids = spark.read.parquet(work)

@@ -14,14 +14,15 @@ from tessera.llm.queries import QUERIES
 from ..conftest import SF_SMALL
 
 TEXTS = ["", " ", "  a", "a  b", "a \n b", "a\n b c ", "é <|endoftext|> x", "tab\t x", "a \x1c b",
-         "　a 　b", None, "a" * 5000, "don't I'll 12 345", "words " * 3000]
+         "　a 　b", None, "a  <|endoftext|>  b<|endoftext|>", "hello <|endoftext|> world", "a" * 5000, "don't I'll 12 345", "words " * 3000]
 
 
-def direct(text):
+def direct(text, plain_specials=False):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokens.default_tokenizer())
-    tok.encode_special_tokens = True
+    if plain_specials:
+        tok.encode_special_tokens = True
     return tok.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -41,6 +42,17 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert [list(ids[a:b]) + [2] for a, b in zip(at[:-1], at[1:])] == [direct(t) for t in TEXTS]
 
 
+def test_special_tokens_in_texts():
+    import pyarrow as pa
+
+    text = "hello <|endoftext|> world"
+    assert direct(text) == [31373, 220, 50256, 995, 2]  # a tokeniser left at its defaults
+    ids, _ = tokens.encode_texts(tokens.default_tokenizer(), pa.array([text, "x"]))
+    assert list(ids[:4]) == [31373, 220, 50256, 995]
+    ids, at = tokens.encode_texts(tokens.default_tokenizer(), pa.array(TEXTS), plain_specials=True)
+    assert [list(ids[a:b]) + [2] for a, b in zip(at[:-1], at[1:])] == [direct(t, True) for t in TEXTS]
+
+
 def test_whole_table_reads_back(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet")
             .select("doc_id", "text").orderBy("doc_id").collect()]
