@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, jaccard, mix, rules
 from tessera.llm.queries import table, token_digests, trusted_ids
+from tessera.llm.words import fresh
 from tessera.session import ensure_checkpoint_dir, scratch_dir, ship_package
 
 
@@ -24,8 +25,9 @@ def _ready(spark: SparkSession) -> None:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     _ready(spark)
-    judged = rules.judge(docs, trusted_ids(spark, sf_dir))
-    return judged.where("quality.kept").select(docs.columns)
+    name = fresh(docs, "quality")
+    judged = rules.judge(docs, trusted_ids(spark, sf_dir), name=name)
+    return judged.where(f"{name}.kept").select(docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
