@@ -41,7 +41,7 @@ THRESHOLD = 0.8
 TOKENS = 128
 BRANCH = 2
 #: Sets that a leaf holds at most before it is split further, and sets of a block of a large leaf.
-LEAF, BLOCK = 64, 256
+LEAF, BLOCK = 64, 1024
 #: A node is a leaf as well where two of its sets agree on a sampled token this often.
 ALIKE = 0.5
 DEPTH = 8
@@ -327,7 +327,8 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int =
         _signatures(width), "doc_id long, tkey long, set_id binary, sig array<int>, low binary"),
         "signatures")
     sets = _cut(known.where("set_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("copy_id"), F.min(F.struct("doc_id", "tkey")).alias("one"),
+        F.count(F.lit(1)).alias("copies"),
         F.first("sig").alias("sig"), F.first("low").alias("low")),
         "sets")
     leaves = _cut(_leaves(sets.select("set_id", "sig"), runs_for(recall, threshold), seed), "leaves")
@@ -339,9 +340,11 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD, width: int =
         *KEY, "b", "set_id", "copies", "low", "paths")).mapInArrow(
             _candidates(least), "path long, i int, j int, idx int, set_id binary, copies long, "
                                 "partners binary"), "checks")
-    wanted = sets.select("set_id", "copy_id").join(checks.select("set_id").distinct(), "set_id")
-    of_sets = rows.join(wanted.select(F.col("copy_id"), F.col("set_id").alias("want")),
-                        F.col("doc_id").eqNullSafe(F.col("copy_id")))
+    wanted = sets.select("set_id", "one").join(checks.select("set_id").distinct(), "set_id").select(
+        F.col("set_id").alias("want"), F.col("one.doc_id").alias("__doc"),
+        F.col("one.tkey").alias("__tkey"))
+    of_sets = rows.join(wanted, (F.col("tkey") == F.col("__tkey"))
+                        & F.col("doc_id").eqNullSafe(F.col("__doc")))
     grams = _cut(of_sets.select("text", "want").mapInArrow(
         _grams_of(width), "set_id binary, grams binary"), "grams").dropDuplicates(["set_id"])
     linked = _cut(_grouped(checks.join(grams, "set_id").select(
