@@ -30,7 +30,7 @@ from tessera.llm import vec
 from tessera.llm.words import need
 from tessera.session import ensure_checkpoint_dir, scratch_dir
 
-SENTENCES, LEAST, LONG = 3, 10, 50
+SENTENCES, LEAST, LONG = 2, 15, 50
 _LAST_ID = (1 << 63) - 1
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?"]] = True

@@ -29,7 +29,7 @@ def runs(text):
         words = []
         for e in range(i, len(sents)):
             words += sents[e]
-            if len(words) >= 50 or e - i >= 2 and len(words) >= 10:
+            if len(words) >= spans.LONG or e - i >= spans.SENTENCES - 1 and len(words) >= spans.LEAST:
                 out.append((tuple(m[0] for m in words), words[0].start(), words[-1].end()))
                 break
     return out
@@ -112,7 +112,7 @@ def every_run(text):
         words = []
         for e in range(i, len(sents)):
             words += sents[e]
-            if len(words) >= 50 or e - i >= 2 and len(words) >= 10:
+            if len(words) >= spans.LONG or e - i >= spans.SENTENCES - 1 and len(words) >= spans.LEAST:
                 yield tuple(m[0] for m in words), words[0].start(), words[-1].end()
 
 
@@ -146,3 +146,20 @@ def test_query_covers_every_repeated_run(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     want = brute_every_run([(r.doc_id, r.text) for r in docs.collect()])
     assert covered(queries.op4_sentence_spans(spark, SF_SMALL).collect()) == want
+
+
+def test_passages_are_caught_and_phrases_left_alone(spark):
+    # By passage, not by rule: over 50 words that begin and end within sentences; and clean texts that
+    # share a few short sentences only.
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 8)))
+    sent = lambda n: " ".join(word() for _ in range(n)) + "."
+    rows, phrases = [], [sent(4), sent(3), sent(4)]
+    for k in range(40):
+        inner = " ".join(sent(rng.randint(5, 14)) for _ in range(5))
+        shared = f"{' '.join(word() for _ in range(8))}. {inner} {' '.join(word() for _ in range(8))}"
+        rows += [(10 * k + i, f"{sent(9)} {word()} {shared} {word()}. {sent(6)}") for i in (1, 2)]
+        rows.append((10 * k + 3, f"{sent(30)} {' '.join(phrases)} {sent(24)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in spans.repeated_regions(docs, both_ends=True).collect()}
+    assert found == {d for d, _ in rows if d % 10 == 2}
