@@ -4,12 +4,16 @@ A paragraph is a line of the text, or a block of lines up to one without a lette
 bare comment marks end it), which finds notices that are wrapped.  Its features are the word 1-grams (of five letters or more) and
 2-grams that occur in some licence template.  A multinomial logistic regression gives each paragraph
 a family or ``unknown``; it is fitted on templates with words left out or run into other text, and on
-a bounded sample of the corpus's own lines as ``unknown``.  A temperature fitted on other variants and
+a bounded sample of the corpus's own lines as ``unknown``: some that speak of no licence, and some that
+do but hold little of any template.  The sample goes by a hash of document, line number and text, so
+the files that hold the documents do not matter.  A temperature fitted on other variants and
 lines calibrates its chances.  A predicted family is confirmed where the paragraph holds most n-grams
 of one of the family's templates.
 
 Paragraphs are scored by a join of their n-grams with the weight table (bounded by the templates, so
 broadcast) and a pre-aggregated sum; only DataFrame functions and ML transformers of Spark are used.
+Texts and paragraphs that cannot reach any family are left out before (:func:`needed_grams`): the
+weights of all n-grams that they may hold together do not outweigh the bias of ``unknown``.
 
 Defined results: NULL and empty texts and lines have no paragraph; repeated rows each have their own
 results; NULL ids are kept; extra columns are ignored; an empty table gives an empty result.
@@ -19,9 +23,12 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,6 +42,9 @@ UNKNOWN = "unknown"
 SAMPLE = 2_000
 #: Characters of such a line, at most.
 LONGEST = 1_000
+#: Lines that speak of a licence, and the share of any template's n-grams below which they stand for
+#: ``unknown`` too (half as many as ``SAMPLE``, at most).
+SPEAKS, LITTLE = "licen[sc]|copyright|spdx", 0.3
 #: Least chance of a reported family, and least share of a template's n-grams that confirms it.
 CHANCE, CONFIRM = 0.5, 0.6
 
@@ -178,6 +188,7 @@ class Model:
     weights: DataFrame
     templates: DataFrame
     sizes: DataFrame
+    pattern: str | None = None
 
 
 def _template_grams(spark: SparkSession, templates: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -203,20 +214,22 @@ def _chances(z: Column, temperature: float) -> Column:
 
 def fit(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES,
         sample: int = SAMPLE) -> Model:
-    """Fit on variants of the templates and on at most ``2 * sample`` lines of the corpus: those of at
-    most ``LONGEST`` characters with the smallest hashes that speak of no licence or copyright."""
+    """Fit on variants of the templates and on at most ``3 * sample`` lines of the corpus, of at most
+    ``LONGEST`` characters, those with the smallest hashes: two thirds speak of no licence or
+    copyright, a third does but holds little of any template."""
     spark = docs.sparkSession
     own = _template_grams(spark, templates)
     vocabulary = sorted({r.gram for r in own.select("gram").collect()})  # bounded by the templates
     classes = [*sorted(templates), UNKNOWN]
-    plain = paragraphs(docs).where((F.length("text") <= LONGEST)
-                                   & ~F.lower("text").rlike("licen[sc]|copyright|spdx"))
-    lines = least_hashes(plain, 2 * sample, "uid", "line").select("text").collect()
-    texts = [r.text for r in lines]
+    short, speaks = F.length("text") <= LONGEST, F.lower("text").rlike(SPEAKS)
+    plain = paragraphs(docs).where(short & ~speaks)
+    hard = paragraphs(docs.where(speaks)).where(short & speaks & (_share(templates) < LITTLE))
+    texts = [[r.text for r in least_hashes(lines, n, "doc_id", "line", "text").select("text").collect()]
+             for lines, n in ((plain, 2 * sample), (hard, sample))]
     parts = []
-    for seed, plain in ((1, texts[::2]), (2, texts[1::2])):
+    for seed, at in ((1, 0), (2, 1)):
         rows = [(float(classes.index(f)), t) for f, t in variants(templates, seed)]
-        rows += [(float(len(classes) - 1), t) for t in [*plain, *OTHER * 4]]
+        rows += [(float(len(classes) - 1), t) for lines in (*texts, OTHER * 8) for t in lines[at::2]]
         parts.append(spark.createDataFrame(rows, "label double, text string"))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True)
     learn = vectors.transform(parts[0].withColumn("grams", grams(F.col("text"))))
@@ -227,9 +240,52 @@ def fit(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES,
         [(g, i, [float(x) for x in matrix[:, i]]) for i, g in enumerate(vocabulary)],
         "gram string, gid int, w array<double>")
     temperature = _temperature(parts[1], weights, list(bias))
+    common = {r.gram: r.n for r in parts[0].where(F.col("label") == len(classes) - 1).select(
+        F.explode(grams(F.col("text"))).alias("gram")).join(F.broadcast(weights.select("gram")), "gram")
+        .groupBy("gram").agg(F.count(F.lit(1)).alias("n")).collect()}  # bounded by the templates
+    pattern = needed_grams(vocabulary, matrix, bias, common)
     keyed = own.join(weights.select("gram", "gid"), "gram").select("family", "template", "gid")
     sizes = keyed.groupBy("family", "template").agg(F.count(F.lit(1)).alias("size"))
-    return Model(classes, [float(b) for b in bias], temperature, weights, keyed, sizes)
+    return Model(classes, [float(b) for b in bias], temperature, weights, keyed, sizes, pattern)
+
+
+def _share(templates: Mapping[str, Sequence[str]]) -> Column:
+    """Greatest share of a template's n-grams that the line ``text`` holds."""
+    def gram_set(text: str) -> list[str]:
+        words = [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+        return sorted({w for w in words if len(w) >= 5} | set(map(" ".join, zip(words, words[1:]))))
+    sets = [g for ts in templates.values() for t in ts if (g := gram_set(t))]
+    return let(grams(F.col("text")), lambda own: F.array_max(F.array(F.lit(0.0), *[
+        F.size(F.array_intersect(own, F.array(*[F.lit(g) for g in s]))) / F.lit(float(len(s)))
+        for s in sets])))
+
+
+def needed_grams(vocabulary: Sequence[str], matrix: np.ndarray, bias: Sequence[float],
+                 common: Mapping[str, int]) -> str | None:
+    """Pattern of n-grams of which every paragraph with a predicted family holds one (to be looked for
+    in a blank and the lower-cased paragraph), or None if there may be such without.
+
+    A family beats ``unknown`` (the last class) only if the n-grams' weights for it, less those for
+    ``unknown``, outweigh the difference of the biases.  The commonest n-grams whose gains together stay
+    below that for every family are not needed; every other one is in the pattern.
+    """
+    gains = np.maximum(np.asarray(matrix)[:-1] - np.asarray(matrix)[-1], 0.0)
+    left = float(bias[-1]) - np.asarray(bias, dtype=float)[:-1] - 1e-6
+    if (left <= 0).any():
+        return None
+    needed = set()
+    for i in sorted(range(len(vocabulary)), key=lambda i: (-common.get(vocabulary[i], 0), gains[:, i].max())):
+        if (gains[:, i] < left).all():
+            left = left - gains[:, i]
+        else:
+            needed.add(vocabulary[i])
+    alone = sorted(g for g in needed if " " not in g)
+    pairs = sorted(g for g in needed if " " in g and not needed & set(g.split()))
+    # A comment mark may stand between the words of two lines.
+    gap = "[^a-z0-9]+(?:(?:dnl|rem)[^a-z0-9]+)?"
+    by_letter = [f"{c}(?:{'|'.join(g[1:].replace(' ', gap) for g in words)})"
+                 for c, words in groupby(sorted(alone + pairs), key=lambda g: g[0])]
+    return f"[^a-z0-9](?:{'|'.join(by_letter)})(?![a-z0-9])" if by_letter else "(?!)"
 
 
 def _temperature(rows: DataFrame, weights: DataFrame, bias: list[float]) -> float:
@@ -249,7 +305,9 @@ def scan(docs: DataFrame, model: Model, chance: float = CHANCE, confirm: float =
     need(docs, "doc_id", "text")
     names = F.array(*[F.lit(c) for c in model.classes])
     keys = ["uid", "doc_id", "first", "line", "whole"]
-    z = _logits(blocks(docs), model.weights, model.intercepts, *keys)
+    able = (F.lit(True) if model.pattern is None
+            else F.concat(F.lit(" "), F.lower("text")).rlike(model.pattern))
+    z = _logits(blocks(docs.where(able)).where(able), model.weights, model.intercepts, *keys)
     best = z.withColumn("p", _chances(F.col("z"), model.temperature)).withColumn(
         "chance", F.array_max("p"))
     named = best.withColumn("family", F.get(names, (F.array_position("p", F.col("chance")) - 1)

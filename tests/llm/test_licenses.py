@@ -1,5 +1,6 @@
 """Licence scan against a brute-force scorer, and held-out paragraphs."""
 
+import dataclasses
 import math
 import random
 import re
@@ -105,3 +106,39 @@ def test_wrapped_notices(spark, model):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.line, r.family) for r in licenses.scan(docs, model).collect() if r.confirmed]
     assert sorted(got) == sorted(want)
+
+
+def test_texts_left_out_before_scoring_have_no_result(spark, model):
+    assert model.pattern is not None
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    more = [(-i, t) for i, (_, t) in enumerate(licenses.variants(licenses.TEMPLATES, seed=5, rounds=3))]
+    more += [(None, "dnl released under\ndnl the MIT\nREM license"), (-900, "rem MIT\nREM license\n")]
+    docs = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    every = dataclasses.replace(model, pattern=None)
+    assert result(licenses.scan(docs, model)) == result(licenses.scan(docs, every))
+
+
+@pytest.mark.parametrize("bias, needed", [([-1.0, 3.0], {"b", "c d"}), ([-1.0, 20.0], set()),
+                                          ([3.0, -1.0], None)])
+def test_needed_grams(bias, needed):
+    grams, gain = ["a", "b", "b x", "c d"], [2.0, 2.5, 1.0, 3.0]
+    got = licenses.needed_grams(grams, [gain, [0.0] * 4], bias, {"a": 9, "b x": 5, "b": 2})
+    if needed is None:
+        assert got is None
+        return
+    holds = {g for g in grams if re.search(got, " " + g)}
+    assert needed <= holds
+    rest = [g for g in range(4) if grams[g] not in holds]
+    assert sum(gain[g] for g in rest) < bias[1] - bias[0]
+
+
+def test_hard_lines_and_files_that_do_not_matter(spark):
+    rows = [(i, f"the licence fee number {i} is due\n{licenses.TEMPLATES['MIT'][0]}\nplain words {i}")
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = licenses.fit(docs.repartition(3), sample=20)
+    again = licenses.fit(docs.orderBy(docs.doc_id.desc()).coalesce(1), sample=20)
+    assert (first.intercepts, first.temperature) == (again.intercepts, again.temperature)
+    assert first.weights.orderBy("gid").collect() == again.weights.orderBy("gid").collect()
+    found = licenses.scan(docs, first).collect()
+    assert sorted((r.doc_id, r.line, r.family) for r in found) == [(i, 1, "MIT") for i in range(60)]
