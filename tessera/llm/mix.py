@@ -8,8 +8,9 @@ document id, so reruns and retried tasks agree.
 Defined results: a NULL source is a source of its own, last in order; a NULL or empty text has size
 0 and is emitted like any other document; rows that repeat a document id share its draw; a source
 without words has target 0 and rate 0 (its documents are not emitted); an empty table gives an empty
-result.  Extra columns are kept; ``size``, ``source_size``, ``target``, ``rate`` and ``copies`` are
-names that the operator adds, so an input column of the same name (any case) is an error.
+result.  Extra columns are kept; the columns that the operator adds at the end (``size``,
+``source_size``, ``target``, ``rate``, ``copies``) take another name (``_`` is appended) where the table
+has a column of that name.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.words import n_words, need
+from tessera.llm.words import aside, fresh, n_words, need
 from tessera.operators.rank import global_rank
 from tessera.session import ensure_checkpoint_dir
 
@@ -65,19 +66,27 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), budge
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5,
                 max_repeat: float = 2.0, seed: str = "mix") -> DataFrame:
-    """``docs`` with ``size, source_size, target, rate, copies`` added, one row per input row."""
+    """``docs`` with ``size, source_size, target, rate, copies`` (see :func:`added`), one row per input
+    row."""
     need(docs, "doc_id", "text", "source")
-    if clash := [c for c in docs.columns if c.lower() in ADDED]:
-        raise ValueError(f"columns {clash} clash with columns that mixing adds")
-    sized = docs.withColumn("size", n_words("text"))
+    own, back = aside(docs)
+    at = {c: F.col(own.columns[docs.columns.index(c)]) for c in ("doc_id", "text", "source")}
+    sized = own.select("*", at["doc_id"].alias("doc_id"), at["source"].alias("source"),
+                       n_words(at["text"]).alias("size"))
     targets, nbytes = source_targets(sized.select("source", "size"), weights, budget, max_repeat)
     side = targets.withColumnRenamed("source", "__source")
     side = F.broadcast(side) if nbytes <= BROADCAST_BYTES else side
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return (sized.join(side, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-            .withColumn("rate", rate)
-            .withColumn("copies", (F.floor("rate") + (draw(seed) < F.col("rate") - F.floor("rate"))
-                                   .cast("long")).cast("long")))
+    mixed = (sized.join(side, F.col("source").eqNullSafe(F.col("__source")), "left")
+             .withColumn("rate", rate)
+             .withColumn("copies", (F.floor("rate") + (draw(seed) < F.col("rate") - F.floor("rate"))
+                                    .cast("long")).cast("long")))
+    return mixed.select(*back, *[F.col(n).alias(fresh(docs, n)) for n in ADDED])
+
+
+def added(mixed: DataFrame) -> dict[str, str]:
+    """Names in a result of :func:`mix_sources` of the columns that it added: its last ones."""
+    return dict(zip(ADDED, mixed.columns[-len(ADDED):]))
 
 
 def draw(seed: str):
@@ -88,15 +97,17 @@ def draw(seed: str):
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
     """Each row ``copies`` times, without the columns that :func:`mix_sources` added."""
-    out = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(
-        F.lit(1), F.col("copies"))))
-    return out.drop("__copy", *ADDED)
+    copies = F.col(added(mixed)["copies"])
+    copy = fresh(mixed, "copy")
+    out = mixed.where(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
+    return out.select(mixed.columns[:-len(ADDED)])
 
 
 def report(mixed: DataFrame) -> DataFrame:
     """Per document: its size, its source's size and target, and the words that the mix takes."""
-    return mixed.select("doc_id", "size", "source_size", "target",
-                        (F.col("size") * F.col("copies")).alias("taken"))
+    name = added(mixed)
+    return mixed.select("doc_id", *[F.col(name[n]).alias(n) for n in ("size", "source_size", "target")],
+                        (F.col(name["size"]) * F.col(name["copies"])).alias("taken"))
 
 
 SQL = r"""

@@ -39,6 +39,13 @@ def fresh(df, stem: str) -> str:
     return name
 
 
+def aside(df):
+    """``df`` under column names that an operator's own ones never meet, and the columns that give the
+    caller's names back."""
+    names = [f"__{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, df.columns)]
+
+
 def least_hashes(df, limit: int, *keys: str):
     """The ``limit`` rows with the smallest hashes of their (distinct) keys.
 

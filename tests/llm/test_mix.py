@@ -67,8 +67,13 @@ def test_edge_rows(spark, monkeypatch, limit):
     assert out.columns == docs.columns
     assert out.count() == sum(r.copies for r in mixed.collect())
     assert mix.emit_copies(mix.mix_sources(docs.limit(0))).count() == 0
-    with pytest.raises(ValueError):
-        mix.mix_sources(docs.withColumnRenamed("weight", "Rate"))
+    clash = docs.withColumnRenamed("weight", "Rate").selectExpr("*", "7 AS copies", "8 AS `__source`")
+    again = mix.mix_sources(clash)
+    assert again.columns == [*clash.columns, "size", "source_size", "target", "rate_", "copies_"]
+    assert result(again) == brute(rows)
+    out = mix.emit_copies(again)
+    assert out.columns == clash.columns and out.count() == mix.emit_copies(mixed).count()
+    assert {(r.Rate, r.copies, r["__source"]) for r in out.collect()} == {(1, 7, 8)}
 
 
 def test_targets_are_shared_again_until_none_is_above():
