@@ -7,9 +7,12 @@ some alias is allowed by a rule, else blocked where some alias is blocked, else
 functions are used.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up
-to ``?``, ``#`` or the end.  Defined results: a NULL URL or one without ``://`` has empty host and
-path, and no rule fits; repeated rows are judged alike; an empty table gives an empty result; extra
-columns are kept unless they clash with ``host, path, rule, verdict``, which is an error.
+to ``?``, ``#`` or the end.  URLs that differ in the case of scheme and host only are one alias.  Targets
+of links are resolved against the page's URL (``/b``, ``//host/b``, ``?q``, ``../b``), without their
+fragment; ``&amp;`` and its like are undone.  Defined results: a NULL URL or one without ``://`` has empty
+host and path, no rule fits, and its relative links lead nowhere; repeated rows are judged alike; an empty
+table gives an empty result; extra columns are kept, and an added column (``host, path, rule, verdict``)
+takes another name (``_`` is appended) where the table has a column of that name.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import connected_components
-from tessera.llm.words import fresh, need
+from tessera.llm.rules import let
+from tessera.llm.words import aside, fresh, need
 from tessera.session import ensure_checkpoint_dir
 
 ADDED = ("host", "path", "rule", "verdict")
@@ -42,9 +46,60 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(after_scheme(url), F.lit("")), r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
+def alias_of(url: Column) -> Column:
+    """The URL with scheme and host (A-Z) in lower case; one without ``://`` as it is."""
+    head = F.regexp_extract(url, r"^.*?://[^/?#]*", 0)
+    return F.concat(F.translate(head, _UP, _LOW), F.substring(url, F.length(head) + 1, F.length(url)))
+
+
+def unescape(value: Column) -> Column:
+    """Character references that occur in URLs undone, ``&amp;`` last."""
+    for code, char in (("quot|#0*34|#x0*22", '"'), ("apos|#0*39|#x0*27", "'"), ("lt|#0*60|#x0*3c", "<"),
+                       ("gt|#0*62|#x0*3e", ">"), ("#0*47|#x0*2f", "/"), ("amp|#0*38|#x0*26", "&")):
+        value = F.regexp_replace(value, f"(?i)&(?:{code});", char)
+    return value
+
+
+def _without_dots(path: Column) -> Column:
+    """A path (from its first ``/`` on) without the segments ``.`` and ``..``."""
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(F.substring(path, 2, F.length(path)), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    tail = F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    clean = F.regexp_replace(F.concat(F.lit("/"), F.array_join(kept, "/"), tail), "^/+$", "/")
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), clean).otherwise(path)
+
+
+def resolve(url: Column, target: Column) -> Column:
+    """The URL that ``target`` leads to from ``url``, without fragment; NULL if it leads to none."""
+    def absolute(full: Column) -> Column:
+        bare = F.regexp_extract(full, r"(?s)^[^#]*", 0)
+        head = F.regexp_extract(bare, r"^[^/?]*?://[^/?]*", 0)
+        path = F.regexp_extract(F.substring(bare, F.length(head) + 1, F.length(bare)), r"(?s)^[^?]*", 0)
+        rest = F.substring(bare, F.length(head) + F.length(path) + 1, F.length(bare))
+        return F.when(head != "", alias_of(F.concat(head, _without_dots(path), rest)))
+
+    site = F.regexp_extract(url, r"^[^/?#]*?://[^/?#]*", 0)
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    folder = F.regexp_extract(path, "(?s)^.*/", 0)
+    scheme = F.regexp_extract(url, "^[^/?#]*?:(?=//)", 0)
+    full = (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+            .when((site == "") | (target == ""), F.lit(None).cast("string"))
+            .when(target.startswith("//"), F.concat(scheme, target))
+            .when(target.startswith("/"), F.concat(site, target))
+            .when(target.startswith("?"), F.concat(site, path, target))
+            .when(target.startswith("#"), url)
+            .otherwise(F.concat(site, folder, target)))
+    return let(full, absolute)
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """``src, dst`` of canonical links and refresh redirects found in ``html``, and of each URL
-    with a fragment to the URL without it.  Absolute targets only."""
+    with a fragment to the URL without it."""
     html, url = F.coalesce(F.col("html"), F.lit("")), F.col("url")
     tag = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
     canonical = F.regexp_extract(F.regexp_extract(html, tag, 0), r"(?is)\bhref" + _ATTR, 1)
@@ -52,9 +107,10 @@ def link_edges(pages: DataFrame) -> DataFrame:
         F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0),
         r"(?is)\burl" + _ATTR, 1)
     bare = F.when(F.instr(url, "#") > 0, F.substring_index(url, "#", 1))
-    return (pages.where(url.isNotNull()).select(url.alias("src"), F.explode(F.array(
-        canonical, refresh, bare)).alias("dst"))
-        .where(F.col("dst").contains("://") & (F.col("src") != F.col("dst"))))
+    found = pages.where(url.isNotNull()).select(url.alias("url"), F.explode(F.array_compact(F.array(
+        F.nullif(canonical, F.lit("")), F.nullif(refresh, F.lit("")), bare))).alias("target"))
+    return found.select(alias_of(F.col("url")).alias("src"),
+                        resolve(F.col("url"), unescape(F.col("target"))).alias("dst")).where("src <> dst")
 
 
 def rule_table(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:
@@ -99,14 +155,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]],
     pages themselves.
     """
     need(pages, "url")
-    if clash := [c for c in pages.columns if c.lower() in ADDED]:
-        raise ValueError(f"columns {clash} clash with columns that the filter adds")
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
     if edges is None:
         need(pages, "html")
         edges = link_edges(pages)
-    edges = edges.select("src", "dst").distinct().checkpoint(eager=True)
+    edges = edges.select(alias_of(F.col("src")).alias("src"), alias_of(F.col("dst")).alias("dst"))
+    edges = edges.distinct().checkpoint(eager=True)
     ends = edges.select(F.col("src").alias("url")).unionAll(edges.select(F.col("dst").alias("url")))
     members = connected_components(edges).withColumnRenamed("node", "url")
     ruled = match_rules(ends.distinct(), rules).select("url", F.col("allow").alias("own"))
@@ -116,9 +171,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]],
     verdicts = members.join(spread, "component").select(
         F.col("url").alias("__url"),
         F.when(F.col("any_allow"), True).otherwise(F.col("none_blocks")).alias("__alias"))
-    matched = match_rules(pages, rules)
-    extra = fresh(matched, "__ok")
-    return (matched.join(verdicts, F.col("url") == F.col("__url"), "left")
-            .withColumn(extra, F.coalesce("allow", "__alias", F.lit(True)))
-            .withColumn("verdict", F.when(F.col(extra), "allow").otherwise("block"))
-            .drop("__url", "__alias", "allow", extra))
+    own, back = aside(pages)
+    matched = match_rules(own.withColumn("url", F.col(own.columns[pages.columns.index("url")])), rules)
+    ok = F.coalesce("allow", "__alias", F.lit(True))
+    judged = (matched.withColumn("__key", alias_of(F.col("url")))
+              .join(verdicts, F.col("__key") == F.col("__url"), "left")
+              .withColumn("verdict", F.when(ok, "allow").otherwise("block")))
+    return judged.select(*back, *[F.col(n).alias(fresh(pages, n)) for n in ADDED])

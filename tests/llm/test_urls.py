@@ -1,10 +1,12 @@
 """URL filter against a brute-force version, and components against union-find."""
 
 import re
+from html import unescape
+from urllib.parse import urljoin
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.llm import urls
 from tessera.llm.components import connected_components
@@ -89,8 +91,42 @@ def test_aliases_and_edge_rows(spark):
         assert sorted((tuple(r) for r in got.drop("url", "html", "size").collect()), key=repr) \
             == brute([r[:2] for r in use], all_edges, RULES)
     assert urls.judge_urls(pages.limit(0), RULES).count() == 0
-    with pytest.raises(ValueError):
-        urls.judge_urls(pages.withColumnRenamed("size", "Host"), RULES)
+    clash = urls.judge_urls(pages.withColumnRenamed("size", "Host").withColumn("verdict", F.lit("x"))
+                            .withColumn("__best", F.lit(2)), RULES)
+    assert clash.columns == ["page_id", "url", "html", "Host", "verdict", "__best", "host_", "path", "rule",
+                             "verdict_"]
+    assert sorted((tuple(r)[:1] + tuple(r)[6:] for r in clash.collect()), key=repr) == brute(
+        [r[:2] for r in rows], all_edges, RULES)
+    assert {(r.Host, r.verdict, r["__best"]) for r in clash.collect()} == {(5, "x", 2)}
+
+
+def test_targets_are_resolved(spark):
+    base = "HTTP://Www.Example.org/a/b/c?x=1#f"
+    cases = ["/d", "//Other.net/e", "?page=2&amp;ref=x", "d", "../d/./e", "../../../d", "..", ".", "#g", "",
+             "mailto:x@y.z", "https://Z.org/Q?a=B#h", "http://z.org", "d/../e?u=/../v", "&#x2F;d",
+             "http://z.org?u=a/../b", "javascript:go('http://z.org')"]
+    df = spark.createDataFrame([(c,) for c in cases], "target string")
+    got = [r[0] for r in df.select(urls.resolve(F.lit(base), urls.unescape(F.col("target")))).collect()]
+    site = "http://www.example.org"
+    for case, found in zip(cases, got):
+        if case in ("", "mailto:x@y.z") or case.startswith("javascript"):
+            assert found is None
+            continue
+        want = urljoin(site + "/a/b/c?x=1", unescape(case)).split("#")[0]
+        head = re.match("[^/]*//[^/?]*", want)[0]
+        assert found == head.lower() + want[len(head):], case
+    assert df.select(urls.resolve(F.lit("no scheme"), F.col("target")).alias("t")).where(
+        "t IS NOT NULL").count() == 3
+
+
+def test_blocks_reach_aliases_through_relative_and_escaped_links(spark):
+    rows = [(1, "http://evil.net/p?page=2&ref=x", ""),
+            (2, "http://a.org/1", '<link rel="canonical" href="//EVIL.net/p?page=2&amp;ref=x">'),
+            (3, "http://a.org/x/2", "<meta http-equiv=refresh content='0; url=../1'>"),
+            (4, "http://A.org/x/y/3?q", '<link rel=canonical href="/x/2">'), (5, "http://a.org/4", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
