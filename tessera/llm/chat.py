@@ -1,9 +1,9 @@
 """Chat formatting: roles of raw transcripts by a hidden Markov model, then canonical turns.
 
-A raw transcript is the blocks of a conversation in order of ``turn``; a block is some lines, and a
-blank line lies between blocks.  Each line has a hidden state, a role that begins or goes on; the
-model sees the line's speaker marker, if any, whether a blank line precedes, its length and whether
-it asks.  The most likely states of a whole conversation (Viterbi) give its turns.
+A raw transcript is the blocks of a conversation in order of ``turn``; a block is some lines, and where
+it ends says nothing.  Each line has a hidden state, a role that begins or goes on; the
+model sees the line's speaker marker, if any, whether a blank line (or none) precedes, its length and
+whether it asks.  The most likely states of a whole conversation (Viterbi) give its turns.
 
 Conversations are range-partitioned by conversation, turn and text, so one of any length spreads over
 several partitions.  Each partition sums up what its ends need (a max-plus matrix of its first
@@ -12,7 +12,8 @@ driver, one row a partition, and every partition then decodes exactly between fi
 
 Defined results: a NULL or empty text is one empty line; a NULL ``turn`` comes first; blocks that
 share a turn are ordered by a hash of their text; NULL ``conv_id`` is one conversation; an empty table
-gives an empty result; extra columns are ignored.  A ``<|`` inside a text is written ``< |``.
+gives an empty result; extra columns are ignored.  A ``<|`` inside a text is written ``< |``; blank lines
+at the end of a block are not rendered.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ _MARK = re.compile(r"[ \t]*(?:#{1,6}[ \t]*|\[|<\||\*\*)?(?:" + "|".join(
     f"(?P<{r}>{w})" for r, w in MARKERS.items()) + r")(?:\]:?|\|>|\*\*:|:)[ \t]*", re.IGNORECASE)
 STATES = [(r, begins) for r in ROLES for begins in (True, False)]
 N = len(STATES)
+#: What a blank line may hold.
+GAP = " \t\r\f\v"
 #: Values of each line feature: marker (none or a role), blank line before, length, question.
 SIZES = (1 + len(ROLES), 2, 8, 2)
 
@@ -45,7 +49,8 @@ SIZES = (1 + len(ROLES), 2, 8, 2)
 def as_transcript(conversations: DataFrame, omit: float = 0.2) -> DataFrame:
     """Blocks ``conv_id, turn, text`` of raw transcripts from turns whose roles are known.
 
-    A hash of the conversation picks its style of markers, one of the turn leaves out markers.
+    A hash of the conversation picks its style of markers, one of the turn leaves out markers.  Each
+    turn ends in a blank line.
     """
     styles = [("User: ", "Assistant: ", "System: "), ("Human: ", "AI: ", "Context: "),
               ("### Instruction:\n", "### Response:\n", "### System:\n"),
@@ -56,25 +61,46 @@ def as_transcript(conversations: DataFrame, omit: float = 0.2) -> DataFrame:
         for role, name in zip(ROLES, names):
             mark = F.when((style == i) & (F.col("role") == role), F.lit(name)).otherwise(mark)
     bare = F.pmod(F.xxhash64(F.lit("bare"), "conv_id", "turn"), F.lit(1000)) < int(omit * 1000)
-    text = F.concat(F.when(bare, F.lit("")).otherwise(mark), F.coalesce("text", F.lit("")))
+    text = F.concat(F.when(bare, F.lit("")).otherwise(mark), F.coalesce("text", F.lit("")), F.lit("\n"))
     return conversations.withColumn("text", text)
 
 
-def line_features(text: str | None) -> tuple[list[tuple[int, int, int, int]], list[str]]:
-    """Features of each line of a block, and its words without the marker."""
+def line_features(text: str | None, blank: bool) -> tuple[list[tuple[int, int, int, int]], list[str]]:
+    """Features of each line of a block, and its words without the marker; ``blank`` tells whether a
+    blank line, or none, precedes the block."""
     feats, said = [], []
-    for k, line in enumerate((text or "").split("\n")):
-        m = _MARK.match(line)
+    for line in (text or "").split("\n"):
+        m, after = _MARK.match(line), blank
+        blank = not line.strip(GAP)
         mark = 0
         if m:
             mark = 1 + next(i for i, r in enumerate(ROLES) if m[r])
             line = line[m.end():]
         size = min(7, len(line.split()).bit_length())
-        feats.append((mark, int(k == 0), size, int(line.rstrip().endswith("?"))))
+        feats.append((mark, int(after), size, int(line.rstrip().endswith("?"))))
         said.append(line)
     return feats, said
 
 
+def block_features(texts: list[str | None], blank: bool = True) -> list[tuple[list, list]]:
+    """:func:`line_features` of blocks that follow each other."""
+    out = []
+    for text in texts:
+        out.append(line_features(text, blank))
+        blank = not (text or "").rpartition("\n")[2].strip(GAP)
+    return out
+
+
+def lines_before(ordered: DataFrame) -> dict[int, tuple[int | None, bool]]:
+    """For each partition but the first, the conversation that ends the one before, and whether its last
+    line there is blank."""
+    line = F.substring_index(F.coalesce("text", F.lit("")), "\n", -1)
+    rows = ordered.select("pid", F.struct("conv_id", line.rlike(r"^[ \t\r\f\x0B]*\z").alias("blank"))
+                          .alias("end"), F.monotonically_increasing_id().alias("at")).groupBy("pid").agg(
+        F.max_by("end", "at").alias("end")).orderBy("pid").collect()  # one row a partition
+    return {b.pid: (a.end.conv_id, a.end.blank) for a, b in zip(rows, rows[1:])}
+
+
 @dataclass
 class Model:
     """Log chances: of the first state, of the next state, and of each feature's values."""
@@ -105,18 +131,26 @@ def viterbi(model: Model, scores: np.ndarray, before: int | None, last: int | No
     return states
 
 
-def _conversations(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple]:
-    """Conversation id and rows, for each run of rows of one conversation."""
-    conv, rows = None, []
+def _conversations(batches: Iterator[pa.RecordBatch], columns: list[str],
+                   before: dict[int, tuple]) -> Iterator[tuple]:
+    """Conversation id, rows and features of its blocks, for each run of rows of one conversation.
+    ``columns`` begin with conversation, text and partition."""
+    conv, rows, first = None, [], True
+
+    def run() -> tuple:
+        end = before.get(rows[0][2]) if first else None
+        blank = True if end is None or end[0] != conv else end[1]
+        return conv, rows, block_features([r[1] for r in rows], blank)
+
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in columns)):
             if rows and row[0] != conv:
-                yield conv, rows
-                rows = []
+                yield run()
+                rows, first = [], False
             conv = row[0]
             rows.append(row)
     if rows:
-        yield conv, rows
+        yield run()
 
 
 def _true_states(roles: list[str | None], counts: list[int]) -> list[int | None]:
@@ -127,14 +161,14 @@ def _true_states(roles: list[str | None], counts: list[int]) -> list[int | None]
     return out
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(before: dict[int, tuple], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     move, start = np.zeros((N, N), np.int64), np.zeros(N, np.int64)
     emit = [np.zeros((N, s), np.int64) for s in SIZES]
     first, last, pid = None, None, None
-    for conv, rows in _conversations(batches, ["conv_id", "text", "role", "learn", "pid"]):
-        pid = rows[0][4]
-        feats = [line_features(r[1])[0] for r in rows]
-        states = _true_states([r[2] if r[3] else None for r in rows], [len(f) for f in feats])
+    for conv, rows, parts in _conversations(batches, ["conv_id", "text", "pid", "role", "learn"], before):
+        pid = rows[0][2]
+        feats = [f for f, _ in parts]
+        states = _true_states([r[3] if r[4] else None for r in rows], [len(f) for f in feats])
         for (a, b) in zip(states, states[1:]):
             if a is not None and b is not None:
                 move[a, b] += 1
@@ -157,21 +191,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["pid", "first", "first_state", "last", "last_state", "numbers"])
 
 
-def fit(ordered: DataFrame) -> Model:
-    """Model from counts over all rows of :func:`in_order` with a known ``role`` and ``learn``."""
+def fit(ordered: DataFrame, before: dict[int, tuple]) -> Model:
+    """Model from counts over all rows of :func:`in_order` with a known ``role`` and ``learn``;
+    ``before`` as :func:`lines_before` gives it."""
     rows = ordered.select("conv_id", "text", "role", "learn", "pid").mapInArrow(
-        _count, "pid int, first long, first_state int, last long, last_state int, "
+        partial(_count, before), "pid int, first long, first_state int, last long, last_state int, "
                 "numbers array<long>").collect()  # one row a partition
     total = np.zeros(N + N * N + N * sum(SIZES), dtype=np.int64)
-    before = None
+    prior = None
     for r in sorted(rows, key=lambda r: r.pid):
         total += np.array(r.numbers)
         if r.first_state is not None:
-            if before is None or before.last != r.first:
+            if prior is None or prior.last != r.first:
                 total[r.first_state] += 1
-            elif before.last_state is not None:
-                total[N + before.last_state * N + r.first_state] += 1
-        before = r
+            elif prior.last_state is not None:
+                total[N + prior.last_state * N + r.first_state] += 1
+        prior = r
 
     def log_share(counts: np.ndarray) -> np.ndarray:
         smooth = counts + 0.5
@@ -192,11 +227,11 @@ def in_order(blocks: DataFrame) -> DataFrame:
             .withColumn("pid", F.spark_partition_id()).checkpoint(eager=True))
 
 
-def _ends(model: Model):
+def _ends(model: Model, before: dict[int, tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, pid, single, matrix, tail, conv = None, None, True, None, None, None
-        for conv, rows in _conversations(batches, ["conv_id", "text", "pid"]):
-            scores = model.scores([f for r in rows for f in line_features(r[1])[0]])
+        for conv, rows, parts in _conversations(batches, ["conv_id", "text", "pid"], before):
+            scores = model.scores([f for fs, _ in parts for f in fs])
             tail = model.start + scores[0]
             link = model.move + scores[0]
             for s in scores[1:]:
@@ -251,32 +286,33 @@ def render(states: np.ndarray, said: list[str]) -> str:
             if not line.strip():
                 continue
         out.append(line.replace("<|", "< |"))
+    while out and not out[-1].strip(GAP):
+        out.pop()
     return "\n".join(out)
 
 
-def _decode(model: Model, borders: dict[int, tuple]):
+def _decode(model: Model, borders: dict[int, tuple], before: dict[int, tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def decoded(rows: list, before: int | None, last: int | None) -> pa.RecordBatch:
-            parts = [line_features(r[1]) for r in rows]
-            states = viterbi(model, model.scores([f for fs, _ in parts for f in fs]), before, last)
+        def decoded(rows: list, parts: list, ahead: int | None, last: int | None) -> pa.RecordBatch:
+            states = viterbi(model, model.scores([f for fs, _ in parts for f in fs]), ahead, last)
             out, at = [], 0
             for r, (_, said) in zip(rows, parts):
                 own = states[at:at + len(said)]
                 at += len(said)
-                out.append((r[0], r[2], len(said), int(sum(STATES[s][1] for s in own)),
+                out.append((r[0], r[3], len(said), int(sum(STATES[s][1] for s in own)),
                             STATES[own[0]][0], render(own, said)))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(zip(*out), _OUT)], names=_NAMES)
 
         held, first = None, True
-        for conv, rows in _conversations(batches, ["conv_id", "text", "turn", "pid"]):
+        for _, rows, parts in _conversations(batches, ["conv_id", "text", "pid", "turn"], before):
             if held is not None:
-                yield decoded(held, borders[held[0][3]][0] if first else None, None)
+                yield decoded(*held, borders[held[0][0][2]][0] if first else None, None)
                 first = False
-            held = rows
+            held = rows, parts
         if held is not None:
-            before, last = borders[held[0][3]]
-            yield decoded(held, before if first else None, last)
+            ahead, last = borders[held[0][0][2]]
+            yield decoded(*held, ahead if first else None, last)
     return run
 
 
@@ -284,14 +320,14 @@ _NAMES = ["conv_id", "turn", "n_lines", "n_turns", "role", "rendered"]
 _OUT = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
 
-def parse(ordered: DataFrame, model: Model) -> DataFrame:
+def parse(ordered: DataFrame, model: Model, before: dict[int, tuple]) -> DataFrame:
     """``conv_id, turn, n_lines, n_turns, role, rendered`` for each block of :func:`in_order`:
     turns that begin in the block, the role of its first line, and its canonical rendering."""
     ends = ordered.select("conv_id", "text", "pid").mapInArrow(
-        _ends(model), "pid int, first long, last long, single boolean, matrix array<double>, "
+        _ends(model, before), "pid int, first long, last long, single boolean, matrix array<double>, "
                       "tail array<double>").collect()  # one row a partition
     return ordered.select("conv_id", "text", "turn", "pid").mapInArrow(
-        _decode(model, border_states(ends)),
+        _decode(model, border_states(ends), before),
         "conv_id long, turn long, n_lines long, n_turns long, role string, rendered string")
 
 
@@ -302,7 +338,8 @@ def format_transcripts(blocks: DataFrame, learn: Column | None = None) -> DataFr
     rows = blocks.select(F.col("conv_id").cast("long").alias("conv_id"),
                          F.col("turn").cast("long").alias("turn"), "text", "role")
     ordered = in_order(rows.withColumn("learn", F.lit(True) if learn is None else learn))
-    return parse(ordered, fit(ordered))
+    before = lines_before(ordered)
+    return parse(ordered, fit(ordered, before), before)
 
 
 def not_held_out() -> Column:

@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import chat
 from tessera.llm.queries import QUERIES
@@ -36,20 +38,25 @@ def test_partitions_do_not_matter(spark, parts):
             role = ("user", "assistant")[t % 2] if rng.random() < 0.9 else "system"
             mark = {"user": "User: ", "assistant": "AI: ", "system": "System: "}[role]
             body = "\n".join("w " * rng.randint(0, 9) for _ in range(rng.randint(1, 3)))
+            body += rng.choice(("", "\n", "\n \t", "\n\u2003"))
             rows.append((conv, t, (mark if rng.random() < 0.5 else "") + body, role))
     blocks = spark.createDataFrame(rows, "conv_id long, turn int, text string, role string")
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
         ordered = chat.in_order(blocks.selectExpr("*", "true AS learn"))
-        model = chat.fit(ordered)
-        got = chat.parse(ordered, model).collect()
+        before = chat.lines_before(ordered)
+        model = chat.fit(ordered, before)
+        got = chat.parse(ordered, model, before).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     want = {}
     for conv in {r[0] for r in rows}:
         own = sorted((r for r in rows if r[0] == conv), key=lambda r: r[1])
-        parsed = [chat.line_features(r[2]) for r in own]
+        lines = [x for r in own for x in r[2].split("\n")]
+        parsed = chat.block_features([r[2] for r in own])
+        assert [f[1] for fs, _ in parsed for f in fs] == [
+            int(not re.sub("[ \t]", "", x)) for x in ["", *lines[:-1]]]
         states = chat.viterbi(model, model.scores([f for fs, _ in parsed for f in fs]), None, None)
         at = 0
         for r, (_, said) in zip(own, parsed):
@@ -78,6 +85,26 @@ def test_roles_are_recovered(spark):
                for r in whole) and len(whole) > 0.9 * len(held)
 
 
+def test_turns_are_found_where_rows_do_not_end_with_them(spark):
+    true = chat.as_transcript(spark.read.parquet(f"{SF}/conversations.parquet"))
+    blocks = [tuple(r) for r in true.select("conv_id", "turn", "text", "role").collect()]
+    held = {r[0] for r in true.where(~chat.not_held_out()).select("conv_id").collect()}
+    rows = [r for r in blocks if r[0] not in held]  # known turns to learn from
+    begins = {}
+    for conv in held:
+        lines = []
+        for _, turn, text, role in sorted(r for r in blocks if r[0] == conv):
+            lines += [(x, role if k == 0 else None) for k, x in enumerate(text.split("\n"))]
+        begins[conv] = [role for _, role in lines if role]
+        rows += [(conv, i, "\n".join(x for x, _ in lines[i:i + 2]), None) for i in range(0, len(lines), 2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string, role string")
+    got = {}
+    for r in chat.format_transcripts(df).where(F.col("conv_id").isin(list(held))).orderBy(
+            "conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).extend(re.findall(r"<\|(\w+)\|>", r.rendered))
+    assert len(held) > 10 and np.mean([got[c] == begins[c] for c in held]) > 0.85
+
+
 def test_edge_rows(spark):
     rows = [(1, 0, None, "user"), (1, None, "", None), (None, 2, "User: hi?\n\nAI: <|x", "user"),
             (1, 1, "Assistant: ok", "assistant"), (1, 1, "Assistant: ok", "assistant"),
