@@ -11,8 +11,9 @@ Hashes are grouped with partial aggregation, and only repeated ones are joined b
 (a plain join whose hot keys Spark can split); no group is gathered.
 
 Defined results: NULL and empty texts have no runs, nor has a text too short for one; NULL document
-ids sort last; rows that repeat a document id count as the same document (a run that they share is
-not a repeat).  Extra columns are kept by :func:`remove_repeats`.  An empty table gives an empty
+ids sort last, and rows of different texts without an id are different documents, in order of the hash of
+the text; rows that repeat a document id (or a text without an id) count as the same document (a run that
+they share is not a repeat), but each text has its own stretches.  Extra columns are kept by :func:`remove_repeats`.  An empty table gives an empty
 result.
 """
 
@@ -27,11 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import vec
-from tessera.llm.words import need
+from tessera.llm.words import aside, need
 from tessera.session import ensure_checkpoint_dir, scratch_dir
 
 SENTENCES, LEAST, LONG = 2, 15, 50
-_LAST_ID = (1 << 63) - 1
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 _CLOSE = np.zeros(256, dtype=bool)
@@ -88,56 +88,68 @@ def _emit(batches: Iterator[pa.RecordBatch], both_ends: bool) -> Iterator[pa.Rec
             order = np.lexsort((h, row))
             again = np.zeros(len(h), dtype=bool)
             again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-            ids = batch.column("doc_id").slice(i, j - i).take(pa.array(row, type=pa.int64()))
+            own = [batch.column(c).slice(i, j - i).take(pa.array(row, type=pa.int64()))
+                   for c in ("doc_id", "key")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h, type=pa.int64()), ids, pa.array(a, type=pa.int64()).cast(pa.int32()),
+                [pa.array(h, type=pa.int64()), *own, pa.array(a, type=pa.int64()).cast(pa.int32()),
                  pa.array(b, type=pa.int64()).cast(pa.int32()), pa.array(again)],
-                names=["h", "doc_id", "start", "end", "again"])
+                names=["h", "doc_id", "key", "start", "end", "again"])
 
 
 def repeated_regions(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """``doc_id, start, end, runs, first_doc``: stretches of text (character places) that repeated
     runs cover, overlapping ones merged; ``first_doc`` is the least document that has one of them."""
+    return _regions(docs, both_ends).drop("key")
+
+
+def _regions(docs: DataFrame, both_ends: bool) -> DataFrame:
+    """:func:`repeated_regions` and ``key``, the hash of the text."""
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     out = scratch_dir(spark, "runs")
-    docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("doc_id"),
+    docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"),
                 "text").mapInArrow(
-        partial(_emit, both_ends=both_ends), "h long, doc_id long, start int, end int, again boolean").write.parquet(out)
+        partial(_emit, both_ends=both_ends),
+        "h long, doc_id long, key long, start int, end int, again boolean").write.parquet(out)
     runs = spark.read.parquet(out)
+    without = F.when(F.col("doc_id").isNull(), F.col("key"))  # documents without an id
     repeated = runs.groupBy("h").agg(
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
-        F.max("again").alias("inside")).where("first_doc <> last_doc OR inside")
-    firsts = repeated.select("h", "first_doc").checkpoint(eager=True)
-    later = runs.join(firsts, "h").where("again OR doc_id <> first_doc")
-    order = Window.partitionBy("doc_id").orderBy("start", "end")
+        F.min(without).alias("first_key"), F.max(without).alias("last_key"),
+        F.max("again").alias("inside")).where(
+        "first_doc <> last_doc OR first_key <> last_key OR inside OR "
+        "(first_doc IS NOT NULL AND first_key IS NOT NULL)")
+    firsts = repeated.select("h", "first_doc", "first_key").checkpoint(eager=True)
+    later = runs.join(firsts, "h").where(
+        "again OR doc_id <> first_doc OR "
+        "(doc_id IS NULL AND (first_doc IS NOT NULL OR key <> first_key))")
+    order = Window.partitionBy("doc_id", "key").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col("start") < F.col("reach"), 0).otherwise(1)
     merged = (later.withColumn("reach", reach).withColumn("part", F.sum(new).over(
         order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc_id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"),
+        .groupBy("doc_id", "key", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"),
                                        F.count(F.lit(1)).alias("runs"),
                                        F.min("first_doc").alias("first_doc")))
-    null = F.lit(None).cast("long")
-    return merged.select(
-        F.when(F.col("doc_id") != _LAST_ID, F.col("doc_id")).otherwise(null).alias("doc_id"),
-        F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "runs",
-        F.when(F.col("first_doc") != _LAST_ID, F.col("first_doc")).otherwise(null)
-        .alias("first_doc"))
+    return merged.select("doc_id", F.col("start").cast("long").alias("start"),
+                         F.col("end").cast("long").alias("end"), "runs", "first_doc", "key")
 
 
 def remove_repeats(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """``docs`` with the repeated regions cut out of their texts; all rows and columns kept."""
-    cuts = repeated_regions(docs, both_ends).groupBy(F.col("doc_id").alias("__doc")).agg(
+    cuts = _regions(docs, both_ends).groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cut"))
+    own, back = aside(docs)
+    whole = F.col(own.columns[docs.columns.index("text")])
+    own_id = F.col(own.columns[docs.columns.index("doc_id")]).cast("long")
 
     def piece(i):
         begin = F.coalesce(F.get("__cut", i - 1)["end"], F.lit(0))
-        stop = F.coalesce(F.get("__cut", i)["start"], F.length("text"))
-        return F.substring(F.col("text"), (begin + 1).cast("int"), (stop - begin).cast("int"))
+        stop = F.coalesce(F.get("__cut", i)["start"], F.length(whole))
+        return F.substring(whole, (begin + 1).cast("int"), (stop - begin).cast("int"))
 
     pieces = F.transform(F.sequence(F.lit(0), F.size("__cut")), piece)
-    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
-    joined = docs.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), "left")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col("__cut").isNull(), whole).otherwise(F.array_join(pieces, ""))
+    joined = own.join(cuts, own_id.eqNullSafe(F.col("__doc")) & (F.xxhash64(whole) == F.col("__key")), "left")
+    return joined.select(*[text.alias("text") if c == "text" else b for c, b in zip(docs.columns, back)])

@@ -163,3 +163,29 @@ def test_passages_are_caught_and_phrases_left_alone(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id for r in spans.repeated_regions(docs, both_ends=True).collect()}
     assert found == {d for d, _ in rows if d % 10 == 2}
+
+
+def test_documents_without_an_id_and_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 8)))
+    sent = lambda n: " ".join(word() for _ in range(n)) + "."
+    shared, other, own = (" ".join(sent(9) for _ in range(6)) for _ in range(3))
+    texts = [f"{sent(7)} {shared} {sent(k)}" for k in (5, 6, 7)] + [f"{sent(4)} {other}", f"{other} {sent(4)}"]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (5, other), (7, f"{own} {sent(5)}"),
+                                         (7, f"{sent(80)} {own}"), (8, f"{own} {sent(3)}")]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows],
+                                 "doc_id long, text string, key string, __doc int")
+    got = spans.remove_repeats(docs, both_ends=True)
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    holds = lambda passage: sorted((d is None, d) for d, t in left if passage in t)
+    # One of the texts without an id keeps the passage; its copy is the same document.
+    assert len({t for d, t in left if d is None and shared in t}) == 1
+    assert sum(shared in t for _, t in left) <= 2
+    assert holds(other) == [(False, 5)] and holds(own) == [(False, 7), (False, 7)]
+    for d, t in left:  # nothing but passages is cut
+        assert any(a == d and re.sub(r"\s+", " ", b.replace(shared, " ").replace(other, " ").replace(own, " "))
+                   .strip() in re.sub(r"\s+", " ", t.replace(shared, " ").replace(other, " ").replace(own, " "))
+                   for a, b in rows)
+    found = spans.repeated_regions(docs, both_ends=True).collect()
+    assert {(r.doc_id, r.first_doc) for r in found} == {(None, None), (None, 5), (8, 7)}
