@@ -54,6 +54,29 @@ def test_held_out_accuracy(spark):
     assert len(held) > 50 and np.mean([a == b for a, b in held]) >= 0.95
 
 
+def test_scores_of_the_query_equal_a_plain_recomputation(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = crf.fit(docs, spark.read.parquet(f"{SF}/labels.parquet").where(~crf.held_out()))
+    got = {r.doc_id: r.score for r in QUERIES["op5_quality_crf"](spark, SF).collect()}
+    for r in docs.select("doc_id", "text").limit(60).collect():
+        raw, off = vec.utf8(pa.array([r.text]))
+        first, size, feats = crf.lines_of(raw, off)
+        bias = model.emission(crf.with_neighbours(first, feats.astype("<f4").astype(np.float64)))
+        n, e, t = len(bias), np.exp(bias), np.exp(model.pairs)
+        ahead, back = [np.array([1.0, e[0]])], [np.ones(2)]
+        for k in range(1, n):  # chances of all labels up to a line, and of all after it
+            ahead.append(np.array([sum(ahead[-1][p] * t[p, c] for p in (0, 1)) * (1.0, e[k])[c]
+                                   for c in (0, 1)]))
+            ahead[-1] /= ahead[-1].sum()
+            j = n - k
+            back.append(np.array([sum(t[p, c] * (1.0, e[j])[c] * back[-1][c] for c in (0, 1))
+                                  for p in (0, 1)]))
+            back[-1] /= back[-1].sum()
+        both = [a * b for a, b in zip(ahead, reversed(back))]
+        want = sum(b[1] / b.sum() * s for b, s in zip(both, size)) / size.sum()
+        assert abs(got[r.doc_id] - want) < 1e-9
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, "word " * 50_000), (3, "word " * 50_000), (None, "a\nb"),
             (4, "\n".join(f"line {i}." for i in range(5000))), (5, "THE!! END!!")]
