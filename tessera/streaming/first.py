@@ -9,8 +9,9 @@ most ``delay`` late.  Later ones are passed on at once and marked ``late``:
   late frame goes without; if no frame had come at all, the late one takes it;
 * after that the state of the bucket is gone, and a late frame goes without.
 
-State holds frames of open buckets (one image each) and a mark per bucket closed within ``retain``; it is
-kept by RocksDB (set on the session when the query is defined, before it starts).
+State holds frames of open buckets (one image for each camera, at most as many again that better ones have
+replaced) and a mark per camera and bucket closed within ``retain``; it is kept by RocksDB (set on the
+session when the query is defined, before it starts).  The state's key is the bucket and a slot of cameras.
 
 :func:`write_images` puts the images of a batch into files: tasks write to a folder of their own attempt
 and the files are moved to their final names once the whole batch is written.  A replay finds them there.
@@ -34,57 +35,105 @@ _OUT = "body string, first boolean, late boolean, image binary"
 
 
 class _FirstFrame(StatefulProcessor):
-    """The watermark trails the greatest time by the delay: a bucket closes when it is past its end."""
+    """All cameras of one slot and bucket share a state, which is read and appended to as a whole: calls of
+    the state store go with the groups, not with the frames.
+
+    The watermark trails the greatest time by the delay: a bucket closes when it is past its end.
+    """
 
     def __init__(self, retain_ms: int) -> None:
         self.retain_ms = retain_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "body string, rank string")
-        self.best = handle.getValueState("best", "rank string, image binary")
-        self.taken = handle.getValueState("taken", "yes boolean")
+        self.rows = handle.getListState("rows", "camera string, rank string, body string")
+        self.ranks = handle.getListState("ranks", "camera string, rank string")  # each less than the one before
+        self.images = handle.getListState("images", "camera string, rank string, image binary")  # of ranks
+        self.taken = handle.getListState("taken", "camera string")
+
+    def _best(self) -> tuple[dict, int]:
+        """Least rank of every camera that waits, and how many ranks are held."""
+        held = list(self.ranks.get())
+        return dict(held), len(held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now, out = timerValues.getCurrentWatermarkInMs(), []
+        now, out, waiting, fresh, new = timerValues.getCurrentWatermarkInMs(), [], [], {}, []
+        taken = best = None
         for pdf in rows:
-            waiting, ends = [], int(pdf["ends"].iloc[0])
-            for body, rank, image in zip(pdf["body"], pdf["rank"], pdf["image"]):
-                if self.taken.exists() or ends + self.retain_ms <= now:
+            ends = int(pdf["ends"].iloc[0])
+            if ends + self.retain_ms <= now:
+                out += [(body, False, True, None) for body in pdf["body"]]
+                continue
+            if best is None:
+                best, held = self._best()
+                taken = {c for c, in self.taken.get()} if ends <= now else set()
+            for camera, body, rank, image in zip(pdf["camera"], pdf["body"], pdf["rank"], pdf["image"]):
+                if camera in taken:
                     out.append((body, False, True, None))
-                elif ends <= now and not self.rows.exists():
-                    self.taken.update((True,))  # nothing came in time
-                    self.handle.registerTimer(ends + self.retain_ms)
+                elif ends <= now and camera not in best:  # nothing came in time
+                    taken.add(camera)
+                    new.append((camera,))
                     out.append((body, True, True, image))
                 else:
-                    waiting.append((body, rank))
-                    if not self.best.exists() or rank < self.best.get()[0]:
-                        self.best.update((rank, image))
-            if waiting:
-                self.rows.appendList(waiting)
-                self.handle.registerTimer(ends)
-        yield pd.DataFrame(out, columns=["body", "first", "late", "image"])
+                    waiting.append((camera, rank, body))
+                    if camera not in best or rank < best[camera]:
+                        best[camera] = rank
+                        fresh[camera] = image
+        if new:
+            self.taken.appendList(new)
+            self.handle.registerTimer(ends + self.retain_ms)
+        if waiting:
+            self.rows.appendList(waiting)
+            self.handle.registerTimer(ends)
+        if fresh:
+            self._hold(best, held, fresh)
+        yield from _frames(out)
+
+    def _hold(self, best: dict, held: int, fresh: dict) -> None:
+        """Append the images of new least ranks; those that they replace go once they are the greater part."""
+        images = [(camera, best[camera], image) for camera, image in fresh.items()]
+        if held + len(images) <= 2 * len(best):
+            self.images.appendList(images)
+            self.ranks.appendList([row[:2] for row in images])
+            return
+        images += [row for row in self.images.get() if row[0] not in fresh and row[1] == best[row[0]]]
+        self.images.put(images)
+        self.ranks.put([row[:2] for row in images])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
-        if self.rows.exists():
-            rank, image = self.best.get()
-            for body, own in self.rows.get():
-                first = own == rank
-                out.append((body, first, False, image if first else None))
-                rank = None if first else rank  # equal rows: one of them
-            self.rows.clear()
-            self.best.clear()
-            self.taken.update((True,))
-            self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.retain_ms)
-        else:
+        best, _ = self._best()
+        if not best:
             self.taken.clear()
-        yield pd.DataFrame(out, columns=["body", "first", "late", "image"])
+            return
+        out, firsts = [], {}
+        for camera, rank, body in self.rows.get():
+            if rank == best[camera] and camera not in firsts:  # equal rows: one of them
+                firsts[camera] = body
+            else:
+                out.append((body, False, False, None))
+        yield from _frames(out)
+        out = []
+        for camera, rank, image in self.images.get():
+            if rank == best[camera]:
+                out.append((firsts[camera], True, False, image))
+                if len(out) == 256:
+                    yield from _frames(out)
+                    out = []
+        yield from _frames(out)
+        for state in (self.rows, self.ranks, self.images):
+            state.clear()
+        self.taken.appendList([(camera,) for camera in best])
+        self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.retain_ms)
 
     def close(self) -> None:
         pass
 
 
+def _frames(out: list[tuple]) -> Iterator[pd.DataFrame]:
+    if out:
+        yield pd.DataFrame(out, columns=["body", "first", "late", "image"])
+
+
 def _sortable(column: Column, kind: T.DataType) -> Column:
     """Text that orders as the values do, NULL first."""
     if isinstance(kind, T.StringType):
@@ -107,11 +156,12 @@ def image_path(camera: str | Column, bucket: Column, fmt: str = "yyyyMMdd_HHmmss
 def mark_first_stream(frames: DataFrame, *, camera: str = "camera_id", ts: str = "source_ts",
                       tie: str = "frame_id", image: str | None = "image_bytes", unit: str = "second",
                       delay: str = "10 seconds", retain: str = "1 hour", fmt: str = "yyyyMMdd_HHmmss",
-                      path_prefix: str = "", path_col: str = "image_path") -> DataFrame:
+                      path_prefix: str = "", path_col: str = "image_path", slots: int = 8) -> DataFrame:
     """``frames`` (a stream) with ``path_col`` and ``late``; ``image`` stays with first frames only.
 
     The first frame of each (``camera``, ``unit`` of ``ts``) by (``ts``, ``tie``) gets the path.  A frame
-    without a time is passed on as late.
+    without a time is passed on as late.  The cameras of a bucket are dealt into ``slots`` groups, which is
+    how many tasks work on one bucket (fixed for the life of a checkpoint).
     """
     spark = frames.sparkSession
     spark.conf.set(PROVIDER, ROCKSDB)
@@ -122,12 +172,13 @@ def mark_first_stream(frames: DataFrame, *, camera: str = "camera_id", ts: str =
                     _sortable(F.col(tie), frames.schema[tie].dataType))
     packed = frames.select(
         F.col(camera).cast("string").alias("camera"), F.unix_micros(bucket).alias("bucket"),
+        F.pmod(F.xxhash64(F.col(camera).cast("string")), F.lit(slots)).alias("slot"),
         F.coalesce(ends, F.lit(-(1 << 60))).alias("ends"), rank.alias("rank"),
         F.to_json(F.struct(*body.columns), {"timestampFormat": STAMP}).alias("body"),
         (F.col(image) if image else F.lit(None).cast("binary")).alias("image"), F.col(ts).alias("__time"))
     # The time column is left out behind the watermark: late frames reach the operator, which knows the
     # watermark all the same.
-    keyed = packed.withWatermark("__time", delay).drop("__time").groupBy("camera", "bucket")
+    keyed = packed.withWatermark("__time", delay).drop("__time").groupBy("slot", "bucket")
     retain_ms = spark.range(1).select(F.unix_millis(
         F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {retain}"))).first()[0]
     marked = keyed.transformWithStateInPandas(_FirstFrame(retain_ms), _OUT, "Append", "EventTime")
