@@ -13,7 +13,7 @@ from tessera.plans.stub_detector import fragile_detector_factory
 from tessera.session import scratch_dir
 from tessera.streaming import frames as S
 from tessera.streaming import rollup as R
-from tessera.streaming.first import mark_first_stream
+from tessera.streaming.first import image_files, mark_first_stream
 from tessera.streaming.store import append_batch, read_table, run_to_end, store_results, supervise
 
 
@@ -138,10 +138,8 @@ def stream_image_files(spark, sf):
     out, folder = scratch_dir(spark, "first"), scratch_dir(spark, "image-files")
     run_to_end(store_results(_first_stream(spark, sf), table_path=out, image_folder=folder,
                              checkpoint=scratch_dir(spark, "ckpt"), stamp=None))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "*.jpg").load(folder)
     name = F.concat(F.lit("images/"), F.regexp_extract("path", r"([^/]+)$", 1))
-    return files.select(name.alias("image_path"), "length")
+    return image_files(spark, folder).select(name.alias("image_path"), "length")
 
 
 @register("score_frames_batched", f"""

@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -200,11 +200,14 @@ def _file_system(uri: str):
 def _put(draft: str, path_col: str, image: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, root = _file_system(draft)
+        made = False
         for pdf in batches:
             drafts = []
             for data in pdf[image]:
                 name = uuid.uuid4().hex
-                files.create_dir(root, recursive=True)
+                if not made:
+                    files.create_dir(root, recursive=True)
+                    made = True
                 with files.open_output_stream(f"{root}/{name}") as f:
                     f.write(bytes(data))
                 drafts.append(name)
@@ -218,10 +221,14 @@ def _settle(draft: str, final: str, path_col: str):
         from pyarrow.fs import FileType
         files, source = _file_system(draft)
         _, root = _file_system(final)
+        made = set()
         for pdf in batches:
             for path, name in zip(pdf[path_col], pdf["draft"]):
                 target = f"{root}/{path}"
-                files.create_dir(target.rpartition("/")[0], recursive=True)
+                above = target.rpartition("/")[0]
+                if above not in made:
+                    files.create_dir(above, recursive=True)
+                    made.add(above)
                 # A task that is run again has moved its drafts already.
                 if files.get_file_info(f"{source}/{name}").type == FileType.File:
                     files.move(f"{source}/{name}", target)
@@ -249,3 +256,13 @@ def write_images(rows: DataFrame, folder: str, *, path_col: str = "image_path",
         .write.format("noop").mode("overwrite").save()
     versions = Versions(rows.sparkSession, folder)
     versions.fs.delete(versions._path(attempt), True)
+
+
+def image_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, length`` of the image files below ``folder``, whatever wrote them.
+
+    Spark makes a partition of every 32 small files; they are read by as many tasks as a shuffle has.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.jpg").load(folder).select("path", "length")
+    return files.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
