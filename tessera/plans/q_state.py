@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.plans import testbed as tb
 from tessera.plans.q_relational import FRAMES_CTE
 from tessera.plans.q_streaming import _scored as scored_frames
-from tessera.plans.q_streaming import result_documents, write_messages
+from tessera.plans.q_streaming import files_per_batch, result_documents, write_messages
 from tessera.plans.registry import ORACLE, register
 from tessera.plans.stub_detector import fragile_detector_factory
 from tessera.session import scratch_dir
@@ -19,7 +19,8 @@ from tessera.streaming.store import append_batch, read_table, run_to_end, store_
 
 def _kept(spark, sf, keys, measures) -> R.Rollup:
     """The rollup of the result documents, fed in three batches and merged after two."""
-    stream = result_documents(spark, sf, files=6, files_per_trigger=2)
+    each = files_per_batch(spark, 3)
+    stream = result_documents(spark, sf, files=3 * each, files_per_trigger=each)
     kept = R.Rollup(spark, scratch_dir(spark, "rollup"), keys, measures, merge_every=2)
     run_to_end(R.keep_rollup(stream, kept, scratch_dir(spark, "ckpt")))
     return kept
@@ -88,8 +89,8 @@ def count_distinct_sketch(spark, sf):
 END = "__end"
 
 
-def _shuffled_frames(spark, sf, files: int):
-    """Stream of frames dealt at random over files, one a batch; a last file holds one frame far ahead in
+def _shuffled_frames(spark, sf, batches: int):
+    """Stream of frames dealt at random over the files of some batches; a last file holds one frame far ahead in
     time, which closes all buckets."""
     from tessera.plans.q_relational import frames
     path = scratch_dir(spark, "frames")
@@ -98,13 +99,14 @@ def _shuffled_frames(spark, sf, files: int):
                                     F.col("person_count").cast("long").alias("person_count"))
     rows = rows.join(tb.table(spark, sf, "events").select(
         F.col("event_id").alias("frame_id"), F.encode("props", "UTF-8").alias("image_bytes")), "frame_id")
-    rows.repartition(files, F.xxhash64("frame_id")).write.parquet(path)
+    each = files_per_batch(spark, batches)
+    rows.repartition(batches * each, F.xxhash64("frame_id")).write.parquet(path)
     ahead = rows.agg(F.max("source_ts").alias("t")).select(
         F.lit(-1).cast("long").alias("frame_id"), F.lit(END).alias("camera_id"),
         (F.col("t") + F.expr("INTERVAL 10 YEARS")).alias("source_ts"),
         F.lit(0).cast("long").alias("person_count"), F.lit(b"").alias("image_bytes"))
     ahead.select(rows.columns).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 _FIRST_SQL = """
@@ -115,7 +117,7 @@ SELECT event_id AS frame_id, CAST(user_id AS VARCHAR) AS camera_id,
 
 
 def _first_stream(spark, sf):
-    return mark_first_stream(_shuffled_frames(spark, sf, 6), unit="hour", delay="2 years", fmt="yyyyMMdd_HH",
+    return mark_first_stream(_shuffled_frames(spark, sf, 3), unit="hour", delay="2 years", fmt="yyyyMMdd_HH",
                              path_prefix="images/").where(F.col("camera_id") != END)
 
 
@@ -165,7 +167,8 @@ def score_frames_batched(spark, sf):
 @register("stream_retry", ORACLE["stream_exactly_once"])
 def stream_retry(spark, sf):
     """A stream whose sink fails twice, restarted from its checkpoint: every frame is stored once."""
-    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), files=3)
+    each = files_per_batch(spark, 3)
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), files=3 * each)
     table, ckpt = scratch_dir(spark, "table"), scratch_dir(spark, "ckpt")
     left = [2]
 
@@ -175,7 +178,7 @@ def stream_retry(spark, sf):
             if left[0] and batch_id:
                 left[0] -= 1
                 raise OSError("the store is away")
-        return scored_frames(spark, src, 1).writeStream.foreachBatch(write).option(
+        return scored_frames(spark, src, each).writeStream.foreachBatch(write).option(
             "checkpointLocation", ckpt).trigger(availableNow=True).start()
     supervise(start, pause_s=0.1)
     return read_table(spark, table).select("frame_id", "camera_id", "person_count")

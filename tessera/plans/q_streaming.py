@@ -48,11 +48,22 @@ def write_messages(spark, sf, path, *, copies: int = 1, where=None, files: int |
     msgs = msgs.drop("ts")
     if files:
         msgs = msgs.repartitionByRange(files, "frame_index")
-    for _ in range(copies):
-        msgs.write.mode("append").json(path)
+    if copies > 1:
+        msgs = msgs.persist()  # the table is read, and cut into ranges, once
+    try:
+        for _ in range(copies):
+            msgs.write.mode("append").json(path)
+    finally:
+        if copies > 1:
+            msgs.unpersist()
     return path
 
 
+def files_per_batch(spark, batches: int) -> int:
+    """Files of one batch, so that the input of all ``batches`` is written by as many tasks as a shuffle has."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // batches)
+
+
 def _stream(spark, path, files_per_trigger: int | None = None):
     options = {"maxFilesPerTrigger": str(files_per_trigger)} if files_per_trigger else {}
     return S.read_json_stream(spark, "json", S.MESSAGE_SCHEMA, path=path, options=options)
@@ -146,10 +157,11 @@ def dead_letter(spark, sf):
 WITH e AS ({_ENRICH_SQL}) SELECT frame_id, camera_id, frame_index, person_count FROM e""")
 def upsert_by_key(spark, sf):
     """Every message delivered twice; the keyed documents hold one current row per frame."""
-    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2, files=2)
+    each = files_per_batch(spark, 2)
+    src = write_messages(spark, sf, scratch_dir(spark, "msgs"), copies=2, files=2 * each)
     docs = KeyedDocuments(spark, scratch_dir(spark, "documents"), ["frame_id"], ["frame_index"],
                           snapshot_every=2)
-    run_to_end(store_results(_scored(spark, src, files_per_trigger=1), documents=docs,
+    run_to_end(store_results(_scored(spark, src, files_per_trigger=each), documents=docs,
                              table_path=scratch_dir(spark, "table"),
                              checkpoint=scratch_dir(spark, "ckpt")))
     return docs.read().select("frame_id", "camera_id", "frame_index", "person_count")

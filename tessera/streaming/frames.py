@@ -5,7 +5,7 @@
 * ``decode_frames`` — base64 image -> binary, ISO-8601 time -> timestamp, defaults for a missing camera
   or frame id, and an ``error`` column naming why a message cannot be processed.
 * ``split_errors`` — (good, dead-letter) views of one stream; nothing is dropped silently.
-* ``score_frames`` — ``mapInPandas`` around a user-supplied detector; the detector is built
+* ``score_frames`` — ``mapInArrow`` around a user-supplied detector; the detector is built
   once per Python worker process and model key.  A frame that it fails on gets an ``error``; the
   others go on.
 * ``enrich_results`` — JVM expressions: keep person boxes >= threshold, round them, count them,
@@ -18,9 +18,11 @@ import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.functions.detections import (BOXES_TYPE, box_count, decode_base64, keep_boxes,
                                           round_boxes)
@@ -153,23 +155,36 @@ def score_frames(df: DataFrame, detector_factory: DetectorFactory, model_key: st
                                T.StructField("processing_time_ms", T.DoubleType()),
                                T.StructField("error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    box_type = to_arrow_type(BOXES_TYPE).value_type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         detect = cached_detector(detector_factory, model_key)
-        for pdf in batches:
-            found: list = [(None, None, error) for error in pdf["error"]]
+        for batch in batches:
+            found: list = [(None, None, error) for error in batch.column("error").to_pylist()]
             usable = [k for k, (_, _, error) in enumerate(found) if error is None]
-            images = pdf[image].tolist()
+            images = batch.column(image).to_pylist()
             for at in range(0, len(usable), batch_size):
                 some = usable[at:at + batch_size]
                 for k, result in zip(some, detect_all(detect, [images[k] for k in some])):
                     found[k] = result
-            out = pdf[keep].copy()
-            out["boxes"] = [boxes for boxes, _, _ in found]
-            out["processing_time_ms"] = pd.Series([ms for _, ms, _ in found], dtype="float64", index=out.index)
-            out["error"] = [error for _, _, error in found]
-            yield out
-
-    return src.mapInPandas(run, out_schema)
+            scored, ms, errors = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], _box_lists(scored, box_type),
+                 pa.array(ms, pa.float64()), pa.array(errors, pa.string())], names=out_schema.names)
+
+    return src.mapInArrow(run, out_schema)
+
+
+def _box_lists(scored: Sequence[list[dict] | None], box_type: pa.StructType) -> pa.ListArray:
+    """The boxes of every row, each field of them converted as one column."""
+    flat = [box for boxes in scored if boxes for box in boxes]
+    fields = [pa.array([box.get(f.name) for box in flat], f.type) for f in box_type]
+    ends, starts = 0, []
+    for boxes in scored:
+        starts.append(None if boxes is None else ends)  # no start: NULL
+        ends += len(boxes or ())
+    return pa.ListArray.from_arrays(pa.array([*starts, ends], pa.int32()),
+                                    pa.StructArray.from_arrays(fields, fields=list(box_type)))
 
 
 def enrich_results(scored: DataFrame, model_name: str, *, processed_ts: Column | None = None,

@@ -51,15 +51,23 @@ class KeyedDocuments:
         content = {**content, "batches": parts}
         if len(parts) >= self.snapshot_every:
             base = self.versions.folder("snapshot")
-            bucket = self._bucket(*map(F.col, self.keys), buckets=self.buckets)
-            self._read(content).withColumn(BUCKET, bucket).repartition(self.buckets, BUCKET).write.partitionBy(
-                BUCKET).parquet(self.versions.full(base))
+            self._dealt(content).write.partitionBy(BUCKET).parquet(self.versions.full(base))
             content = {"snapshot": base, "buckets": self.buckets, "upto": max(map(int, parts)),
                        "batches": {}}
         self.versions.publish(number, content)
         self.versions.prune()
         return True
 
+    def _dealt(self, content: dict) -> DataFrame:
+        """All current documents by bucket, with one shuffle and one sort: the snapshot and every batch hold
+        a key once, so the greatest batch alone decides."""
+        rows = self.spark.read.parquet(*[self.versions.full(f) for f in content["batches"].values()])
+        if "snapshot" in content:
+            rows = self.spark.read.parquet(self.versions.full(content["snapshot"])).drop(BUCKET).unionByName(rows)
+        bucket = self._bucket(*map(F.col, self.keys), buckets=self.buckets)
+        rows = rows.withColumn(BUCKET, bucket).repartition(self.buckets, BUCKET)
+        return top_n_per_group(rows, [BUCKET, *self.keys], F.desc(BATCH), 1)
+
     def _read(self, content: dict, wanted: Sequence | None = None) -> DataFrame:
         parts, snapshot, recent = content["batches"], None, None
         hit = F.lit(True)
