@@ -59,6 +59,12 @@ class Pieces:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = plain_specials
+        # The tokeniser's own cache of words is no use: a piece is encoded once and remembered here.
+        model = self.tok.model
+        self.uncached = hasattr(model, "_resize_cache")
+        if self.uncached:
+            model._resize_cache(0)
+            self.tok.model = model
         vocab = self.tok.get_vocab()
         # A text that holds one of these is encoded whole: they are found before words are.
         self.specials = [] if plain_specials else [
@@ -90,7 +96,7 @@ class Pieces:
         """Ids and sizes of pieces that begin with a space: many are encoded as one text, which is
         cut at the ids that begin with a space."""
         flat, size = [], []
-        groups = [pieces[i:i + 2048] for i in range(0, len(pieces), 2048)]
+        groups = [pieces[i:i + 256] for i in range(0, len(pieces), 256)]
         for group, e in zip(groups, self.tok.encode_batch_fast(
                 ["".join(g) for g in groups], add_special_tokens=False)):
             ids = np.asarray(e.ids, dtype=np.uint32)
@@ -144,7 +150,8 @@ class Pieces:
         values = coded.dictionary
         head = np.zeros(len(code), dtype=bool)
         head[offs[:-1]] = True
-        inner, firsts = np.unique(code[~head]), np.unique(code[head])
+        inner, firsts = (np.flatnonzero(np.bincount(x, minlength=len(values)))
+                         for x in (code[~head], code[head]))
         none, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
         spaced = pc.binary_join_element_wise(none, values.take(pa.array(inner)), space)
         of_inner = np.zeros(len(values), dtype=np.int64)
