@@ -171,7 +171,9 @@ def mark_first_stream(frames: DataFrame, *, camera: str = "camera_id", ts: str =
     rank = F.concat(_sortable(F.unix_micros(ts), T.LongType()),
                     _sortable(F.col(tie), frames.schema[tie].dataType))
     packed = frames.select(
-        F.col(camera).cast("string").alias("camera"), F.unix_micros(bucket).alias("bucket"),
+        F.col(camera).cast("string").alias("camera"),
+        # No NULL in a key: pandas turns the buckets beside it into floats, whose states then mix.
+        F.coalesce(F.unix_micros(bucket), F.lit(-(1 << 62))).alias("bucket"),
         F.pmod(F.xxhash64(F.col(camera).cast("string")), F.lit(slots)).alias("slot"),
         F.coalesce(ends, F.lit(-(1 << 60))).alias("ends"), rank.alias("rank"),
         F.to_json(F.struct(*body.columns), {"timestampFormat": STAMP}).alias("body"),

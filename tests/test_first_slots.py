@@ -25,3 +25,15 @@ def test_state_of_many_cameras_is_kept_by_slot(spark):
     assert {r.frame_id for r in rows if r.late} == {"late"}
     # The path of a camera without a name is NULL, as that of a frame that is not the first.
     assert {r.frame_id for r in rows if r.image_path} == {f"{c}-3" for c in cameras if c}
+
+
+def test_a_frame_without_a_time_leaves_other_buckets_alone(spark):
+    path, out, ckpt = (scratch_dir(spark, n) for n in ("in", "out", "ckpt"))
+    frames = [(c, f"{c}{n}", f"2030-05-06 07:00:0{n}.5") for c in "abc" for n in range(5)]
+    put(spark, path, [*frames, ("a", "no time", None)], 0)
+    put(spark, path, [("far", "far", "2030-05-06 07:00:59")], 1)
+    run(spark, path, out, ckpt, slots=1)
+    rows = read_table(spark, out).where("camera_id <> 'far'").collect()
+    assert sorted(r.frame_id for r in rows) == sorted([*(f for _, f, _ in frames), "no time"])
+    assert {r.frame_id for r in rows if r.image_path} == {f for _, f, _ in frames}
+    assert {r.frame_id for r in rows if r.late} == {"no time"}
