@@ -15,14 +15,17 @@ session when the query is defined, before it starts).  The state's key is the bu
 
 :func:`write_images` puts the images of a batch into files: tasks write to a folder of their own attempt
 and the files are moved to their final names once the whole batch is written.  A replay finds them there.
+:func:`image_files` lists them.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -260,11 +263,80 @@ def write_images(rows: DataFrame, folder: str, *, path_col: str = "image_path",
     versions.fs.delete(versions._path(attempt), True)
 
 
+# ---- the image files of a folder
+
+def _store(folder: str):
+    """File system and root of a folder that Hadoop has qualified (whose ``file:`` paths are not encoded)."""
+    from pyarrow.fs import LocalFileSystem
+    return (LocalFileSystem(), folder.removeprefix("file:")) if folder.startswith("file:") else _file_system(folder)
+
+
+def _entries(files, at: str) -> Iterator[tuple[str, bool]]:
+    """Name of everything in one folder, and whether it is a folder.
+
+    Local and mounted folders are read as a stream, however much is in them; other stores list a folder whole.
+    """
+    from pyarrow.fs import FileSelector, FileType, LocalFileSystem
+    if isinstance(files, LocalFileSystem):
+        with os.scandir(at) as found:
+            for entry in found:
+                yield entry.name, entry.is_dir()
+    else:
+        for info in files.get_file_info(FileSelector(at)):
+            yield info.base_name, info.type == FileType.Directory
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _image_names(folder: str, size: int = 10_000):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            files, root = _store(folder)
+            above, names = [""], []
+            while above:
+                at = above.pop()
+                for name, is_folder in _entries(files, f"{root}/{at}".rstrip("/")):
+                    if _hidden(name):
+                        continue
+                    if is_folder:
+                        above.append(f"{at}{name}/")
+                    elif name.endswith(".jpg"):
+                        names.append(at + name)
+                        if len(names) == size:
+                            yield pd.DataFrame({"name": names})
+                            names = []
+            yield pd.DataFrame({"name": names}, dtype=object)
+    return run
+
+
+def _lengths(folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileType
+        files, root = _store(folder)
+        for pdf in batches:
+            found = files.get_file_info([f"{root}/{name}" for name in pdf["name"]])
+            if gone := [info.path for info in found if info.type == FileType.NotFound]:
+                raise FileNotFoundError(f"{len(gone)} images were removed while they were listed: {gone[:3]}")
+            yield pd.DataFrame({"path": [f"{folder}/{name}" for name in pdf["name"]],
+                                "length": [info.size for info in found]})
+    return run
+
+
 def image_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, length`` of the image files below ``folder``, whatever wrote them.
 
-    Spark makes a partition of every 32 small files; they are read by as many tasks as a shuffle has.
+    Spark's own readers hold the status of every file in the driver.  Here a task reads the names as a
+    stream, and as many tasks as a shuffle has look the files up; the driver sees none of them.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "*.jpg").load(folder).select("path", "length")
-    return files.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    from tessera.streaming.versions import Versions
+
+    at = Versions(spark, folder)
+    top = at.fs.makeQualified(at._path(at.path))
+    if not at.fs.exists(top):
+        raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {top.toString()}.")
+    names = spark.range(1, numPartitions=1).mapInPandas(_image_names(top.toString()), "name string")
+    dealt = names.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name")
+    return dealt.mapInPandas(_lengths(top.toString()), "path string, length long")
